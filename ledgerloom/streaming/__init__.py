@@ -1,0 +1,2 @@
+"""No streaming operators: every flow of this engine is batch, and late or repeated extracts are
+absorbed by exact-duplicate removal (``operators.quality.drop_exact_duplicates``)."""
