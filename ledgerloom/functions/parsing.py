@@ -8,15 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import MONTH_NUMBERS, SERIAL_EPOCH
-from ledgerloom.functions.text import map_value, strip_space
+from ledgerloom.functions.text import strip_space
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
+# A private-use character that marks a month given by name.
+_NAMED = "\ue000"
+
 
 def _finite_double(c: Column) -> Column:
     """Double of plain numeric text; the pattern keeps out ``nan``, ``inf`` and Java suffixes like ``1d``."""
-    value = c.try_cast("double")
-    return F.when(c.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
+    infinite = F.lit(float("inf"))
+    return F.when(c.rlike(_NUMBER), F.nullif(F.nullif(c.try_cast("double"), infinite), -infinite))
 
 
 def whole_number(c: Column) -> Column:
@@ -50,23 +53,17 @@ def flexible_date(
     to refuse low ones. Impossible days, year 0 and unknown shapes give NULL.
     """
     v = strip_space(c)
+    numbered = F.lower(v)
+    for name, number in months.items():
+        numbered = F.replace(numbered, F.lit(f"/{name}/"), F.lit(f"/{_NAMED}{number}/"))
+    day_first = F.regexp_replace(numbered, r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4})$", "$4-$3-$1")
+    iso = F.regexp_replace(
+        day_first, rf"^([0-9]{{1,2}})/{_NAMED}([0-9]{{1,2}})/([0-9]{{2}})$", f"{century // 100}$3-$2-$1")
+    written = F.when(iso.rlike("^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_date(iso, "yyyy-M-d"))
     serial = v.try_cast("int")
-    month_number = map_value(F.lower(F.substring_index(F.substring_index(v, "/", 2), "/", -1)), months)
-    as_iso = (
-        F.when(v.rlike(r"^[0-9]{1,2}[/][0-9]{1,2}[/][0-9]{4}$|^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"),
-               F.regexp_replace(v, r"^([0-9]+)[/-]([0-9]+)[/-]([0-9]+)$", "$3-$2-$1"))
-        .when(v.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), v)
-        .when(v.rlike(r"^[0-9]{1,2}/[a-zA-Z]{3}/[0-9]{2}$"),
-              F.concat_ws("-",
-                          (F.lit(century) + F.substring_index(v, "/", -1).try_cast("int")).cast("string"),
-                          F.coalesce(month_number.cast("string"), F.lit("0")),
-                          F.substring_index(v, "/", 1)))
-    )
-    written = F.when(~as_iso.startswith("0000"), F.try_to_date(as_iso, "yyyy-M-d"))
-    return F.when(
-        v.rlike("^[0-9]{4,6}$"),
-        F.when(serial >= min_serial, F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial)),
-    ).otherwise(written)
+    if min_serial > 0:
+        serial = F.when(serial >= min_serial, serial)
+    return F.when(v.rlike("^[0-9]{4,6}$"), F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial)).otherwise(written)
 
 
 def month_start(year: Column, month: Column) -> Column:

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import MONTH_NUMBERS, REGION_VARIANTS, SEGMENT_VARIANTS, TOTALS_LABEL
 from ledgerloom.functions.money import exact_sum
 from ledgerloom.functions.parsing import currency_text, month_start
-from ledgerloom.functions.text import canonical, map_value
-
-MONTH_COLUMNS = [name.capitalize() for name in MONTH_NUMBERS]
+from ledgerloom.functions.text import canonical
 
 
 def typed_grid(
@@ -52,13 +50,11 @@ def months_to_rows(
     df: DataFrame, ids: Sequence[str], value: str, months: Mapping[str, int] = MONTH_NUMBERS
 ) -> DataFrame:
     """Twelve rows per grid row; an empty cell stays a row whose value is NULL (no target, not zero)."""
-    names = [name.capitalize() for name in months]
-    tall = df.select(*ids, *names).unpivot(list(ids), names, "_month_name", "_cell")
-    return tall.select(
-        *ids,
-        map_value(F.lower("_month_name"), months).alias("mes"),
-        currency_text(F.col("_cell")).alias(value),
-    )
+    cells = [
+        F.struct(F.lit(number).alias("mes"), F.col(name.capitalize()).alias("_cell"))
+        for name, number in months.items()
+    ]
+    return df.select(*ids, F.inline(F.array(*cells))).select(*ids, "mes", currency_text(F.col("_cell")).alias(value))
 
 
 def monthly_targets(detail: DataFrame) -> DataFrame:

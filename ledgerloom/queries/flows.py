@@ -1,4 +1,8 @@
-"""The plans of the package applied to the rendered test tables."""
+"""The plans of the package applied to the rendered test tables.
+
+As in the tables of a run, the tagged and the priced sales are written once and read back by whatever
+follows, so that a query that needs sales twice parses and prices them once.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from ledgerloom.fixed_values import NATIONAL_SCOPE
 from ledgerloom.operators import calendar, quality, targets
 from ledgerloom.plans import retail
 from ledgerloom.queries import roles
+from ledgerloom.sources.staging import staged
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +41,7 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.tagged_sales(landed(spark, sf))
+    return staged(retail.tagged_sales(landed(spark, sf)), "tagged")
 
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,11 +53,11 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.sales(valid(spark, sf), quotes(spark, sf), people(spark, sf))
+    return staged(retail.sales(valid(spark, sf), quotes(spark, sf), people(spark, sf)), "sales")
 
 
-def valued_returns(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.valued_returns(roles.returned_lines(spark, sf), sales(spark, sf))
+def valued_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
+    return retail.valued_returns(roles.returned_lines(spark, sf), sales(spark, sf) if sold is None else sold)
 
 
 def targets_detail(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,21 +103,27 @@ def d_region_segment(spark: SparkSession, sf: str) -> DataFrame:
     return retail.region_segment_dimension(customers(spark, sf), annual(spark, sf))
 
 
-def f_sales(spark: SparkSession, sf: str) -> DataFrame:
+def f_sales(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
     return retail.sales_fact(
-        sales(spark, sf), portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
+        sales(spark, sf) if sold is None else sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
 
 
-def keyed_sales(spark: SparkSession, sf: str) -> DataFrame:
+def keyed_sales(spark: SparkSession, sf: str, sold: DataFrame, buyers: DataFrame) -> DataFrame:
     """Sales with customer and product keys, for the returns fact and the marts."""
-    sold = sales(spark, sf)
-    sold = retail.keys.resolve_key(
-        sold, d_customers(spark, sf), code="id_cliente", dim_code="id_cliente", dim_sk="sk_cliente",
-        out="sk_cliente")
+    keyed = retail.keys.resolve_key(
+        sold, buyers, code="id_cliente", dim_code="id_cliente", dim_sk="sk_cliente", out="sk_cliente")
     return retail.keys.resolve_key(
-        sold, d_products(spark, sf), code="id_produto_chave", dim_code="id_produto_chave", dim_sk="sk_produto",
+        keyed, d_products(spark, sf), code="id_produto_chave", dim_code="id_produto_chave", dim_sk="sk_produto",
         out="sk_produto")
 
 
+def realized(spark: SparkSession, sf: str) -> DataFrame:
+    """Net revenue per region, segment and month."""
+    sold, buyers = sales(spark, sf), d_customers(spark, sf)
+    keyed = keyed_sales(spark, sf, sold, buyers)
+    returned = retail.returns_fact(valued_returns(spark, sf, sold), keyed)
+    return retail.realized_by_member(keyed, returned, buyers)
+
+
 def f_targets(spark: SparkSession, sf: str) -> DataFrame:
     return retail.targets_fact(monthly(spark, sf), annual(spark, sf), d_region_segment(spark, sf))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates
 from ledgerloom.functions.money import exact_sum
-from ledgerloom.operators import keys, marts, quality, targets
+from ledgerloom.operators import keys, quality, targets
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETURNS, SALES, TARGETS, exact, with_
@@ -160,7 +160,9 @@ fret AS (
 @query("q_fact_returns", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + f"""
 SELECT {', '.join(retail.RETURNS_FACT)} FROM fret""")
 def fact_returns(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.returns_fact(flows.valued_returns(spark, sf), flows.keyed_sales(spark, sf))
+    sold = flows.sales(spark, sf)
+    keyed = flows.keyed_sales(spark, sf, sold, flows.d_customers(spark, sf))
+    return retail.returns_fact(flows.valued_returns(spark, sf, sold), keyed)
 
 
 @query("q_fact_targets", with_(*_MODEL) + """
@@ -172,7 +174,8 @@ def fact_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_nonadditive", with_(TARGETS) + """
-SELECT ano, regiao, segmento, 12 * meta_ano AS soma_ingenua, meta_ano AS valor_real FROM annual""")
+SELECT ano, regiao, segmento, CAST(12 * CAST(meta_ano AS DECIMAL(18, 2)) AS DOUBLE) AS soma_ingenua,
+  meta_ano AS valor_real FROM annual""")
 def nonadditive(spark: SparkSession, sf: str) -> DataFrame:
     return targets.repeated_annual_measure(
         flows.f_targets(spark, sf), ["ano", "regiao", "segmento"], "meta_ano_referencia")
@@ -191,9 +194,7 @@ FROM (
   UNION ALL SELECT data_devolucao, sk_cliente, -receita_devolucao_liquida FROM fret)
 JOIN {_MEMBER} USING (sk_cliente) GROUP BY 1, 2, 3, 4""")
 def net_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    sold = flows.keyed_sales(spark, sf)
-    returned = retail.returns_fact(flows.valued_returns(spark, sf), sold)
-    monthly = retail.realized_by_member(sold, returned, flows.d_customers(spark, sf))
+    monthly = flows.realized(spark, sf)
     day = F.col("data_referencia")
     return monthly.groupBy(
         dates.fiscal_year(day).alias("ano_fiscal"), dates.fiscal_quarter(day).alias("trimestre_fiscal"),
@@ -213,11 +214,7 @@ SELECT m.regiao, m.segmento, m.data_referencia, m.meta_mensal, r.realizado AS re
   r.realizado / nullif(m.meta_mensal, 0) AS atingimento
 FROM monthly m LEFT JOIN realized r USING (regiao, segmento, data_referencia)""")
 def attainment(spark: SparkSession, sf: str) -> DataFrame:
-    sold = flows.keyed_sales(spark, sf)
-    returned = retail.returns_fact(flows.valued_returns(spark, sf), sold)
-    realized = retail.realized_by_member(sold, returned, flows.d_customers(spark, sf))
-    goal = flows.monthly(spark, sf)
-    return retail.target_attainment(goal, realized).select(
+    return retail.target_attainment(flows.monthly(spark, sf), flows.realized(spark, sf)).select(
         "regiao", "segmento", "data_referencia", "meta_mensal",
         F.col("receita_liquida_realizada").cast("double").alias("receita_liquida_realizada"), "atingimento")
 

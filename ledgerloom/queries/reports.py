@@ -68,9 +68,11 @@ FROM tagged GROUP BY safra
 UNION ALL SELECT 'devolucoes', 'todas', count(*), count(*) FILTER (WHERE pedido_origem_encontrado),
   count(*) FILTER (WHERE NOT pedido_origem_encontrado), 0 FROM ret""")
 def volume(spark: SparkSession, sf: str) -> DataFrame:
-    accepted, refused = quality.split_tagged(flows.tagged(spark, sf))
+    tagged = flows.tagged(spark, sf)
+    accepted, refused = quality.split_tagged(tagged)
     of_sales = quality.volume_report("vendas", flows.landed(spark, sf), accepted, refused, "safra")
-    valued = flows.valued_returns(spark, sf)
+    sold = retail.sales(accepted, flows.quotes(spark, sf), flows.people(spark, sf))
+    valued = flows.valued_returns(spark, sf, sold)
     return of_sales.unionByName(
         quality.volume_of_split("devolucoes", "todas", valued, F.col("pedido_origem_encontrado")))
 
@@ -81,9 +83,10 @@ UNION ALL SELECT 'gold.fVendas', count(*) FROM fact
 UNION ALL SELECT 'silver.metas_mensais', count(*) FROM monthly
 UNION ALL SELECT 'gold.fMetas', count(*) FROM monthly""")
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    sold = flows.sales(spark, sf)
     return quality.row_counts({
-        "silver.vendas": flows.sales(spark, sf),
-        "gold.fVendas": flows.f_sales(spark, sf),
+        "silver.vendas": sold,
+        "gold.fVendas": flows.f_sales(spark, sf, sold),
         "silver.metas_mensais": flows.monthly(spark, sf),
         "gold.fMetas": flows.f_targets(spark, sf),
     })
@@ -114,14 +117,15 @@ _CHECKS = {
 def quality_misc(spark: SparkSession, sf: str) -> DataFrame:
     """Named counts, one aggregate per table; each fact is read once however many checks it takes part in."""
     cancelled = is_cancelled(F.col("status_pedido"))
+    sold = flows.sales(spark, sf)
     counted = [
-        (flows.sales(spark, sf), {
+        (sold, {
             "missing_rate": F.col("taxa_cambio_aplicada").isNull(),
             "cancelled_with_revenue": cancelled & (F.col("receita_bruta") != 0),
             "cancelled_sales": cancelled,
             "ambiguous_salesperson_sales": F.col("id_vendedor_ambiguo"),
         }),
-        (flows.valued_returns(spark, sf), {
+        (flows.valued_returns(spark, sf, sold), {
             "returns_over_billed": F.col("quantidade_excede_faturado"),
             "returns_of_cancelled": F.coalesce("devolucao_de_pedido_cancelado", F.lit(False)),
         }),
