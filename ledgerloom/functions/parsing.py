@@ -8,18 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import MONTH_NUMBERS, SERIAL_EPOCH
-from ledgerloom.functions.text import strip_space
+from ledgerloom.functions.text import map_value, strip_space
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Plain numeric text. Keeps out ``nan``, ``inf`` and Java suffixes like ``1d``; the bounds on digits and
+# exponent keep the value finite.
+_NUMBER = r"^[+-]?([0-9]{1,200}\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
 
-# A private-use character that marks a month given by name.
-_NAMED = "\ue000"
+# The written date shapes exclude each other; year 0 matches none.
+_DAY_FIRST = r"^([0-9]{1,2})([/-])([0-9]{1,2})\2((?!0000)[0-9]{4})$"
+_YEAR_FIRST = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_MONTH_NAME = r"^[0-9]{1,2}/[a-zA-Z]{3}/[0-9]{2}$"
+_SERIAL = r"^[0-9]{4,6}$"
 
 
 def _finite_double(c: Column) -> Column:
-    """Double of plain numeric text; the pattern keeps out ``nan``, ``inf`` and Java suffixes like ``1d``."""
-    infinite = F.lit(float("inf"))
-    return F.when(c.rlike(_NUMBER), F.nullif(F.nullif(c.try_cast("double"), infinite), -infinite))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def whole_number(c: Column) -> Column:
@@ -53,17 +56,18 @@ def flexible_date(
     to refuse low ones. Impossible days, year 0 and unknown shapes give NULL.
     """
     v = strip_space(c)
-    numbered = F.lower(v)
-    for name, number in months.items():
-        numbered = F.replace(numbered, F.lit(f"/{name}/"), F.lit(f"/{_NAMED}{number}/"))
-    day_first = F.regexp_replace(numbered, r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4})$", "$4-$3-$1")
-    iso = F.regexp_replace(
-        day_first, rf"^([0-9]{{1,2}})/{_NAMED}([0-9]{{1,2}})/([0-9]{{2}})$", f"{century // 100}$3-$2-$1")
-    written = F.when(iso.rlike("^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_date(iso, "yyyy-M-d"))
     serial = v.try_cast("int")
     if min_serial > 0:
         serial = F.when(serial >= min_serial, serial)
-    return F.when(v.rlike("^[0-9]{4,6}$"), F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial)).otherwise(written)
+    month = map_value(F.lower(F.substring_index(F.substring_index(v, "/", 2), "/", -1)), months)
+    named = F.concat(F.lit(f"{century // 100}"), F.right(v, F.lit(2)), F.lit("-"), month.cast("string"), F.lit("-"),
+                     F.substring_index(v, "/", 1))
+    return (
+        F.when(v.rlike(_DAY_FIRST), F.regexp_replace(v, _DAY_FIRST, "$4-$3-$1").try_cast("date"))
+        .when(v.rlike(_YEAR_FIRST), v.try_cast("date"))
+        .when(v.rlike(_SERIAL), F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial))
+        .when(v.rlike(_MONTH_NAME), named.try_cast("date"))
+    )
 
 
 def month_start(year: Column, month: Column) -> Column:

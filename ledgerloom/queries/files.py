@@ -26,7 +26,7 @@ def _written(df: DataFrame, label: str, **options) -> str:
 
 @query("q_land_delimited", with_(LINES) + """
 SELECT safra, id_pedido, item, data_emissao, id_cliente, quantidade, valor_unitario, desconto_fracao, moeda,
-  status_pedido FROM (SELECT *, unnest(range(copies)) FROM line)""")
+  CASE WHEN safra <> '2024' THEN status_pedido END AS status_pedido_origem FROM (SELECT *, unnest(range(copies)) FROM line)""")
 def land_delimited(spark: SparkSession, sf: str) -> DataFrame:
     """The three yearly extracts as ``;`` ISO-8859-1, ``,`` UTF-8 and ``|`` UTF-8 with a byte-order mark."""
     first, second, third = roles.sales_tables(spark, sf)
@@ -38,10 +38,9 @@ def land_delimited(spark: SparkSession, sf: str) -> DataFrame:
         landing.DelimitedSource("vendas_2026", _written(marked, "v26", sep="|"), "|", source_name="vendas_2026.csv"),
     ]
     landed = landing.land(spark, specs)
-    by_sign = F.when(F.col("safra") == "2024", F.when(F.col("quantidade") < 0, "Cancelado").otherwise("Faturado"))
     return retail.landed_sales(list(landed.values())).select(
         "safra", "id_pedido", "item", "data_emissao", "id_cliente", "quantidade", "valor_unitario",
-        "desconto_fracao", "moeda", F.coalesce(by_sign, "status_pedido_origem").alias("status_pedido"))
+        "desconto_fracao", "moeda", "status_pedido_origem")
 
 
 @query("q_land_multiline", """
