@@ -25,4 +25,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, con, name):
-    assert difference(spark, con, SF, name) is None
+    df = queries()[name](spark, SF)
+    assert difference(df, con, oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
