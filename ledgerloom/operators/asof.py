@@ -1,7 +1,7 @@
 """As-of lookups written as equi joins on a prepared, unique right side.
 
-Neither lookup changes the row count of the fact, sorts the fact inside a window, or compares a fact row
-with more than one row of the right side, so a key that holds a large share of all rows is no special case:
+Neither lookup changes the row count of the fact, sorts the fact inside a window, or joins a fact row to
+more than one row of the right side, so a key that holds a large share of all rows is no special case:
 Spark may broadcast the right side, and otherwise AQE may split the skewed partitions of the join.
 """
 
@@ -109,13 +109,13 @@ def interval_calendar(
     values: Sequence[str],
     boundary: date,
 ) -> DataFrame:
-    """One row per key and month that says which interval wins on which day.
+    """One row per key and month with the pieces of the intervals that fall into it.
 
-    ``full`` is the winner among the intervals that cover the whole month, ``days`` maps a day of the month
-    (31 entries at most) to the winner among those that start or end inside it. The interval with the latest
-    start wins; equal starts are settled by the value columns. After ``boundary`` only open intervals hold,
-    so one row per key under the month 9999-12-31 answers for all later days. All steps are aggregates that
-    combine before their shuffle.
+    A piece is (first day, last day, winner). Of the pieces with the same first and last day only the one of
+    the latest start is kept, equal starts being settled by the value columns, so a month has a few pieces as
+    a rule and 496 (pairs of days) at the very most, however many intervals a key has. After ``boundary`` only
+    open intervals hold, so one row per key under the month 9999-12-31 answers for all later days. All steps
+    are aggregates that combine before their shuffle.
     """
     winner = F.struct(F.col(start).alias("from"), *[F.col(v) for v in values])
     still_open = F.coalesce(F.col(is_open), F.lit(False))
@@ -128,21 +128,16 @@ def interval_calendar(
     )
     months = ranged.filter(F.col("_e") >= F.col("_s")).withColumn(
         "_month", F.explode(F.sequence(F.trunc("_s", "MM"), F.trunc("_e", "MM"), F.expr("interval 1 month"))))
-    month_end = F.last_day("_month")
-    whole = (F.col("_s") <= F.col("_month")) & (F.col("_e") >= month_end)
-    touched = F.sequence(F.greatest("_s", "_month"), F.least(F.col("_e"), month_end), F.expr("interval 1 day"))
-    per_day = (
-        months.withColumn("_day", F.explode_outer(F.when(~whole, touched)))
-        .groupBy("_key", "_month", "_day").agg(F.max("_w").alias("_w"))
-    )
-    per_month = per_day.groupBy("_key", "_month").agg(
-        F.max(F.when(F.col("_day").isNull(), F.col("_w"))).alias("full"),
-        F.map_from_entries(F.collect_list(F.when(F.col("_day").isNotNull(), F.struct("_day", "_w")))).alias("days"),
-    )
+    piece = ["_key", "_month", "_first", "_last"]
+    pieces = months.select(
+        "_key", "_month", F.greatest("_s", "_month").alias("_first"),
+        F.least(F.col("_e"), F.last_day("_month")).alias("_last"), "_w",
+    ).groupBy(*piece).agg(F.max("_w").alias("_w"))
     # An interval that opens after the boundary cannot exist: the boundary is the last start or end.
-    tail = ranged.filter("_open").groupBy("_key").agg(F.max("_w").alias("full")).select(
-        "_key", _beyond().alias("_month"), "full", F.lit(None).cast(per_month.schema["days"].dataType).alias("days"))
-    return per_month.unionByName(tail)
+    tail = ranged.filter("_open").groupBy("_key").agg(F.max("_w").alias("_w")).select(
+        "_key", _beyond().alias("_month"), F.lit(boundary).alias("_first"), _beyond().alias("_last"), "_w")
+    return pieces.unionByName(tail).groupBy("_key", "_month").agg(
+        F.collect_list(F.struct("_first", "_last", "_w")).alias("_pieces"))
 
 
 def last_boundary(intervals: DataFrame, start: str, stop: str, is_open: str) -> date | None:
@@ -177,10 +172,10 @@ def asof_interval(
     month = F.when(F.col(day) > F.lit(boundary), _beyond()).otherwise(F.trunc(day, "MM"))
     joined = fact.withColumn("_probe", month).join(
         right, (F.col(key) == F.col("_key")) & (F.col("_probe") == F.col("_month")), "left")
-    held = F.greatest(F.col("full"), F.try_element_at("days", F.col(day)))
-    picked = joined.withColumn("_held", held)
+    holding = F.filter("_pieces", lambda p: F.col(day).between(p["_first"], p["_last"]))
+    picked = joined.withColumn("_held", F.array_max(F.transform(holding, lambda p: p["_w"])))
     return picked.withColumns({out: F.col("_held").getField(v) for v, out in values.items()}).drop(
-        "_probe", "_key", "_month", "full", "days", "_held")
+        "_probe", "_key", "_month", "_pieces", "_held")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
