@@ -4,21 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash
+from ledgerloom.llm import language, quality, simhash
 from ledgerloom.llm.shared import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _held_out() -> Column:
+    """Rows that no model may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    profiles = language.learn(documents.filter(~_held_out()))
+    named = language.identify(documents.select("doc_id", "text"), profiles)
+    return named.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
     return simhash.near_duplicates(documents)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = tables(spark, sf_dir, "documents", "labels")
+    model = quality.learn(documents, labels.filter(~_held_out()))
+    scored = quality.score(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
     "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
 }
 
 ORACLES: dict[str, str] = {}

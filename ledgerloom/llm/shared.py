@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,3 +30,8 @@ def clear(spark: SparkSession) -> None:
 
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{folder}/{name}.parquet") for name in names]
+
+
+def widened(df: DataFrame, **columns: str) -> T.StructType:
+    """The schema of ``df`` with further columns of the given types."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items())])
