@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, quality, simhash
+from ledgerloom.llm import extraction, language, packing, quality, simhash
 from ledgerloom.llm.shared import tables
 
+#: Where the public vocabulary files lie; a parameter of the operators.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,6 +29,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    return packing.pack_documents(documents, TOKENIZER)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
     return simhash.near_duplicates(documents)
@@ -37,10 +46,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (pages,) = tables(spark, sf_dir, "pages")
+    return extraction.extract(pages)
+
+
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
+    "op3_packing": op3_packing,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op9_extraction": op9_extraction,
 }
 
 ORACLES: dict[str, str] = {}
