@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import extraction, language, packing, quality, simhash
+from ledgerloom.llm import extraction, language, minhash, packing, quality, simhash, urls
 from ledgerloom.llm.shared import tables
 
 #: Where the public vocabulary files lie; a parameter of the operators.
@@ -22,6 +22,14 @@ def _held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (pages,) = tables(spark, sf_dir, "pages")
+    return urls.judge(pages, URL_RULES)
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
     profiles = language.learn(documents.filter(~_held_out()))
@@ -34,6 +42,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, TOKENIZER)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    return minhash.neighbour_report(documents)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
     return simhash.near_duplicates(documents)
@@ -52,8 +65,10 @@ def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_urls": op1_urls,
     "op2_language": op2_language,
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op9_extraction": op9_extraction,
