@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import extraction, language, minhash, packing, quality, simhash, urls
+from ledgerloom.llm import extraction, language, minhash, packing, permutation, quality, simhash, urls
 from ledgerloom.llm.shared import tables
 
 #: Where the public vocabulary files lie; a parameter of the operators.
@@ -59,6 +59,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (embeddings,) = tables(spark, sf_dir, "embeddings")
+    return permutation.search(embeddings, embeddings.filter(F.col("vec_id") % 20 == 0))
+
+
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     (pages,) = tables(spark, sf_dir, "pages")
     return extraction.extract(pages)
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op8_neighbours": op8_neighbours,
     "op9_extraction": op9_extraction,
 }
 
