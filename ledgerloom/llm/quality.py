@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import INVERSE, mix64, offsets_and_bytes, powers, prefix_sums, slices, spaced_words, substring_hashes, text_column
+from ledgerloom.llm.arrays import mix64, offsets_and_bytes, slices, span_hashes, spaced_words, text_column
 from ledgerloom.llm.shared import widened
 
 #: Most labelled rows that a model is fitted on.
@@ -67,8 +67,7 @@ def statistics(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     words = np.diff(first)
     many = np.maximum(words, 1)
     owner = np.repeat(np.arange(n), words)
-    sums, unshift = prefix_sums(out), powers(INVERSE, len(out))
-    hashes = substring_hashes(sums, starts, ends, unshift)
+    hashes = span_hashes(out, starts, ends)
     distinct, commonest = _distinct(owner, hashes, n)
     same = np.bincount(owner[1:][(hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])], minlength=n)
     three = mix64(hashes[:-2] + np.uint64(3) * hashes[1:-1] + np.uint64(7) * hashes[2:])
@@ -79,7 +78,7 @@ def statistics(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
     breaks[1:] |= data == 0x0A
     at = np.flatnonzero(breaks)
     line_from, line_to = at[:-1], at[1:]
-    raw = substring_hashes(prefix_sums(data), line_from, line_to, powers(INVERSE, len(data)))
+    raw = span_hashes(data, line_from, line_to)
     line_owner = np.searchsorted(offsets, line_from, "right") - 1
     lines = np.maximum(np.bincount(line_owner, minlength=n), 1)
     distinct_lines, common_line = _distinct(line_owner, raw, n)
