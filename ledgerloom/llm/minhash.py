@@ -9,17 +9,16 @@ and the likeness is corrected for that.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import INVERSE, mix64, offsets_and_bytes, powers, prefix_sums, slices, spaced_words, substring_hashes, text_column
+from ledgerloom.llm.arrays import mix64, offsets_and_bytes, slices, span_hashes, spaced_words, text_column
 from ledgerloom.llm.shared import written
 
 WORDS = 5
@@ -38,7 +37,7 @@ def signatures(offsets: np.ndarray, data: np.ndarray, words: int = WORDS) -> tup
     n = len(offsets) - 1
     out, starts, ends, first = spaced_words(offsets, data)
     count = np.diff(first)
-    hashes = substring_hashes(prefix_sums(out), starts, ends, powers(INVERSE, len(out)))
+    hashes = span_hashes(out, starts, ends)
     shingles = np.where(count >= words, count - words + 1, np.minimum(count, 1))
     at = np.concatenate(([0], np.cumsum(shingles)))
     text = np.repeat(np.arange(n), shingles)
@@ -67,10 +66,14 @@ def signatures(offsets: np.ndarray, data: np.ndarray, words: int = WORDS) -> tup
     return low.astype(np.uint8), some
 
 
-def packed(low: np.ndarray, some: np.ndarray) -> list[str]:
-    """Fingerprints as text: two bins a byte, in base64; empty for a text without words."""
+def packed(low: np.ndarray, some: np.ndarray) -> pa.Array:
+    """Fingerprints as bytes, two bins in each; none for a text without words."""
     both = low[:, 0::2] << np.uint8(BITS) | low[:, 1::2]
-    return [base64.b64encode(row.tobytes()).decode() if s else "" for row, s in zip(both, some, strict=True)]
+    return pa.array([row.tobytes() if s else b"" for row, s in zip(both, some, strict=True)], pa.binary())
+
+
+def _hex(name: str) -> Column:
+    return F.lower(F.hex(name)).alias(name)
 
 
 def likeness(a: np.ndarray, a_some: np.ndarray, b: np.ndarray, b_some: np.ndarray) -> np.ndarray:
@@ -92,11 +95,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for whole in batches:
             for batch in slices(whole, "text"):
                 marks = signatures(*offsets_and_bytes(text_column(batch, "text")))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed(*marks), pa.string())], names=["id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), packed(*marks)], names=["id", "fingerprint"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col)
+    return picked.mapInArrow(run, f"id {kind}, fingerprint binary").select(F.col("id").alias(id_col), _hex("fingerprint"))
 
 
 def _edited(text: str, following: str) -> str:
@@ -111,8 +114,8 @@ def _compared(ids: pa.Array, texts: list[str], following: list[str]) -> pa.Recor
     low, some = _marks(texts + edited + following)
     own, changed, after = (slice(k * n, (k + 1) * n) for k in range(3))
     columns = [
-        ids, pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-        pa.array(packed(low[own], some[own])), pa.array(packed(low[changed], some[changed])),
+        ids, pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in edited], pa.binary()),
+        packed(low[own], some[own]), packed(low[changed], some[changed]),
         pa.array(likeness(low[own], some[own], low[changed], some[changed])),
         pa.array(likeness(low[own], some[own], low[after], some[after])),
     ]
@@ -127,7 +130,7 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     a partition's last text meets the next partition's first one by a join of those texts alone. Null texts count as
     empty, null ids come last.
     """
-    fields = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    fields = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +138,7 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         names = ["id", *(f.split()[0] for f in fields.split(", ")), "part", "edge", "text"]
 
         def edge(row: pa.RecordBatch, name: str) -> pa.RecordBatch:
-            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
+            empty = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
             return pa.RecordBatch.from_arrays([row.column(0), *empty, pa.array([part], pa.int32()), pa.array([name]), text_column(row, "text").cast(pa.string())], names=names)
 
         for whole in batches:
@@ -170,4 +173,7 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         lasts.select("id", "text", "part").join(following, "part")
         .join(firsts.select(F.col("part").alias("following"), F.col("text").alias("after")), "following").select("id", "text", "after")
     )
-    return rows.filter("edge is null").drop("part", "edge", "text").unionByName(ends.mapInArrow(finish, f"id {kind}, {fields}")).withColumnRenamed("id", id_col)
+    whole = rows.filter("edge is null").drop("part", "edge", "text").unionByName(ends.mapInArrow(finish, f"id {kind}, {fields}"))
+    return whole.select(
+        F.col("id").alias(id_col), "n_chars", _hex("edited_sha256"), _hex("fingerprint"), _hex("edited_fingerprint"), "near_edited", "near_next"
+    )
