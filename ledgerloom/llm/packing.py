@@ -9,7 +9,9 @@ items of the next round, on a sixteenth of the partitions, until one partition i
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import INVERSE, offsets_and_bytes, powers, prefix_sums, slices, spaced_words, substring_hashes, text_column
+from ledgerloom.llm.arrays import offsets_and_bytes, slices, span_hashes, spaced_words, text_column
 from ledgerloom.llm.shared import written
 
 ROOM = 4096
@@ -28,7 +30,8 @@ FAN_IN = 16
 CARRY = 50_000
 #: Pieces that are packed together in the first round.
 ITEMS = 250_000
-SLICE_BYTES = 32 << 20
+#: Parts of words whose ids a task keeps.
+KNOWN = 500_000
 _TAILS = ".,!?*%&$#|;:-()\"/"
 
 
@@ -58,60 +61,77 @@ def best_fit(lengths: np.ndarray, room: int = ROOM) -> tuple[np.ndarray, np.ndar
     return bins, places, free
 
 
-def _vocabulary(path: str):
-    """Two encoders: of any text, and of one lower-case Latin word, which skips the splitting."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-    whole, word = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    word.normalizer = normalizers.Lowercase()
-    word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return whole, word
-
-
-def encode(texts: pa.Array, whole, word) -> tuple[np.ndarray, np.ndarray]:
+class Vocabulary:
+    """A tokenizer and the parts of words that it has encoded so far, at most ``KNOWN`` of them at a time."""
+
+    LATIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
+    TRAILED = re.compile(f"(.*[a-z0-9ß-öø-ÿ])([{re.escape(_TAILS)}]+)", re.DOTALL)
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, self.word = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # for one lower-case Latin word, which needs no splitting
+        self.word.normalizer = normalizers.Lowercase()
+        self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts, self.begin, self.size, self.flat = {"": 0}, array("q", [0]), array("q", [0]), array("I")
+
+    def _encode_new(self) -> None:
+        new = list(self.parts)[len(self.begin) :]
+        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        plain = [bool(self.LATIN.fullmatch(x)) for x in new]
+        for encoder, kind in ((self.word, True), (self.whole, False)):
+            numbers = [k for k, p in enumerate(plain) if p == kind]
+            for low in range(0, len(numbers), 1 << 12):
+                block = numbers[low : low + (1 << 12)]
+                for k, e in zip(block, encoder.encode_batch_fast([new[k] for k in block], add_special_tokens=False), strict=True):
+                    begin[k], size[k] = len(self.flat), len(e)
+                    self.flat.extend(e.ids)
+        self.begin.frombytes(begin.tobytes())
+        self.size.frombytes(size.tobytes())
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Two part numbers for each word (letters, and what trails them or nothing); begin, size and ids of parts."""
+        if len(self.parts) > KNOWN:
+            self._forget()
+        split, parts = np.zeros((len(words), 2), np.int64), self.parts
+        for k, w in enumerate(words):
+            m = None if w.isalpha() else self.TRAILED.fullmatch(w)
+            if m:
+                split[k] = parts.setdefault(m[1], len(parts)), parts.setdefault(m[2], len(parts))
+            else:
+                split[k, 0] = parts.setdefault(w, len(parts))
+        self._encode_new()
+        return split, np.array(self.begin), np.array(self.size), np.array(self.flat, np.uint32)
+
+
+def encode(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of a large_string array, as the tokenizer gives them for each whole text.
 
     The vocabulary's splitter never joins across white space, so a text's ids are those of its words in order, and each
-    distinct word of the slice is encoded once. A text that holds a special token's letters is encoded as it is.
+    distinct word is encoded once. A text that holds a special token's letters is encoded as it is.
     """
-    import re
-
     offsets, data = offsets_and_bytes(texts)
     out, starts, ends, first = spaced_words(offsets, data)
-    hashes = substring_hashes(prefix_sums(out), starts, ends, powers(INVERSE, len(out)))
-    _, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
+    _, sample, place = np.unique(span_hashes(out, starts, ends), return_index=True, return_inverse=True)
     body = out.tobytes()
     distinct = [body[s:e].decode() for s, e in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
-    latin, punctuated = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+"), re.compile(f"(.*[a-z0-9ß-öø-ÿ])([{re.escape(_TAILS)}]+)", re.DOTALL)
-    parts: dict[str, int] = {}
-    split = []
-    for w in distinct:
-        m = None if w.isalpha() else punctuated.fullmatch(w)
-        split.append(tuple(parts.setdefault(x, len(parts)) for x in (m.groups() if m else (w,))))
-    names = list(parts)
-    plain = [k for k, x in enumerate(names) if latin.fullmatch(x)]
-    other = sorted(set(range(len(names))) - set(plain))
-    ids: list[list[int]] = [[]] * len(names)
-    for encoder, numbers in ((word, plain), (whole, other)):
-        for low in range(0, len(numbers), 1 << 14):
-            block = numbers[low : low + (1 << 14)]
-            for k, e in zip(block, encoder.encode_batch_fast([names[k] for k in block], add_special_tokens=False), strict=True):
-                ids[k] = e.ids
-    joined = [ids[x[0]] if len(x) == 1 else ids[x[0]] + ids[x[1]] for x in split]
-    size = np.fromiter(map(len, joined), np.int64, len(joined))
-    flat = np.fromiter((i for x in joined for i in x), np.uint32, int(size.sum()))
-    begin = np.cumsum(size) - size
-    each = size[place]
-    at = np.concatenate(([0], np.cumsum(each)))
-    tokens = flat[np.repeat(begin[place] - at[:-1], each) + np.arange(at[-1])]
-    bounds = at[first]
+    split, begin, size, flat = vocabulary.encode_words(distinct)
+    used = split[place].ravel()
+    each = size[used]
+    at = np.cumsum(each) - each
+    tokens = flat[np.repeat(begin[used] - at, each) + np.arange(each.sum())]
+    bounds = np.append(at, len(tokens))[2 * first]
     special = [k for k, s in enumerate(t in body for t in (b"<|startoftext|>", b"<|endoftext|>")) if s]
     if special:
         rows = [tokens[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for k, text in enumerate(texts.to_pylist()):
             if "<|" in text:
-                rows[k] = np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+                rows[k] = np.array(vocabulary.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         tokens, bounds = np.concatenate(rows), np.concatenate(([0], np.cumsum([len(r) for r in rows])))
     return tokens, bounds
 
@@ -123,10 +143,10 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, word = _vocabulary(tokenizer)
+        vocabulary = Vocabulary(tokenizer)
         for large in batches:
-            for batch in slices(large, "text", SLICE_BYTES):
-                tokens, bounds = encode(text_column(batch, "text"), whole, word)
+            for batch in slices(large, "text"):
+                tokens, bounds = encode(text_column(batch, "text"), vocabulary)
                 tokens = np.insert(tokens, bounds[1:], END_ID).astype("<u4")
                 bounds = bounds + np.arange(len(bounds))
                 count = -(-np.diff(bounds) // room)
