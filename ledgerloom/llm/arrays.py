@@ -32,7 +32,9 @@ def slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterato
     """Runs of rows with at most ``most`` text bytes, or one row."""
     if batch.num_rows == 0:
         return
-    offsets, _ = offsets_and_bytes(text_column(batch, name))
+    column = batch.column(batch.schema.get_field_index(name))
+    wide = pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()
+    offsets, _ = offsets_and_bytes(column.cast(wide).fill_null(b"" if wide == pa.large_binary() else ""))
     low = 0
     while low < batch.num_rows:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, "right")) - 1)

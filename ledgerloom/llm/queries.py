@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import extraction, language, minhash, packing, permutation, quality, simhash, urls
+from ledgerloom.llm import extraction, language, minhash, packing, permutation, quality, simhash, suffixes, urls
 from ledgerloom.llm.shared import tables
 
 #: Where the public vocabulary files lie; a parameter of the operators.
@@ -69,6 +69,11 @@ def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(pages)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (documents,) = tables(spark, sf_dir, "documents")
+    return suffixes.report(documents)
+
+
 QUERIES: dict[str, Query] = {
     "op1_urls": op1_urls,
     "op2_language": op2_language,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op8_neighbours": op8_neighbours,
     "op9_extraction": op9_extraction,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {}
