@@ -17,7 +17,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _held_out() -> Column:
+def held_out() -> Column:
     """Rows that no model may learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
@@ -32,9 +32,9 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
-    profiles = language.learn(documents.filter(~_held_out()))
+    profiles = language.learn(documents.filter(~held_out()))
     named = language.identify(documents.select("doc_id", "text"), profiles)
-    return named.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +54,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = tables(spark, sf_dir, "documents", "labels")
-    model = quality.learn(documents, labels.filter(~_held_out()))
+    model = quality.learn(documents, labels.filter(~held_out()))
     scored = quality.score(documents.select("doc_id", "text"), model)
-    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

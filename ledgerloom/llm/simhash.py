@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import offsets_and_bytes, slices, spaced_words, text_column
@@ -69,17 +69,25 @@ def simhashes(offsets: np.ndarray, data: np.ndarray, words: int = WORDS) -> np.n
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """(id, fingerprint as a signed long) of every whole text; a null, empty or blank text has fingerprint 0."""
+    """(id, k, h, fingerprint as a signed long) of every whole text; a null, empty or blank text has fingerprint 0.
+
+    k and h are hashes of id and text that tell rows apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 marks = simhashes(*offsets_and_bytes(text_column(batch, "text")), words)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], names=["id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(marks.view(np.int64))], names=["id", "k", "h", "fingerprint"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, f"id {kind}, fingerprint long")
+    picked = docs.select(F.col(id_col).alias("id"), *_row_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    return picked.mapInArrow(run, f"id {kind}, k long, h long, fingerprint long")
+
+
+def _row_keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    ident, text = F.col(id_col).cast("string"), F.col(text_col).cast("string")
+    return F.xxhash64(ident, text).alias("k"), F.xxhash64(text, F.lit(1), ident).alias("h")
 
 
 def _ring(start: int, bits: int) -> int:
@@ -225,6 +233,13 @@ def _refined(masks: dict[int, tuple[int, int]]):
     return run
 
 
+def _classes(marks: DataFrame) -> DataFrame:
+    """(fingerprint, root): which distinct fingerprints links connect."""
+    nodes = written(marks.select("fingerprint").distinct(), "nodes")
+    roots = components(links(nodes))
+    return nodes.join(roots, nodes.fingerprint == roots.node, "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) for every row; only the id and text columns are read.
 
@@ -234,13 +249,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives an empty result.
     """
     marks = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = written(marks.groupBy("fingerprint").agg(F.min("id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fingerprint")))
-    rooted = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
-    return marks.join(classes, "fingerprint").select(
+    least = marks.groupBy("fingerprint").agg(F.min("id").alias("least"))
+    rooted = written(_classes(marks).join(least, "fingerprint"), "rooted")
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = rooted.select("fingerprint", "root").join(groups, "root").select("fingerprint", "component_id")
+    return marks.select("id", "fingerprint").join(classes, "fingerprint").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id's (null last), once if rows repeat."""
+    marks = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    one = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "k", "h")).alias("row")
+    first = marks.groupBy("fingerprint").agg(one)
+    chosen = _classes(marks).join(first, "fingerprint").groupBy("root").agg(F.min("row").alias("row")).select(
+        F.col("row.k").alias("_k"), F.col("row.h").alias("_h")
+    )
+    k, h = _row_keys(id_col, text_col)
+    kept = docs.withColumns({"_k": k, "_h": h}).join(chosen, ["_k", "_h"], "left_semi")
+    return kept.dropDuplicates(["_k", "_h"]).select(*docs.columns)
