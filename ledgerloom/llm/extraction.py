@@ -27,6 +27,11 @@ TRAINING = [
     (1, 0, 30, 0.3, 25, 0.0, 8, 0.0, 1), (1, 0, 120, 0.02, 0, 0.0, 0, 0.0, 1), (1, 0, 5, 0.0, 0, 0.0, 0, 0.0, 1),
     (1, 0, 6, 1.0, 40, 0.0, 50, 0.0, 1), (1, 0, 12, 0.5, 60, 0.1, 30, 0.0, 1), (1, 0, 1, 1.0, 30, 0.0, 25, 0.1, 1),
     (1, 0, 16, 0.0, 4, 1.0, 3, 1.0, 1), (1, 0, 4, 0.0, 6, 1.0, 5, 0.0, 1), (1, 0, 7, 0.0, 5, 0.0, 6, 1.0, 1),
+    (1, 0, 20, 0.0, 6, 1.0, 0, 0.0, 1), (1, 0, 2, 0.0, 30, 0.7, 0, 0.0, 1), (1, 0, 60, 0.1, 4, 1.0, 0, 0.0, 1),
+    (1, 0, 6, 1.0, 40, 0.0, 0, 0.0, 1), (1, 0, 8, 0.6, 10, 0.0, 5, 0.0, 1), (1, 0, 2, 1.0, 1, 0.0, 3, 0.0, 1),
+    (1, 0, 9, 0.8, 0, 0.0, 7, 0.0, 1), (1, 0, 30, 0.5, 20, 0.0, 12, 0.1, 1), (1, 0, 14, 0.7, 3, 0.2, 0, 0.0, 1),
+    (1, 0, 3, 0.0, 40, 0.0, 6, 1.0, 1), (1, 0, 2, 0.0, 0, 0.0, 5, 1.0, 1), (1, 0, 5, 0.2, 5, 0.8, 9, 0.9, 1),
+    (1, 0, 1, 0.0, 9, 0.0, 3, 0.6, 1), (1, 0, 4, 0.0, 2, 1.0, 1, 1.0, 1), (1, 0, 6, 0.1, 20, 0.9, 8, 0.5, 1),
     # runs of links inside an article
     (1, 0, 4, 1.0, 5, 1.0, 4, 1.0, 0), (1, 0, 6, 1.0, 3, 1.0, 8, 1.0, 0), (1, 0, 2, 1.0, 2, 1.0, 3, 1.0, 0),
     # advertisements, notices, forms and comments inside an article
@@ -40,9 +45,14 @@ TRAINING = [
     (0, 0, 60, 0.0, 10, 0.0, 55, 0.0, 1), (0, 0, 25, 0.1, 30, 0.0, 28, 0.0, 1), (0, 0, 90, 0.05, 2, 1.0, 1, 1.0, 1),
     (0, 0, 18, 0.0, 40, 0.0, 35, 0.0, 1), (0, 0, 8, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 3, 0.0, 60, 0.0, 40, 0.0, 1),
     (0, 0, 6, 0.0, 1, 1.0, 70, 0.0, 1), (0, 0, 40, 0.2, 70, 0.0, 5, 1.0, 1), (0, 0, 5, 0.0, 0, 0.0, 60, 0.0, 1),
+    (0, 0, 40, 0.0, 2, 1.0, 30, 0.0, 1), (0, 0, 70, 0.0, 3, 1.0, 60, 0.0, 1), (0, 0, 25, 0.0, 2, 1.0, 20, 0.0, 1),
+    (0, 0, 100, 0.0, 8, 1.0, 90, 0.1, 1), (0, 0, 16, 0.0, 4, 1.0, 40, 0.0, 1), (0, 0, 50, 0.1, 1, 1.0, 15, 0.0, 1),
+    (0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 5, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 1, 0.0, 0, 0.0, 0, 0.0, 1),
     (0, 0, 14, 0.0, 22, 0.0, 2, 1.0, 1), (0, 0, 10, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 30, 0.0, 0, 0.0, 0, 0.0, 1),
     (0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0), (0, 0, 1, 1.0, 0, 0.0, 3, 1.0, 0), (0, 0, 12, 0.9, 8, 0.8, 15, 0.7, 0),
     (0, 0, 30, 0.8, 20, 0.6, 25, 0.9, 0), (0, 0, 4, 0.0, 3, 1.0, 2, 1.0, 0), (0, 0, 6, 0.5, 40, 0.0, 2, 1.0, 0),
+    (0, 0, 2, 1.0, 0, 0.0, 40, 0.0, 0), (0, 0, 1, 1.0, 70, 0.0, 0, 0.0, 0), (0, 0, 8, 1.0, 30, 0.0, 60, 0.0, 0),
+    (0, 0, 3, 1.0, 0, 0.0, 90, 0.0, 0), (0, 0, 4, 1.0, 55, 0.0, 30, 0.0, 0), (0, 0, 15, 0.9, 90, 0.0, 80, 0.0, 0),
     (0, 0, 5, 1.0, 80, 0.0, 4, 1.0, 0), (0, 0, 3, 0.6, 2, 1.0, 4, 0.5, 0), (0, 0, 7, 0.0, 2, 1.0, 0, 0.0, 0),
 ]
 DEPTH = 8
