@@ -59,7 +59,7 @@ def _lexical(urls: DataFrame) -> DataFrame:
     digits = lambda c: F.length(F.regexp_replace(c, "[^0-9]", ""))
     entropy = F.expr(
         "aggregate(transform(array_distinct(split(coalesce(_url, ''), '')), "
-        "c -> (length(_url) - length(replace(_url, c, ''))) / double(length(_url))), 0D, "
+        "c -> (length(_url) - length(replace(_url, c, ''))) / double(greatest(length(_url), 1))), 0D, "
         "(a, p) -> a - if(p > 0, p * log2(p), 0D))"
     )
     labels = F.split("_host", r"\.")
