@@ -1,7 +1,7 @@
 """Best-fit packing by hierarchical residual rounds.
 
-Documents become token pieces of at most ``ROOM`` tokens. Each partition packs its own pieces best-fit, the longest
-first: a piece goes where least room would be left. Bins with at most ``SLACK`` free tokens are done. The others are
+Documents become token pieces of at most ``ROOM`` tokens, which are dealt out evenly, so that long and short ones mix
+however the documents came. Each partition packs its own pieces best-fit, the longest first: a piece goes where least room would be left. Bins with at most ``SLACK`` free tokens are done. The others are
 items of the next round, on a sixteenth of the partitions, until one partition is left. A task hands on its
 ``CARRY`` emptiest bins at most; fuller ones are final as they are, so that no round grows with the input.
 """
@@ -222,10 +222,10 @@ def pack(items: DataFrame, room: int = ROOM) -> DataFrame:
     """
     kept = items.drop("sequence_id", "offset")
     first = kept.withColumns({"bin": F.lit(0).cast("long"), "place": F.lit(0).cast("long"), "filled": F.lit(0).cast("long")}).schema
-    packed = written(kept.mapInArrow(_pack_rows(room), first), "packed")
+    parts = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = written(kept.repartition(parts).mapInArrow(_pack_rows(room), first), "packed")
     open_bins = packed.filter(F.col("filled") < room - SLACK).groupBy("bin").agg(F.max("filled").alias("filled"))
     assigned, level = None, 0
-    parts = max(packed.rdd.getNumPartitions(), int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     while assigned is None or parts > 1:
         parts = -(-parts // FAN_IN)
         level += 1
