@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from compare import difference, duck
+from ledgerloom.queries import ORACLES, QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,17 +17,18 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF)
-    assert difference(df, con, oracle_sql()[name]) is None
+    assert difference(df, con, ORACLES[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
