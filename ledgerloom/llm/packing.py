@@ -30,8 +30,10 @@ FAN_IN = 16
 CARRY = 50_000
 #: Pieces that are packed together in the first round.
 ITEMS = 250_000
+#: Text bytes that are encoded at a time.
+SLICE_BYTES = 2 << 20
 #: Parts of words whose ids a task keeps.
-KNOWN = 500_000
+KNOWN = 300_000
 _TAILS = ".,!?*%&$#|;:-()\"/"
 
 
@@ -86,8 +88,8 @@ class Vocabulary:
         plain = [bool(self.LATIN.fullmatch(x)) for x in new]
         for encoder, kind in ((self.word, True), (self.whole, False)):
             numbers = [k for k, p in enumerate(plain) if p == kind]
-            for low in range(0, len(numbers), 1 << 12):
-                block = numbers[low : low + (1 << 12)]
+            for low in range(0, len(numbers), 1 << 10):
+                block = numbers[low : low + (1 << 10)]
                 for k, e in zip(block, encoder.encode_batch_fast([new[k] for k in block], add_special_tokens=False), strict=True):
                     begin[k], size[k] = len(self.flat), len(e)
                     self.flat.extend(e.ids)
@@ -124,7 +126,9 @@ def encode(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndar
     used = split[place].ravel()
     each = size[used]
     at = np.cumsum(each) - each
-    tokens = flat[np.repeat(begin[used] - at, each) + np.arange(each.sum())]
+    source = np.repeat(begin[used] - at, each)
+    source += np.arange(len(source))
+    tokens = flat[source]
     bounds = np.append(at, len(tokens))[2 * first]
     special = [k for k, s in enumerate(t in body for t in (b"<|startoftext|>", b"<|endoftext|>")) if s]
     if special:
@@ -145,9 +149,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(tokenizer)
         for large in batches:
-            for batch in slices(large, "text"):
+            for batch in slices(large, "text", SLICE_BYTES):
                 tokens, bounds = encode(text_column(batch, "text"), vocabulary)
-                tokens = np.insert(tokens, bounds[1:], END_ID).astype("<u4")
+                tokens = np.insert(tokens.astype("<u4"), bounds[1:], END_ID)
                 bounds = bounds + np.arange(len(bounds))
                 count = -(-np.diff(bounds) // room)
                 owner = np.repeat(np.arange(len(count)), count)
