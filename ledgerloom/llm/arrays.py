@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes that are worked on at a time; one longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -40,6 +40,7 @@ def slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterato
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, "right")) - 1)
         yield batch.slice(low, high - low)
         low = high
+    pa.default_memory_pool().release_unused()  # else a worker that is used again keeps its largest batch's memory
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -142,7 +142,7 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             return pa.RecordBatch.from_arrays([row.column(0), *empty, pa.array([part], pa.int32()), pa.array([name]), text_column(row, "text").cast(pa.string())], names=names)
 
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text"):
                 if last is None:
                     yield edge(batch.slice(0, 1), "first")
                     joined = batch
@@ -159,7 +159,7 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in slices(batch, "text", 2 << 20):
+            for row in slices(batch, "text"):
                 yield _compared(row.column(0), text_column(row, "text").to_pylist(), text_column(row, "after").to_pylist())
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -35,7 +35,7 @@ ANCHOR = 48
 COLLECTION = 20_000
 LEVELS = 4
 _BLOCK_ROWS = 20_000
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _KEYS = "anchor long, segment long"
 
