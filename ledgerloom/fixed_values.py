@@ -87,8 +87,8 @@ SALESPERSON_SENTINELS = [
     {"sk_vendedor": -2, "id_vendedor": "V001_AMBIGUO", "nome": "Vendedor ambíguo (código duplicado)", "cargo": "N/A"},
 ]
 
-# Descriptions in the ambiguous-key report.
-AMBIGUOUS_TAX_ID = "Mesmo CNPJ com mais de um id_cliente (recadastramento pós-migração)"
-AMBIGUOUS_SALESPERSON = "Mesmo id_vendedor atribuído a duas pessoas diferentes (V001)"
-AMBIGUOUS_SALES = "Vendas que herdam a ambiguidade do id_vendedor duplicado"
-AMBIGUOUS_PORTFOLIO = "Vínculos cliente-vendedor que herdam a mesma ambiguidade"
+# Descriptions in the ambiguous-key report.
+AMBIGUOUS_TAX_ID = "CNPJ em mais de um cliente"
+AMBIGUOUS_SALESPERSON = "Código de vendedor usado por mais de uma pessoa"
+AMBIGUOUS_SALES = "Venda com código de vendedor repetido"
+AMBIGUOUS_PORTFOLIO = "Vínculo com código de vendedor repetido"

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from ledgerloom.fixed_values import MONTH_NUMBERS, SERIAL_EPOCH
 from ledgerloom.functions.text import map_value, strip_space
 
-# Plain numeric text. Keeps out ``nan``, ``inf`` and Java suffixes like ``1d``; the bounds on digits and
-# exponent keep the value finite.
-_NUMBER = r"^[+-]?([0-9]{1,200}\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
+# Plain numeric text. Keeps out ``nan``, ``inf`` and Java suffixes like ``1d``.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # The written date shapes exclude each other; year 0 matches none.
 _DAY_FIRST = r"^([0-9]{1,2})([/-])([0-9]{1,2})\2((?!0000)[0-9]{4})$"
@@ -22,7 +21,9 @@ _SERIAL = r"^[0-9]{4,6}$"
 
 
 def _finite_double(c: Column) -> Column:
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    """Any written number that a double can hold; one beyond its range is unreadable, not infinite."""
+    value = c.try_cast("double")
+    return F.when(c.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
 def whole_number(c: Column) -> Column:

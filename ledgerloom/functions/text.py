@@ -3,31 +3,48 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import LEGAL_ACRONYMS
 
-# Letters with a one-letter compatibility decomposition, generated from the Unicode data rather than
-# typed in: Latin-1, Latin Extended, Latin Extended Additional and full-width forms.
-_FOLD_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0xFF01, 0xFF5F))
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Compatibility decompositions without combining marks, for every code point of the Unicode data.
 
+    One-letter ones and marks (which go) as the two strings of ``translate``, longer ones as a map.
+    """
+    single, several, marks = {}, {}, []
+    for letter in map(chr, (p for p in range(0x80, 0x110000) if not 0xD800 <= p < 0xE000)):
+        if not (unicodedata.decomposition(letter) or unicodedata.combining(letter) or "가" <= letter <= "힣"):
+            continue
+        plain = "".join(ch for ch in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(ch))
+        if not plain:
+            marks.append(letter)
+        elif plain != letter:
+            (single if len(plain) == 1 else several)[letter] = plain
+    return "".join([*single, *marks]), "".join(single.values()), several
 
-def _fold_table() -> tuple[str, str]:
-    source, target = [], []
-    for low, high in _FOLD_RANGES:
-        for point in range(low, high):
-            plain = "".join(ch for ch in unicodedata.normalize("NFKD", chr(point)) if not unicodedata.combining(ch))
-            if len(plain) == 1 and plain != chr(point):
-                source.append(chr(point))
-                target.append(plain)
-    return "".join(source), "".join(target)
 
+# ``translate`` pairs characters by position and drops those beyond the second string.
+FOLD_FROM, FOLD_TO, FOLD_SEVERAL = _fold_tables()
 
-# ``translate`` pairs characters by position, so both strings always have the same length.
-FOLD_FROM, FOLD_TO = _fold_table()
+
+def _ranges(letters: Iterable[str]) -> str:
+    """A character class that holds exactly ``letters``."""
+    points, runs = sorted(map(ord, letters)), []
+    for point in points:
+        if runs and runs[-1][1] == point - 1:
+            runs[-1][1] = point
+        else:
+            runs.append([point, point])
+    return "[" + "".join(rf"\x{{{low:X}}}-\x{{{high:X}}}" for low, high in runs) + "]"
+
+
+# Only texts that hold one of these letters pay for the lookup letter by letter.
+_HAS_SEVERAL = _ranges(FOLD_SEVERAL)
+_SEVERAL_TEXT = "\x01".join(f"{letter}\x02{plain}" for letter, plain in FOLD_SEVERAL.items())
 
 
 # Every white-space character of Unicode, by rule.
@@ -57,7 +74,11 @@ def code_key(c: Column) -> Column:
 
 
 def fold_accents(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, FOLD_FROM, FOLD_TO), r"\p{M}", "")
+    """Every letter by its compatibility decomposition, ligatures included, without combining marks."""
+    table = F.str_to_map(F.lit(_SEVERAL_TEXT), F.lit("\x01"), F.lit("\x02"))
+    letters = F.transform(F.split(c, ""), lambda letter: F.coalesce(F.try_element_at(table, letter), letter))
+    whole = F.when(c.rlike(_HAS_SEVERAL), F.array_join(letters, "")).otherwise(c)
+    return F.translate(whole, FOLD_FROM, FOLD_TO)
 
 
 def match_key(c: Column) -> Column:

@@ -2,7 +2,8 @@
 
 Neither lookup changes the row count of the fact, sorts the fact inside a window, or joins a fact row to
 more than one row of the right side, so a key that holds a large share of all rows is no special case:
-Spark may broadcast the right side, and otherwise AQE may split the skewed partitions of the join.
+Spark broadcasts a right side that it measures as small, and otherwise AQE may split the skewed partitions of
+the join, whose exchange stands directly under it.
 """
 
 from __future__ import annotations
@@ -16,10 +17,6 @@ from pyspark.sql.window import Window
 
 from ledgerloom.fixed_values import OPEN_END
 
-# A spine row is about 40 bytes in a hash relation, so this keeps a broadcast near 40 MB.
-MAX_BROADCAST_SPINE_ROWS = 1_000_000
-
-
 def _beyond() -> Column:
     """Key of the row that holds for every day after the last boundary."""
     return F.lit(OPEN_END).cast("date")
@@ -35,27 +32,22 @@ def asof_rates(
     quote_currency: str,
     quote_rate: str,
     out: str,
-    max_broadcast_rows: int = MAX_BROADCAST_SPINE_ROWS,
 ) -> DataFrame:
     """Latest rate quoted on or before ``day`` for the row's currency; NULL before the first quote.
 
     The quotes become one row per currency and day up to the last quote, plus one row per currency for all
-    later days, so the lookup is an equality. The spine size is worked out from one small aggregate of the
-    quote table: within ``max_broadcast_rows`` it is broadcast and the fact is not shuffled, beyond it
-    Spark joins the two sides as any large tables. Of two quotes for one day the higher one counts.
+    later days, so the lookup is an equality. Of two quotes for one day the higher one counts; one dated
+    9999-12-31, the key of all later days, is none.
     """
     clean = (
-        quotes.filter(F.col(quote_day).isNotNull() & F.col(quote_rate).isNotNull())
+        quotes.filter((F.col(quote_day) < _beyond()) & F.col(quote_rate).isNotNull())
         .groupBy(F.col(quote_currency).alias("_cur"), F.col(quote_day).alias("_from"))
         .agg(F.max(quote_rate).alias(out))
     )
-    span = clean.agg(
-        F.min("_from").alias("first"), F.max("_from").alias("last"), F.count_distinct("_cur").alias("currencies")
-    ).first()
-    if span["first"] is None:
+    newest = clean.agg(F.max("_from")).first()[0]
+    if newest is None:
         return fact.withColumn(out, F.lit(None).cast(quotes.schema[quote_rate].dataType))
-    spine_rows = span["currencies"] * ((span["last"] - span["first"]).days + 2)
-    last = F.lit(span["last"])
+    last = F.lit(newest)
 
     # Rows per currency are bounded by the days of the span because days were made unique above.
     following = F.lead("_from").over(Window.partitionBy("_cur").orderBy("_from"))
@@ -65,12 +57,11 @@ def asof_rates(
     days = F.when(F.col("_next").isNull(), F.concat(F.sequence("_from", until, one_day), F.array(_beyond())))
     spine = dated.withColumn("_until", until).select(
         "_cur", F.explode(F.coalesce(days, F.sequence("_from", "_until", one_day))).alias("_day"), out)
-    right = F.broadcast(spine) if spine_rows <= max_broadcast_rows else spine
 
     probe = F.when(F.col(day) > last, _beyond()).otherwise(F.col(day))
     return (
         fact.withColumn("_probe", probe)
-        .join(right, (F.col(currency) == F.col("_cur")) & (F.col("_probe") == F.col("_day")), "left")
+        .join(spine, (F.col(currency) == F.col("_cur")) & (F.col("_probe") == F.col("_day")), "left")
         .drop("_probe", "_cur", "_day")
     )
 
@@ -86,7 +77,6 @@ def convert_currency(
     quote_currency: str,
     quote_rate: str,
     out: str,
-    max_broadcast_rows: int = MAX_BROADCAST_SPINE_ROWS,
 ) -> DataFrame:
     """Add the rate to ``base``: 1.0 for the base currency itself, else the as-of rate (NULL when none)."""
     folded = fact.withColumn("_currency", F.upper(F.trim(currency)))
@@ -94,7 +84,7 @@ def convert_currency(
     foreign = F.when(F.col("_currency") != base, F.col("_currency"))
     rated = asof_rates(
         folded.withColumn("_foreign", foreign), folded_quotes, day=day, currency="_foreign", quote_day=quote_day,
-        quote_currency=quote_currency, quote_rate=quote_rate, out=out, max_broadcast_rows=max_broadcast_rows)
+        quote_currency=quote_currency, quote_rate=quote_rate, out=out)
     return rated.withColumn(out, F.when(F.col("_currency") == base, F.lit(1.0)).otherwise(F.col(out))).drop(
         "_currency", "_foreign")
 
@@ -107,42 +97,29 @@ def interval_calendar(
     stop: str,
     is_open: str,
     values: Sequence[str],
-    boundary: date,
+    months: Sequence[date],
 ) -> DataFrame:
-    """One row per key and month with the pieces of the intervals that fall into it.
+    """One row per key and wanted month with the pieces of the intervals that fall into it.
 
     A piece is (first day, last day, winner). Of the pieces with the same first and last day only the one of
     the latest start is kept, equal starts being settled by the value columns, so a month has a few pieces as
-    a rule and 496 (pairs of days) at the very most, however many intervals a key has. After ``boundary`` only
-    open intervals hold, so one row per key under the month 9999-12-31 answers for all later days. All steps
-    are aggregates that combine before their shuffle.
+    a rule and 496 (pairs of days) at the very most, however many intervals a key has. Only ``months`` are laid
+    out, so neither an open interval nor an outlier date makes more rows. All steps are aggregates that combine
+    before their shuffle; the key columns are expressions over the last one, so that a join has its own exchange.
     """
     winner = F.struct(F.col(start).alias("from"), *[F.col(v) for v in values])
-    still_open = F.coalesce(F.col(is_open), F.lit(False))
+    until = F.when(F.coalesce(F.col(is_open), F.lit(False)), _beyond()).otherwise(F.col(stop))
     ranged = intervals.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
-        F.col(key).alias("_key"),
-        F.col(start).alias("_s"),
-        F.when(still_open, F.lit(boundary)).otherwise(F.col(stop)).alias("_e"),
-        still_open.alias("_open"),
-        winner.alias("_w"),
-    )
-    months = ranged.filter(F.col("_e") >= F.col("_s")).withColumn(
-        "_month", F.explode(F.sequence(F.trunc("_s", "MM"), F.trunc("_e", "MM"), F.expr("interval 1 month"))))
-    piece = ["_key", "_month", "_first", "_last"]
-    pieces = months.select(
+        F.col(key).alias("_key"), F.col(start).alias("_s"), until.alias("_e"), winner.alias("_w"))
+    touched = F.filter(F.lit(list(months)), lambda m: (m >= F.trunc("_s", "MM")) & (m <= F.col("_e")))
+    in_months = ranged.filter(F.col("_e") >= F.col("_s")).withColumn("_month", F.explode(touched))
+    pieces = in_months.select(
         "_key", "_month", F.greatest("_s", "_month").alias("_first"),
         F.least(F.col("_e"), F.last_day("_month")).alias("_last"), "_w",
-    ).groupBy(*piece).agg(F.max("_w").alias("_w"))
-    # An interval that opens after the boundary cannot exist: the boundary is the last start or end.
-    tail = ranged.filter("_open").groupBy("_key").agg(F.max("_w").alias("_w")).select(
-        "_key", _beyond().alias("_month"), F.lit(boundary).alias("_first"), _beyond().alias("_last"), "_w")
-    return pieces.unionByName(tail).groupBy("_key", "_month").agg(
-        F.collect_list(F.struct("_first", "_last", "_w")).alias("_pieces"))
-
-
-def last_boundary(intervals: DataFrame, start: str, stop: str, is_open: str) -> date | None:
-    finite = F.when(~F.coalesce(F.col(is_open), F.lit(False)), F.col(stop))
-    return intervals.agg(F.greatest(F.max(start), F.max(finite))).first()[0]
+    ).groupBy("_key", "_month", "_first", "_last").agg(F.max("_w").alias("_w"))
+    held = pieces.groupBy("_key", "_month").agg(F.collect_list(F.struct("_first", "_last", "_w")).alias("_pieces"))
+    some = F.size("_pieces") > 0
+    return held.select(*[F.when(some, F.col(c)).alias(c) for c in ("_key", "_month")], "_pieces")
 
 
 def asof_interval(
@@ -156,20 +133,20 @@ def asof_interval(
     stop: str,
     is_open: str,
     values: dict[str, str],
-    boundary: date | None = None,
 ) -> DataFrame:
     """Values of the interval that holds on the row's day; both ends count, the latest start wins.
 
-    ``values`` maps interval columns to the columns added to the fact, NULL where no interval holds.
-    ``boundary`` is the last finite start or end; it is looked up when not given.
+    ``values`` maps interval columns to the columns added to the fact, NULL where no interval holds. The fact is
+    read once more for the months that it has, so pass a written one.
     """
-    boundary = boundary or last_boundary(intervals, start, stop, is_open)
-    if boundary is None:
+    month = F.trunc(day, "MM")
+    # at most one row per month of the calendar
+    months = [row.m for row in fact.select(month.alias("m")).distinct().dropna().orderBy("m").collect()]
+    if not months:
         types = {f.name: f.dataType for f in intervals.schema.fields}
         return fact.withColumns({out: F.lit(None).cast(types[v]) for v, out in values.items()})
     right = interval_calendar(
-        intervals, key=interval_key, start=start, stop=stop, is_open=is_open, values=list(values), boundary=boundary)
-    month = F.when(F.col(day) > F.lit(boundary), _beyond()).otherwise(F.trunc(day, "MM"))
+        intervals, key=interval_key, start=start, stop=stop, is_open=is_open, values=list(values), months=months)
     joined = fact.withColumn("_probe", month).join(
         right, (F.col(key) == F.col("_key")) & (F.col("_probe") == F.col("_month")), "left")
     holding = F.filter("_pieces", lambda p: F.col(day).between(p["_first"], p["_last"]))

@@ -12,9 +12,6 @@ from ledgerloom.operators.joins import drop_side, left_join_unique, unique_side
 from ledgerloom.sources.staging import staged
 from ledgerloom.sources.tables import rows_like
 
-# Up to this many members are numbered by one ordered task.
-SINGLE_TASK_MEMBERS = 200_000
-
 _ROW_IN_PARTITION = (1 << 33) - 1
 
 
@@ -22,18 +19,15 @@ def with_surrogate_key(
     df: DataFrame,
     order_by: Sequence[str],
     sk: str,
-    single_task_members: int = SINGLE_TASK_MEMBERS,
     partitions: int | None = None,
 ) -> DataFrame:
     """Dense numbers 1..N in the order of ``order_by``, which should end in columns that break ties.
 
-    The member count is checked first. A dimension within ``single_task_members`` is numbered by one task.
-    A larger one is range-partitioned and sorted, each row takes its position inside its partition, and the
-    rows are written once; the partition sizes (one row per partition) then give the offsets. Numbers are
-    computed from the written rows, so a lost executor cannot change a partition boundary half-way.
+    The rows are range-partitioned and sorted, each takes its position inside its partition, and they are
+    written once; the partition sizes (one row per partition) then give the offsets. Numbers are computed from
+    the written rows, so a lost executor cannot change a partition boundary half-way, and whoever reads the
+    dimension twice does not build it twice.
     """
-    if df.limit(single_task_members + 1).count() <= single_task_members:
-        return df.withColumn(sk, F.row_number().over(Window.orderBy(*order_by)).cast("long"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = staged(
         df.repartitionByRange(n, *order_by)
@@ -107,18 +101,20 @@ def flatten_hierarchy(
     orphan: str,
     orphan_label: str,
 ) -> DataFrame:
-    """One level of head office: group id and name per member, a missing parent flagged and labelled."""
+    """One level of head office: group id and name per member. A parent that no row has is flagged and labelled.
+
+    A head office that exists without a name is no orphan; its branches then go under their own name.
+    """
+    offices = unique_side(df.select(member, name), [member], [F.min(name).alias("_office")])
     on = {group: member}
-    heads = unique_side(df.select(member, name), [member], [F.min(name).alias("_head_name")])
-    joined = left_join_unique(df.withColumn(group, F.coalesce(parent, member)), heads, on)
-    lost = F.col(parent).isNotNull() & F.col("_head_name").isNull()
-    label = F.concat(F.lit(orphan_label), F.col(parent), F.lit(")"))
-    flattened = joined.withColumns({
-        is_head: F.col(parent).isNull(),
-        orphan: lost,
-        group_name: F.when(lost, label).otherwise(F.coalesce("_head_name", name)),
-    })
-    return drop_side(flattened, on, "_head_name")
+    placed = left_join_unique(df.withColumn(group, F.coalesce(parent, member)), offices, on)
+    branch = F.col(parent).isNotNull()
+    unknown = branch & F.col("_rows").isNull()
+    named = (
+        F.when(unknown, F.format_string(orphan_label.replace("%", "%%") + "%s)", F.col(parent)))
+        .otherwise(F.coalesce("_office", name))
+    )
+    return drop_side(placed.withColumns({is_head: ~branch, orphan: unknown, group_name: named}), on, "_office")
 
 
 def conformed_dimension(frames: Sequence[DataFrame], columns: Sequence[str], sk: str) -> DataFrame:

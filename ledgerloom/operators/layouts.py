@@ -44,11 +44,11 @@ class Layout:
     fields: Mapping[str, Field]
     tag: str = "safra"
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         columns = [field.read().alias(target) for target, field in self.fields.items()]
-        return df.select(F.lit(self.name).alias(self.tag), *columns)
+        return df.select(F.lit(self.name).alias(self.tag), *columns, *keep)
 
 
-def harmonize(sources: Sequence[tuple[Layout, DataFrame]]) -> DataFrame:
-    """All layouts in the common schema, united by column name."""
-    return reduce(DataFrame.unionByName, [layout.apply(df) for layout, df in sources])
+def harmonize(sources: Sequence[tuple[Layout, DataFrame]], keep: Sequence[str] = ()) -> DataFrame:
+    """All layouts in the common schema, united by column name; ``keep`` names columns that pass through."""
+    return reduce(DataFrame.unionByName, [layout.apply(df, keep) for layout, df in sources])

@@ -115,20 +115,32 @@ class KeyCheck:
 
 def orphan_keys(fact: DataFrame, fk: str, dim: DataFrame, pk: str, ignore_nulls: bool = True) -> DataFrame:
     """Distinct foreign keys without a member. Keys are made distinct before the join, so it sees no skew."""
-    keys = fact.select(F.col(fk).alias("_fk")).distinct()
-    if ignore_nulls:
-        keys = keys.filter(F.col("_fk").isNotNull())
-    members = dim.select(F.col(pk).alias("_pk")).distinct()
-    return keys.join(members, F.col("_fk") == F.col("_pk"), "left_anti").select(F.col("_fk").alias(fk))
+    members = dim.groupBy(F.col(pk).alias("_member")).agg(F.lit(True).alias("_known"))
+    used = fact.groupBy(fk).agg(F.lit(True).alias("_used"))
+    kept = used.dropna(subset=[fk]) if ignore_nulls else used
+    return kept.join(members, F.col(fk) == F.col("_member"), "left").filter(F.col("_known").isNull()).select(fk)
 
 
 def orphan_key_report(checks: Sequence[KeyCheck]) -> DataFrame:
-    return _union([
-        orphan_keys(c.fact, c.fk, c.dim, c.pk).agg(F.count(F.lit(1)).alias("chaves_distintas_orfas")).select(
-            F.lit(c.fact_name).alias("fato"), F.lit(c.fk).alias("coluna_fk"),
-            F.lit(c.dim_name).alias("dimensao_referenciada"), "chaves_distintas_orfas")
-        for c in checks
+    """Number of distinct keys without a member per check. A fact is read once for all of its checks."""
+    facts: dict[str, list[tuple[int, KeyCheck]]] = {}
+    for number, check in enumerate(checks):
+        facts.setdefault(check.fact_name, []).append((number, check))
+    used = _union([
+        own[0][1].fact.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("n"), F.col(c.fk).cast("string").alias("key")) for n, c in own]))).dropna().distinct()
+        for own in facts.values()
     ])
+    members = _union([
+        c.dim.select(F.lit(n).alias("n"), F.col(c.pk).cast("string").alias("key")) for n, c in enumerate(checks)
+    ]).dropna().groupBy("n", "key").agg(F.lit(True).alias("known"))
+    missing = used.join(members, ["n", "key"], "left").filter(F.col("known").isNull()).groupBy("n").agg(
+        F.count(F.lit(1)).alias("missing"))
+    listed = checks[0].fact.sparkSession.createDataFrame(
+        [(n, c.fact_name, c.fk, c.dim_name) for n, c in enumerate(checks)],
+        "n int, fato string, coluna_fk string, dimensao_referenciada string")
+    return listed.join(missing, "n", "left").select(
+        "fato", "coluna_fk", "dimensao_referenciada", F.coalesce("missing", F.lit(0)).alias("chaves_distintas_orfas"))
 
 
 def ambiguous_key_report(entries: Sequence[tuple[str, str, DataFrame, str, str]]) -> DataFrame:
@@ -144,16 +156,22 @@ def ambiguous_key_report(entries: Sequence[tuple[str, str, DataFrame, str, str]]
 # -- volumes ---------------------------------------------------------------------------------------
 
 
-def volume_report(source: str, landed: DataFrame, valid: DataFrame, rejected: DataFrame, by: str) -> DataFrame:
-    """Landed, valid, rejected and removed rows per layout; ``removed`` is what the other two leave over."""
+def volume_report(
+    source: str, landed: DataFrame, valid: DataFrame, rejected: DataFrame, by: str, layouts: Sequence[str]
+) -> DataFrame:
+    """Landed, valid, rejected and removed rows for each of ``layouts``, also one that landed no row.
+
+    ``removed`` is what valid and rejected rows leave over.
+    """
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(by).agg(F.count(F.lit(1)).alias(name))
 
+    listed = landed.sparkSession.createDataFrame([(layout,) for layout in layouts], f"`{by}` string")
     return (
-        counted(landed, "linhas_bronze")
+        listed.join(counted(landed, "linhas_bronze"), by, "left")
         .join(counted(valid, "linhas_validas"), by, "left")
         .join(counted(rejected, "linhas_rejeitadas_ou_orfas"), by, "left")
-        .na.fill(0, ["linhas_validas", "linhas_rejeitadas_ou_orfas"])
+        .na.fill(0, ["linhas_bronze", "linhas_validas", "linhas_rejeitadas_ou_orfas"])
         .select(
             F.lit(source).alias("fonte"), F.col(by).alias("safra"), "linhas_bronze", "linhas_validas",
             "linhas_rejeitadas_ou_orfas",

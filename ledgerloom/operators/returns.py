@@ -11,13 +11,16 @@ from ledgerloom.functions.money import is_cancelled, net_of_discount
 from ledgerloom.operators.joins import drop_side, left_join_unique, unique_side
 
 
-def sale_terms(sales: DataFrame, keys: Sequence[str], terms: Mapping[str, str]) -> DataFrame:
-    """One row per sale key with its terms and the number of sales that share the key.
+def sale_terms(sales: DataFrame, returns: DataFrame, on: Mapping[str, str], terms: Mapping[str, str]) -> DataFrame:
+    """One row per sale key that a return names, with the sale's terms and the number of sales that share the key.
 
-    Sales that share a key are settled by the order of their terms, so a return can never be multiplied.
+    Sales that no return names are left out before the aggregate. Sales that share a key are settled by the order of
+    their terms, so a return can never be multiplied. ``on`` maps return columns to sale columns.
     """
+    named = returns.select(*[F.col(r).alias(s) for r, s in on.items()]).distinct()
     picked = F.struct(*[F.col(source).alias(out) for source, out in terms.items()])
-    return unique_side(sales.select(*keys, picked.alias("_terms")), keys, [F.max("_terms").alias("_terms")])
+    wanted = sales.select(*on.values(), picked.alias("_terms")).join(named, list(on.values()), "left_semi")
+    return unique_side(wanted, list(on.values()), [F.max("_terms").alias("_terms")])
 
 
 def value_returns(
@@ -40,7 +43,7 @@ def value_returns(
     remaining arguments name columns after the join. A return of a cancelled sale is worth 0, one without a
     sale has no value. ``origem_ambigua`` marks returns whose key is shared by several sales.
     """
-    right = sale_terms(sales, list(on.values()), terms)
+    right = sale_terms(sales, returns, on, terms)
     joined = left_join_unique(returns, right, on).withColumns(
         {out: F.col("_terms").getField(out) for out in terms.values()})
     found = F.col(layout).isNotNull()

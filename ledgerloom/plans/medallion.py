@@ -6,19 +6,21 @@ and joins are planned from the sizes of written files.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.operators import calendar, quality, targets
+from ledgerloom.operators.layouts import Layout
 from ledgerloom.operators.quality import KeyCheck
 from ledgerloom.plans import retail
 from ledgerloom.sources.landing import land
 from ledgerloom.sources.staging import staged
 from ledgerloom.sources.tables import create_namespace, save_table
 
-TARGET_YEARS = (2024, 2025, 2026)
-
 
 class Layers:
     """Names the three namespaces and reads and writes their tables."""
@@ -36,12 +38,25 @@ class Layers:
         return save_table(df, f"{namespace}.{table}", self.fmt)
 
 
-def run_bronze(layers: Layers, folder: str, multi_line: bool = True) -> None:
-    for table, df in land(layers.spark, retail.source_specs(folder, multi_line)).items():
+@dataclass(frozen=True)
+class Period:
+    """What a run covers; a new year is a new layout, its file's shape, its target sheet and a later calendar."""
+
+    layouts: Sequence[Layout] = tuple(retail.SALES_LAYOUTS)
+    sales_files: Mapping[str, tuple[str, str]] = field(default_factory=lambda: retail.SALES_FILES)
+    target_years: Sequence[int] = retail.TARGET_YEARS
+    calendar_start: str = "2023-01-01"
+    calendar_stop: str = "2027-03-31"
+    multi_line: bool = True
+
+
+def run_bronze(layers: Layers, folder: str, period: Period = Period()) -> None:
+    specs = retail.source_specs(folder, period.multi_line, period.sales_files, period.target_years)
+    for table, df in land(layers.spark, specs).items():
         layers.save(layers.bronze, table, df)
 
 
-def run_silver(layers: Layers, calendar_start: str = "2023-01-01", calendar_stop: str = "2027-03-31") -> None:
+def run_silver(layers: Layers, period: Period = Period()) -> None:
     def raw(table: str) -> DataFrame:
         return layers.read(layers.bronze, table)
 
@@ -55,34 +70,34 @@ def run_silver(layers: Layers, calendar_start: str = "2023-01-01", calendar_stop
     save("carteira_historica", retail.portfolio(raw("carteira_historica"), people))
     save("seguranca_acessos", retail.access_rules(raw("seguranca_acessos")))
     save("clientes", retail.customers(raw("clientes")))
-    days = calendar.date_spine(calendar.literal_bounds(layers.spark, calendar_start, calendar_stop), "start", "stop")
+    days = calendar.date_spine(calendar.literal_bounds(layers.spark, period.calendar_start, period.calendar_stop), "start", "stop")
     national = days_off.filter(F.col("abrangencia") == fv.NATIONAL_SCOPE)
     save("dcalendario", calendar.calendar(days, national))
 
-    landed = retail.landed_sales([raw(f"vendas_{layout.name}") for layout in retail.SALES_LAYOUTS])
+    landed = retail.landed_sales([raw(f"vendas_{layout.name}") for layout in period.layouts], period.layouts)
     valid, rejected = quality.split_tagged(staged(retail.tagged_sales(landed), "tagged-sales"))
     save("vendas_rejeitadas", rejected)
     sold = save("vendas", retail.sales(valid, fx, people))
     valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold))
     save("devolucoes_orfas", retail.orphan_returns(valued))
 
-    grid = retail.target_grid({year: raw(f"metas_comerciais_{year}") for year in TARGET_YEARS})
+    grid = retail.target_grid({year: raw(f"metas_comerciais_{year}") for year in period.target_years})
     detail = targets.detail_rows(grid)
     save("metas_anuais", targets.annual_targets(detail))
     save("metas_mensais", targets.monthly_targets(detail))
 
 
-def run_quality(layers: Layers) -> None:
+def run_quality(layers: Layers, period: Period = Period()) -> None:
     def silver(table: str) -> DataFrame:
         return layers.read(layers.silver, table)
 
     landed = None
-    for layout in retail.SALES_LAYOUTS:
+    for layout in period.layouts:
         tagged = layers.read(layers.bronze, f"vendas_{layout.name}").select(F.lit(layout.name).alias("safra"))
         landed = tagged if landed is None else landed.unionByName(tagged)
     sold, assigned = silver("vendas"), silver("carteira_historica")
     buyers, goods, people = silver("clientes"), silver("produtos"), silver("vendedores")
-    of_sales = quality.volume_report("vendas", landed, sold, silver("vendas_rejeitadas"), "safra")
+    of_sales = quality.volume_report("vendas", landed, sold, silver("vendas_rejeitadas"), "safra", [layout.name for layout in period.layouts])
     of_returns = quality.volume_of_split(
         "devolucoes", "todas", silver("devolucoes"), F.col("pedido_origem_encontrado"))
     reports = {
@@ -125,11 +140,11 @@ def run_gold(layers: Layers) -> None:
     save("fMetas", retail.targets_fact(silver("metas_mensais"), silver("metas_anuais"), members))
 
 
-def run(spark: SparkSession, folder: str, **names: str) -> Layers:
+def run(spark: SparkSession, folder: str, period: Period = Period(), **names: str) -> Layers:
     """Land ``folder`` and build every table; ``names`` overrides the namespaces and the table format."""
     layers = Layers(spark, **names)
-    run_bronze(layers, folder)
-    run_silver(layers)
-    run_quality(layers)
+    run_bronze(layers, folder, period)
+    run_silver(layers, period)
+    run_quality(layers, period)
     run_gold(layers)
     return layers

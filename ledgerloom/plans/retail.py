@@ -5,7 +5,7 @@ Every function takes DataFrames and returns a DataFrame; ``plans.medallion`` rea
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +22,19 @@ CURRENCIES = ("BRL", "USD")
 SALE_GRAIN = ["safra", "id_pedido", "item"]
 
 
-def source_specs(folder: str, multi_line: bool = True) -> list:
-    """The landed extracts. Pass ``multi_line=False`` for large extracts without line breaks in fields."""
+# Delimiter and charset of each yearly sales extract.
+SALES_FILES = {"2024": (";", "ISO-8859-1"), "2025": (",", "UTF-8"), "2026": ("|", "UTF-8")}
+TARGET_YEARS = (2024, 2025, 2026)
+
+
+def source_specs(
+    folder: str, multi_line: bool = True, sales_files: Mapping[str, tuple[str, str]] = SALES_FILES,
+    target_years: Sequence[int] = TARGET_YEARS,
+) -> list:
+    """The landed extracts. Pass ``multi_line=False`` for large extracts without line breaks in fields.
+
+    ``sales_files`` maps each sales layout to the delimiter and charset of its extract.
+    """
     def delimited(table: str, delimiter: str, encoding: str = "UTF-8") -> DelimitedSource:
         return DelimitedSource(table, f"{folder}/{table}.csv", delimiter, encoding, multi_line)
 
@@ -36,15 +47,13 @@ def source_specs(folder: str, multi_line: bool = True) -> list:
         delimited("feriados", ";"),
         delimited("produtos", ";"),
         delimited("seguranca_acessos", ";"),
-        delimited("vendas_2024", ";", "ISO-8859-1"),
-        delimited("vendas_2025", ","),
-        delimited("vendas_2026", "|"),
+        *[delimited(f"vendas_{name}", *shape) for name, shape in sales_files.items()],
         delimited("vendedores", ";"),
     ]
     sheets = [
         GridSource(f"metas_comerciais_{year}", f"{folder}/metas_comerciais_{year}.csv", sheet=f"Metas {year}",
                    source_name="metas_comerciais.xlsx")
-        for year in (2024, 2025, 2026)
+        for year in target_years
     ]
     notes = TextSource("metas_premissas", f"{folder}/metas_premissas.txt", source_name="metas_comerciais.xlsx")
     return [*files, *sheets, notes]
@@ -198,8 +207,10 @@ def customers(raw: DataFrame) -> DataFrame:
 # -- silver: sales, returns, targets ---------------------------------------------------------------
 
 
-def landed_sales(tables: Sequence[DataFrame], layouts: Sequence[Layout] = tuple(SALES_LAYOUTS)) -> DataFrame:
-    return harmonize(list(zip(layouts, tables, strict=True)))
+def landed_sales(
+    tables: Sequence[DataFrame], layouts: Sequence[Layout] = tuple(SALES_LAYOUTS), keep: Sequence[str] = ()
+) -> DataFrame:
+    return harmonize(list(zip(layouts, tables, strict=True)), keep)
 
 
 def sale_rules() -> dict[str, Column]:
@@ -245,6 +256,7 @@ def sales(valid: DataFrame, fx: DataFrame, people: DataFrame) -> DataFrame:
         priced, "id_vendedor", people, "id_vendedor", "id_vendedor_duplicado", "id_vendedor_ambiguo")
 
 
+# The columns of a landed return.
 RETURN_COLUMNS = ["id_devolucao", "id_pedido_origem", "item", "data_devolucao", "quantidade_devolvida", "motivo"]
 RETURN_TO_SALE = {"id_pedido_origem": "id_pedido", "item": "item"}
 SALE_TERMS = {
@@ -335,6 +347,7 @@ def attributed_sales(sold: DataFrame, assigned: DataFrame) -> DataFrame:
     }).drop("vendedor_via_carteira", "vendedor_via_carteira_ambiguo")
 
 
+# The columns of the sales fact.
 SALES_FACT = [
     "safra", "id_pedido", "item", "data_emissao", "sk_cliente", "sk_produto", "sk_vendedor_pedido",
     "sk_vendedor_responsavel", "vendedor_fonte", "id_cliente", "id_produto", "id_produto_chave", "id_vendedor",
@@ -361,6 +374,7 @@ def sales_fact(
     return fact.select(*SALES_FACT)
 
 
+# The columns of the returns fact.
 RETURNS_FACT = [
     "id_devolucao", "id_pedido_origem", "item", "safra_origem", "data_devolucao", "sk_cliente", "sk_produto",
     "quantidade_devolvida", "valor_unitario_origem", "desconto_fracao_origem", "moeda_origem", "taxa_cambio_origem",
@@ -372,13 +386,15 @@ RETURNS_FACT = [
 def returns_fact(valued: DataFrame, f_sales: DataFrame) -> DataFrame:
     """Customer and product keys of the sale the return refers to, -1 when there is none."""
     on = {"safra_origem": "safra", "id_pedido_origem": "id_pedido", "item": "item"}
-    side = returns.sale_terms(f_sales, list(on.values()), {"sk_cliente": "sk_cliente", "sk_produto": "sk_produto"})
+    found = valued.filter("pedido_origem_encontrado")
+    side = returns.sale_terms(f_sales, found, on, {"sk_cliente": "sk_cliente", "sk_produto": "sk_produto"})
     joined = left_join_unique(valued, side, on)
     return joined.withColumns({
         sk: F.coalesce(F.col("_terms").getField(sk), F.lit(-1)) for sk in ("sk_cliente", "sk_produto")
     }).select(*RETURNS_FACT)
 
 
+# The columns of the targets fact.
 TARGETS_FACT = ["sk_regiao_segmento", "regiao", "segmento", "ano", "mes", "data_referencia", "meta_mensal",
                 "meta_ano_referencia"]
 
@@ -397,17 +413,22 @@ def targets_fact(monthly: DataFrame, annual: DataFrame, d_region_segment: DataFr
 # -- marts -----------------------------------------------------------------------------------------
 
 
-def realized_by_member(f_sales: DataFrame, f_returns: DataFrame, d_customers: DataFrame) -> DataFrame:
-    """Net revenue (sales by issue date less returns by return date) per region, segment and month."""
+def realized_by_member(
+    f_sales: DataFrame, f_returns: DataFrame, d_customers: DataFrame, periods: Mapping[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """Net revenue (sales by issue date less returns by return date) per region, segment and period.
+
+    ``periods`` names the columns of a period and makes each from the day. Amounts are summed per customer key and
+    period before the member lookup, so that the join sees few rows; the sums stay exact until the last step.
+    """
     member = d_customers.select("sk_cliente", "regiao", "segmento")
     signed = marts.signed_revenue(
         f_sales, f_returns, sale_day="data_emissao", sale_value="receita_liquida", return_day="data_devolucao",
         return_value="receita_devolucao_liquida", keep=["sk_cliente"])
-    # Amounts are summed per customer key and month before the member lookup: the join sees few rows.
-    monthly = marts.net_revenue_series(
-        signed, ["sk_cliente", F.trunc("data", "MM").alias("data_referencia")], "_net")
-    return monthly.join(member, "sk_cliente", "left").groupBy("regiao", "segmento", "data_referencia").agg(
-        F.sum("_net").alias("receita_liquida_realizada"))
+    period = [of(F.col("data")).alias(name) for name, of in periods.items()]
+    per_key = signed.groupBy("sk_cliente", *period).agg(money.sum_parts(F.col("valor")).alias("_net"))
+    return per_key.join(member, "sk_cliente", "left").groupBy("regiao", "segmento", *periods).agg(
+        money.total_of(money.add_parts(F.col("_net"))).alias("receita_liquida_realizada"))
 
 
 def target_attainment(f_targets: DataFrame, realized: DataFrame) -> DataFrame:

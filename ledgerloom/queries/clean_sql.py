@@ -85,10 +85,12 @@ sale AS (
 PORTFOLIO = """
 portfolio AS (
   SELECT 'C' || c_custkey AS id_cliente, 'V' || ((c_custkey * 7 + i * 13) % 10) AS id_vendedor, s AS vigencia_inicio,
-    CASE WHEN i = 2 AND c_custkey % 3 <> 0 THEN DATE '9999-12-31'
+    CASE WHEN i = 2 AND c_custkey % 3 <> 0 AND c_custkey % 11 <> 0 THEN
+        CASE WHEN c_custkey % 97 = 1 THEN DATE '2999-12-31' ELSE DATE '9999-12-31' END
       ELSE CAST(s + CASE WHEN i = 2 THEN 400 ELSE 620 END AS DATE) END AS vigencia_fim
-  FROM (SELECT c_custkey, i, CAST(DATE '1995-01-01' + CAST(c_custkey % 200 + i * 500 AS INTEGER) AS DATE) AS s
-        FROM customer, unnest([0, 1, 2]) AS u(i) WHERE c_custkey % 11 <> 0))"""
+  FROM (SELECT c_custkey, i, CAST(CASE WHEN c_custkey % 11 = 0 THEN DATE '1980-01-01' ELSE DATE '1995-01-01' END
+          + CAST(c_custkey % 200 + i * 500 AS INTEGER) AS DATE) AS s
+        FROM customer, unnest([0, 1, 2]) AS u(i)))"""
 
 # Returns joined to the sale they refer to (a sale key shared by several sales counts once).
 RETURNS = SALES + """,
@@ -170,5 +172,7 @@ def with_(*parts: str) -> str:
     return "WITH " + ",".join(part.strip("\n") for part in parts) + "\n"
 
 
-def exact(column: str, scale: int = 7) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(28, {scale}))) AS DOUBLE)"
+def exact(column: str) -> str:
+    """The sum without rounding an addend: whole parts and fractions apart, as the engine adds them."""
+    whole = f"CAST(sum(CAST(trunc({column}) AS DECIMAL(38, 0))) AS DOUBLE)"
+    return f"({whole} + CAST(sum(CAST(({column}) - trunc({column}) AS DECIMAL(38, 20))) AS DOUBLE))"

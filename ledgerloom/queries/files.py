@@ -14,7 +14,7 @@ from ledgerloom.queries import roles
 from ledgerloom.queries.clean_sql import LINES, TARGETS, with_
 from ledgerloom.queries.registry import query
 from ledgerloom.sources import landing, tables
-from ledgerloom.sources.staging import fresh_path
+from ledgerloom.sources.staging import fresh_path, staged
 
 
 def _written(df: DataFrame, label: str, **options) -> str:
@@ -25,22 +25,27 @@ def _written(df: DataFrame, label: str, **options) -> str:
 
 
 @query("q_land_delimited", with_(LINES) + """
-SELECT safra, id_pedido, item, data_emissao, id_cliente, quantidade, valor_unitario, desconto_fracao, moeda,
-  CASE WHEN safra <> '2024' THEN status_pedido END AS status_pedido_origem FROM (SELECT *, unnest(range(copies)) FROM line)""")
+SELECT safra, id_pedido, item, data_emissao, id_cliente, id_produto, id_vendedor, quantidade, valor_unitario,
+  desconto_fracao, moeda, canal, CASE WHEN safra <> '2024' THEN status_pedido END AS status_pedido_origem, id_filial,
+  frete_rateado, 'vendas_' || safra || '.csv' AS _source_file FROM (SELECT *, unnest(range(copies)) FROM line)""")
 def land_delimited(spark: SparkSession, sf: str) -> DataFrame:
-    """The three yearly extracts as ``;`` ISO-8859-1, ``,`` UTF-8 and ``|`` UTF-8 with a byte-order mark."""
+    """The three yearly extracts as ``;`` ISO-8859-1, ``,`` UTF-8 and ``|`` UTF-8 with a byte-order mark.
+
+    The second one is a folder of files whose columns stand in two orders.
+    """
     first, second, third = roles.sales_tables(spark, sf)
+    odd = F.crc32("id_pedido") % 2 == 1
+    folder = _written(second.filter(odd), "v25", sep=",")
+    second.filter(~odd).select(*reversed(second.columns)).write.options(header=True, sep=",").mode("append").csv(folder)
     marked = third.withColumnRenamed("id_pedido", landing.BOM + "id_pedido")
     specs = [
         landing.DelimitedSource("vendas_2024", _written(first, "v24", sep=";", encoding="ISO-8859-1"),
                                 ";", "ISO-8859-1", source_name="vendas_2024.csv"),
-        landing.DelimitedSource("vendas_2025", _written(second, "v25", sep=","), source_name="vendas_2025.csv"),
+        landing.DelimitedSource("vendas_2025", folder, source_name="vendas_2025.csv"),
         landing.DelimitedSource("vendas_2026", _written(marked, "v26", sep="|"), "|", source_name="vendas_2026.csv"),
     ]
     landed = landing.land(spark, specs)
-    return retail.landed_sales(list(landed.values())).select(
-        "safra", "id_pedido", "item", "data_emissao", "id_cliente", "quantidade", "valor_unitario",
-        "desconto_fracao", "moeda", "status_pedido_origem")
+    return retail.landed_sales(list(landed.values()), keep=["_source_file"])
 
 
 @query("q_land_multiline", """
@@ -73,8 +78,8 @@ def land_grid(spark: SparkSession, sf: str) -> DataFrame:
     landed = landing.land_grid(spark, landing.GridSource(
         "metas", f"{path}/*.txt", sheet="Metas", source_name="metas_comerciais.xlsx"))
     typed = targets.typed_grid(landed.withColumn("ano", parsing.whole_number(F.col("ano"))))
-    return targets.monthly_targets(targets.detail_rows(typed)).drop("data_referencia").withColumn(
-        "sheet", F.lit("Metas"))
+    tall = targets.months_to_rows(targets.detail_rows(typed), ["ano", "regiao", "segmento", "_source_sheet"], "meta_mensal")
+    return tall.withColumnRenamed("_source_sheet", "sheet")
 
 
 @query("q_land_text", """
@@ -102,7 +107,9 @@ def save(spark: SparkSession, sf: str) -> DataFrame:
     wanted = orders.select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice",
         F.col("o_orderstatus").alias("status"))
-    return tables.save_table(wanted, name, partition_by=["status"], path=path)
+    tables.save_table(wanted, name, partition_by=["status"], path=path)
+    spark.sql(f"DROP TABLE {name}")  # the files stay until the session's staged files go
+    return spark.read.parquet(path)
 
 
 @query("q_inventory", """
@@ -114,4 +121,6 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
     for name, df in (("clientes", roles.customers(spark, sf)), ("produtos", roles.products(spark, sf)),
                      ("vendedores", roles.salespeople(spark, sf))):
         tables.save_table(df, f"{namespace}.{name}", path=fresh_path(spark, name))
-    return tables.inventory(spark, namespace)
+    counted = staged(tables.inventory(spark, namespace), "inventory")
+    spark.sql(f"DROP SCHEMA {namespace} CASCADE")
+    return counted

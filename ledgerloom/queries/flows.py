@@ -1,12 +1,14 @@
 """The plans of the package applied to the rendered test tables.
 
-As in the tables of a run, the tagged and the priced sales are written once and read back by whatever
-follows, so that a query that needs sales twice parses and prices them once.
+``kept`` tables are written once and read back, as the tables of a run are; queries that read sales once do
+without.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import NATIONAL_SCOPE
@@ -41,7 +43,7 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(retail.tagged_sales(landed(spark, sf)), "tagged")
+    return retail.tagged_sales(landed(spark, sf))
 
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +55,11 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(retail.sales(valid(spark, sf), quotes(spark, sf), people(spark, sf)), "sales")
+    return retail.sales(valid(spark, sf), quotes(spark, sf), people(spark, sf))
+
+
+def kept_sales(spark: SparkSession, sf: str) -> DataFrame:
+    return staged(sales(spark, sf), "sales")
 
 
 def valued_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
@@ -105,7 +111,7 @@ def d_region_segment(spark: SparkSession, sf: str) -> DataFrame:
 
 def f_sales(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
     return retail.sales_fact(
-        sales(spark, sf) if sold is None else sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
+        kept_sales(spark, sf) if sold is None else sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
 
 
 def keyed_sales(spark: SparkSession, sf: str, sold: DataFrame, buyers: DataFrame) -> DataFrame:
@@ -117,12 +123,17 @@ def keyed_sales(spark: SparkSession, sf: str, sold: DataFrame, buyers: DataFrame
         out="sk_produto")
 
 
-def realized(spark: SparkSession, sf: str) -> DataFrame:
-    """Net revenue per region, segment and month."""
-    sold, buyers = sales(spark, sf), d_customers(spark, sf)
+def f_returns(spark: SparkSession, sf: str, sold: DataFrame) -> DataFrame:
+    keyed = keyed_sales(spark, sf, sold, d_customers(spark, sf))
+    return retail.returns_fact(valued_returns(spark, sf, sold), keyed)
+
+
+def realized(spark: SparkSession, sf: str, periods: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Net revenue per region, segment and period."""
+    sold, buyers = kept_sales(spark, sf), d_customers(spark, sf)
     keyed = keyed_sales(spark, sf, sold, buyers)
     returned = retail.returns_fact(valued_returns(spark, sf, sold), keyed)
-    return retail.realized_by_member(keyed, returned, buyers)
+    return retail.realized_by_member(keyed, returned, buyers, periods)
 
 
 def f_targets(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,7 +48,7 @@ SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey)
 def surrogate_distributed(spark: SparkSession, sf: str) -> DataFrame:
     """The numbering of a large dimension: sorted ranges plus offsets, no single ordered task."""
     members = roles.table(spark, sf, "orders").select("o_custkey", "o_orderkey")
-    return keys.with_surrogate_key(members, ["o_custkey", "o_orderkey"], "sk", single_task_members=0)
+    return keys.with_surrogate_key(members, ["o_custkey", "o_orderkey"], "sk")
 
 
 @query("q_sentinels", with_(*_MODEL) + """
@@ -160,9 +160,56 @@ fret AS (
 @query("q_fact_returns", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + f"""
 SELECT {', '.join(retail.RETURNS_FACT)} FROM fret""")
 def fact_returns(spark: SparkSession, sf: str) -> DataFrame:
-    sold = flows.sales(spark, sf)
-    keyed = flows.keyed_sales(spark, sf, sold, flows.d_customers(spark, sf))
-    return retail.returns_fact(flows.valued_returns(spark, sf, sold), keyed)
+    return flows.f_returns(spark, sf, flows.kept_sales(spark, sf))
+
+
+@query("q_fact_grain", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, PORTFOLIO, ATTRIBUTION, _FACT, _RETURN_FACT) + """
+SELECT 'fVendas' AS fato, count(*) AS n_rows, count(DISTINCT (safra, id_pedido, item)) AS n_keys FROM fact
+UNION ALL SELECT 'fDevolucoes', count(*), count(DISTINCT id_devolucao) FROM fret""")
+def fact_grain(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and distinct keys of the built facts: equal where nothing fanned out."""
+    sold = flows.kept_sales(spark, sf)
+    grains = [
+        ("fVendas", flows.f_sales(spark, sf, sold), retail.SALE_GRAIN),
+        ("fDevolucoes", flows.f_returns(spark, sf, sold), ["id_devolucao"]),
+    ]
+    counted = [
+        fact.groupBy(*keys_).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys")).select(
+            F.lit(name).alias("fato"), "n_rows", "n_keys")
+        for name, fact, keys_ in grains
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+@query("q_reconcile_returns", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, PORTFOLIO, ATTRIBUTION, _FACT, _RETURN_FACT) + f"""
+SELECT 'silver.devolucoes' AS check_name, count(*) AS n_rows, round({exact("receita_devolucao_liquida")}, 2) AS total FROM ret
+UNION ALL SELECT 'gold.fDevolucoes', count(*), round({exact("receita_devolucao_liquida")}, 2) FROM fret
+UNION ALL SELECT 'gold.fVendas', count(*), round({exact("receita_liquida")}, 2) FROM fact""")
+def reconcile_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts and totals of returns before and after the keys, and the net revenue of the sales fact."""
+    sold = flows.kept_sales(spark, sf)
+    checked = [
+        ("silver.devolucoes", flows.valued_returns(spark, sf, sold), "receita_devolucao_liquida"),
+        ("gold.fDevolucoes", flows.f_returns(spark, sf, sold), "receita_devolucao_liquida"),
+        ("gold.fVendas", flows.f_sales(spark, sf, sold), "receita_liquida"),
+    ]
+    totals = [
+        df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(exact_sum(F.col(value)), 2).alias("total")).select(
+            F.lit(name).alias("check_name"), "n_rows", "total")
+        for name, df, value in checked
+    ]
+    return totals[0].unionByName(totals[1]).unionByName(totals[2])
+
+
+@query("q_return_sentinels", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + """
+SELECT pedido_origem_encontrado, sk_cliente = -1 AS sem_cliente, sk_produto = -1 AS sem_produto, count(*) AS n_rows
+FROM fret GROUP BY 1, 2, 3""")
+def return_sentinels(spark: SparkSession, sf: str) -> DataFrame:
+    fact = flows.f_returns(spark, sf, flows.kept_sales(spark, sf))
+    return fact.groupBy(
+        "pedido_origem_encontrado", (F.col("sk_cliente") == -1).alias("sem_cliente"),
+        (F.col("sk_produto") == -1).alias("sem_produto")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("q_fact_targets", with_(*_MODEL) + """
@@ -177,8 +224,9 @@ def fact_targets(spark: SparkSession, sf: str) -> DataFrame:
 SELECT ano, regiao, segmento, CAST(12 * CAST(meta_ano AS DECIMAL(18, 2)) AS DOUBLE) AS soma_ingenua,
   meta_ano AS valor_real FROM annual""")
 def nonadditive(spark: SparkSession, sf: str) -> DataFrame:
-    return targets.repeated_annual_measure(
+    repeated = targets.repeated_annual_measure(
         flows.f_targets(spark, sf), ["ano", "regiao", "segmento"], "meta_ano_referencia")
+    return repeated.withColumn("soma_ingenua", F.round("soma_ingenua", 4))
 
 
 _MEMBER = "(SELECT sk_cliente, regiao, segmento FROM dcust UNION ALL SELECT -1, 'Não Identificado', 'Não Identificado')"
@@ -187,19 +235,16 @@ _MEMBER = "(SELECT sk_cliente, regiao, segmento FROM dcust UNION ALL SELECT -1,
 @query("q_net_revenue", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + f"""
 SELECT CAST(year(data) + CASE WHEN month(data) >= 4 THEN 1 ELSE 0 END AS INTEGER) AS ano_fiscal,
   CAST(((month(data) + 8) % 12) // 3 + 1 AS INTEGER) AS trimestre_fiscal, regiao, segmento,
-  {exact("valor")} AS receita_liquida_realizada
+  round({exact("valor")}, 4) AS receita_liquida_realizada
 FROM (
   SELECT data_emissao AS data, coalesce(sk_cliente, -1) AS sk_cliente, receita_liquida AS valor
   FROM sale LEFT JOIN dcust USING (id_cliente)
   UNION ALL SELECT data_devolucao, sk_cliente, -receita_devolucao_liquida FROM fret)
 JOIN {_MEMBER} USING (sk_cliente) GROUP BY 1, 2, 3, 4""")
 def net_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    monthly = flows.realized(spark, sf)
-    day = F.col("data_referencia")
-    return monthly.groupBy(
-        dates.fiscal_year(day).alias("ano_fiscal"), dates.fiscal_quarter(day).alias("trimestre_fiscal"),
-        "regiao", "segmento",
-    ).agg(F.sum("receita_liquida_realizada").cast("double").alias("receita_liquida_realizada"))
+    fiscal = {"ano_fiscal": dates.fiscal_year, "trimestre_fiscal": dates.fiscal_quarter}
+    return flows.realized(spark, sf, fiscal).withColumn(
+        "receita_liquida_realizada", F.round("receita_liquida_realizada", 4))
 
 
 @query("q_attainment", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + f"""
@@ -210,13 +255,14 @@ def net_revenue(spark: SparkSession, sf: str) -> DataFrame:
     FROM sale LEFT JOIN dcust USING (id_cliente)
     UNION ALL SELECT data_devolucao, sk_cliente, -receita_devolucao_liquida FROM fret)
   JOIN {_MEMBER} USING (sk_cliente) GROUP BY 1, 2, 3)
-SELECT m.regiao, m.segmento, m.data_referencia, m.meta_mensal, r.realizado AS receita_liquida_realizada,
-  r.realizado / nullif(m.meta_mensal, 0) AS atingimento
+SELECT m.regiao, m.segmento, m.data_referencia, m.meta_mensal, round(r.realizado, 7) AS receita_liquida_realizada,
+  round(r.realizado / nullif(m.meta_mensal, 0), 8) AS atingimento
 FROM monthly m LEFT JOIN realized r USING (regiao, segmento, data_referencia)""")
 def attainment(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.target_attainment(flows.monthly(spark, sf), flows.realized(spark, sf)).select(
+    return retail.target_attainment(flows.monthly(spark, sf), flows.realized(spark, sf, {"data_referencia": lambda day: F.trunc(day, "MM")})).select(
         "regiao", "segmento", "data_referencia", "meta_mensal",
-        F.col("receita_liquida_realizada").cast("double").alias("receita_liquida_realizada"), "atingimento")
+        F.round("receita_liquida_realizada", 7).alias("receita_liquida_realizada"),
+        F.round("atingimento", 8).alias("atingimento"))
 
 
 @query("q_grain_check", """
@@ -226,9 +272,9 @@ def grain_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_daily_revenue", with_(SALES) + f"""
-SELECT data_emissao, count(*) AS n_sales, {exact("receita_liquida")} AS receita_liquida
+SELECT data_emissao, count(*) AS n_sales, round({exact("receita_liquida")}, 7) AS receita_liquida
 FROM sale GROUP BY 1""")
 def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return flows.sales(spark, sf).groupBy("data_emissao").agg(
         F.count(F.lit(1)).alias("n_sales"),
-        exact_sum(F.col("receita_liquida")).cast("double").alias("receita_liquida"))
+        F.round(exact_sum(F.col("receita_liquida")), 7).alias("receita_liquida"))

@@ -15,6 +15,7 @@ from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETUR
 from ledgerloom.queries.model import _FACT, _HIERARCHY, _MODEL
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.sales import ATTRIBUTION
+from ledgerloom.sources.staging import staged
 
 
 @query("q_orphans", with_(SALES, PORTFOLIO) + """
@@ -30,7 +31,7 @@ UNION ALL SELECT 'carteira_historica', 'id_cliente', 'dClientes', count(DISTINCT
 UNION ALL SELECT 'carteira_historica', 'id_vendedor', 'dVendedores', count(DISTINCT id_vendedor) FROM portfolio
   WHERE id_vendedor NOT IN (SELECT id_vendedor FROM person)""")
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
-    sold, assigned = flows.sales(spark, sf), flows.portfolio(spark, sf)
+    sold, assigned = flows.sales(spark, sf), flows.portfolio(spark, sf)  # one pass over each
     buyers, goods, persons = flows.customers(spark, sf), flows.products(spark, sf), flows.people(spark, sf)
     return quality.orphan_key_report([
         KeyCheck("fVendas", sold, "id_cliente", "dClientes", buyers, "id_cliente"),
@@ -65,12 +66,13 @@ SELECT 'vendas' AS fonte, safra, CAST(sum(copies) AS BIGINT) AS linhas_bronze,
   count(*) FILTER (WHERE motivo_rejeicao <> '') AS linhas_rejeitadas_ou_orfas,
   CAST(sum(copies) - count(*) AS BIGINT) AS duplicatas_removidas
 FROM tagged GROUP BY safra
+UNION ALL SELECT 'vendas', '2027', 0, 0, 0, 0
 UNION ALL SELECT 'devolucoes', 'todas', count(*), count(*) FILTER (WHERE pedido_origem_encontrado),
   count(*) FILTER (WHERE NOT pedido_origem_encontrado), 0 FROM ret""")
 def volume(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = flows.tagged(spark, sf)
+    tagged = staged(flows.tagged(spark, sf), "tagged")
     accepted, refused = quality.split_tagged(tagged)
-    of_sales = quality.volume_report("vendas", flows.landed(spark, sf), accepted, refused, "safra")
+    of_sales = quality.volume_report("vendas", flows.landed(spark, sf), accepted, refused, "safra", ["2024", "2025", "2026", "2027"])
     sold = retail.sales(accepted, flows.quotes(spark, sf), flows.people(spark, sf))
     valued = flows.valued_returns(spark, sf, sold)
     return of_sales.unionByName(
@@ -83,7 +85,7 @@ UNION ALL SELECT 'gold.fVendas', count(*) FROM fact
 UNION ALL SELECT 'silver.metas_mensais', count(*) FROM monthly
 UNION ALL SELECT 'gold.fMetas', count(*) FROM monthly""")
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    sold = flows.sales(spark, sf)
+    sold = flows.kept_sales(spark, sf)
     return quality.row_counts({
         "silver.vendas": sold,
         "gold.fVendas": flows.f_sales(spark, sf, sold),
@@ -117,7 +119,7 @@ _CHECKS = {
 def quality_misc(spark: SparkSession, sf: str) -> DataFrame:
     """Named counts, one aggregate per table; each fact is read once however many checks it takes part in."""
     cancelled = is_cancelled(F.col("status_pedido"))
-    sold = flows.sales(spark, sf)
+    sold = flows.kept_sales(spark, sf)
     counted = [
         (sold, {
             "missing_rate": F.col("taxa_cambio_aplicada").isNull(),
@@ -136,12 +138,12 @@ def quality_misc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_cancelled", with_(SALES) + f"""
-SELECT safra, count(*) AS qtd, {exact("receita_bruta")} AS receita_bruta_soma FROM sale
+SELECT safra, count(*) AS qtd, round({exact("receita_bruta")}, 4) AS receita_bruta_soma FROM sale
 WHERE status_pedido = 'Cancelado' GROUP BY 1""")
 def cancelled_sales(spark: SparkSession, sf: str) -> DataFrame:
     return flows.sales(spark, sf).filter(is_cancelled(F.col("status_pedido"))).groupBy("safra").agg(
         F.count(F.lit(1)).alias("qtd"),
-        exact_sum(F.col("receita_bruta")).cast("double").alias("receita_bruta_soma")).orderBy("safra")
+        F.round(exact_sum(F.col("receita_bruta")), 4).alias("receita_bruta_soma")).orderBy("safra")
 
 
 @query("q_samples", with_(CUSTOMERS, _HIERARCHY) + """

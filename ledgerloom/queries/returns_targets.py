@@ -43,15 +43,15 @@ def orphan_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q_return_flags", with_(RETURNS) + f"""
 SELECT pedido_origem_encontrado, quantidade_excede_faturado, devolucao_de_pedido_cancelado, count(*) AS n_rows,
-  {exact("receita_devolucao_bruta")} AS receita_devolucao_bruta,
+  round({exact("receita_devolucao_bruta")}, 4) AS receita_devolucao_bruta,
   round({exact("receita_devolucao_liquida")}, 2) AS total_devolvido
 FROM ret GROUP BY 1, 2, 3""")
 def return_flags(spark: SparkSession, sf: str) -> DataFrame:
     return flows.valued_returns(spark, sf).groupBy(
         "pedido_origem_encontrado", "quantidade_excede_faturado", "devolucao_de_pedido_cancelado").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        exact_sum(F.col("receita_devolucao_bruta")).cast("double").alias("receita_devolucao_bruta"),
-        F.round(exact_sum(F.col("receita_devolucao_liquida")).cast("double"), 2).alias("total_devolvido"))
+        F.round(exact_sum(F.col("receita_devolucao_bruta")), 4).alias("receita_devolucao_bruta"),
+        F.round(exact_sum(F.col("receita_devolucao_liquida")), 2).alias("total_devolvido"))
 
 
 @query("q_unpivot_targets", with_(TARGETS) + """
@@ -69,7 +69,8 @@ def annual_targets(spark: SparkSession, sf: str) -> DataFrame:
 SELECT ano, mes, CAST(sum(exact) AS DOUBLE) AS soma_calculada, CAST(sum(exact) AS DOUBLE) AS total_arquivo,
   CASE WHEN sum(exact) IS NOT NULL THEN 0.0::DOUBLE END AS diferenca FROM monthly GROUP BY 1, 2""")
 def totals_row(spark: SparkSession, sf: str) -> DataFrame:
-    return targets.control_totals(flows.monthly(spark, sf), flows.targets_totals(spark, sf)).orderBy("ano", "mes")
+    totals = targets.control_totals(flows.monthly(spark, sf), flows.targets_totals(spark, sf))
+    return totals.withColumn("soma_calculada", F.round("soma_calculada", 4)).orderBy("ano", "mes")
 
 
 @query("q_annual_vs_months", with_(TARGETS) + """
@@ -78,7 +79,8 @@ SELECT ano, regiao, segmento, CAST(sum(exact) AS DOUBLE) AS soma_meses, any_valu
 FROM monthly JOIN annual USING (ano, regiao, segmento) GROUP BY 1, 2, 3
 HAVING round(any_value(meta_ano) - CAST(sum(exact) AS DOUBLE), 2) <> 0""")
 def annual_vs_months(spark: SparkSession, sf: str) -> DataFrame:
-    return targets.annual_divergence(flows.monthly(spark, sf), flows.annual(spark, sf))
+    divergent = targets.annual_divergence(flows.monthly(spark, sf), flows.annual(spark, sf))
+    return divergent.withColumn("soma_meses", F.round("soma_meses", 4))
 
 
 @query("q_undefined_targets", with_(TARGETS) + """

@@ -111,16 +111,19 @@ def salespeople(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three assignments per customer; the second overlaps both others, the third is often open."""
-    return table(spark, sf_dir, "customer").filter("c_custkey % 11 <> 0").selectExpr(
+    """Three assignments per customer; the second overlaps both others, the third is often open.
+
+    Every 11th customer's assignments ended before the first order, and one in 97 ends in the year 2999.
+    """
+    return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "explode(array(0, 1, 2)) AS i",
     ).selectExpr(
-        "c_custkey", "i", "date_add(date'1995-01-01', cast(c_custkey % 200 + i * 500 AS int)) AS s",
+        "c_custkey", "i", "date_add(if(c_custkey % 11 = 0, date'1980-01-01', date'1995-01-01'), cast(c_custkey % 200 + i * 500 AS int)) AS s",
     ).selectExpr(
         "concat('C', c_custkey) AS id_cliente",
         "concat(' V', (c_custkey * 7 + i * 13) % 10) AS id_vendedor",
         "date_format(s, 'yyyy-MM-dd') AS vigencia_inicio",
-        """if(i = 2 AND c_custkey % 3 <> 0, '9999-12-31',
+        """if(i = 2 AND c_custkey % 3 <> 0 AND c_custkey % 11 <> 0, if(c_custkey % 97 = 1, '2999-12-31', '9999-12-31'),
             date_format(date_add(s, if(i = 2, 400, 620)), 'yyyy-MM-dd')) AS vigencia_fim""",
     )
 

@@ -26,13 +26,13 @@ def harmonize(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q_discount_unit", f"""
 SELECT CASE l_orderkey % 3 WHEN 0 THEN '2024' WHEN 1 THEN '2025' ELSE '2026' END AS safra, count(*) AS n_rows,
-  max(l_discount) AS highest, {exact("l_discount", 4)} AS total
+  max(l_discount) AS highest, round({exact("l_discount")}, 4) AS total
 FROM lineitem, unnest(range(CASE WHEN l_orderkey % 3 = 1 AND (l_orderkey + l_partkey) % 29 = 0 THEN 2 ELSE 1 END))
   AS u(c) GROUP BY 1""")
 def discount_unit(spark: SparkSession, sf: str) -> DataFrame:
     return flows.landed(spark, sf).groupBy("safra").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max("desconto_fracao").alias("highest"),
-        exact_sum(F.col("desconto_fracao"), 4).cast("double").alias("total"))
+        F.round(exact_sum(F.col("desconto_fracao")), 4).alias("total"))
 
 
 @query("q_dedup", with_(LINES) + f"SELECT {_COMMON}, {_SOURCE_STATUS}, id_filial, frete_rateado FROM line")
@@ -67,6 +67,34 @@ def fx_asof(spark: SparkSession, sf: str) -> DataFrame:
         "safra", "id_pedido", "item", "data_emissao", "moeda", "taxa_cambio_aplicada")
 
 
+@query("q_fx_currencies", """
+WITH day AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+quote AS (
+  SELECT 'USD' AS cur, d, CAST(CAST(4500 + ((d - DATE '1990-01-01') * 7919) % 2000 AS DOUBLE) / 1000 AS DOUBLE) AS rate
+  FROM day WHERE isodow(d) <= 5 AND d >= DATE '1995-01-16'
+  UNION ALL SELECT 'EUR', d, CAST(CAST(5500 + ((d - DATE '1990-01-01') * 104729) % 2000 AS DOUBLE) / 1000 AS DOUBLE)
+  FROM day WHERE day(d) % 3 = 1 AND d >= DATE '1994-06-01')
+SELECT o_orderkey, o.cur AS moeda, CASE WHEN o.cur = 'BRL' THEN 1.0::DOUBLE ELSE q.rate END AS taxa
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
+        CASE o_custkey % 4 WHEN 0 THEN 'BRL' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' ELSE 'GBP' END AS cur FROM orders) o
+ASOF LEFT JOIN quote q ON o.cur = q.cur AND o.d >= q.d""")
+def fx_currencies(spark: SparkSession, sf: str) -> DataFrame:
+    """Two quoted currencies with days of their own, the base currency, and one without quotes."""
+    from ledgerloom.operators.asof import convert_currency
+
+    dated = roles.table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "cast(o_orderdate AS date) AS d",
+        "element_at(array('BRL', 'USD', 'EUR', 'GBP'), cast(o_custkey % 4 AS int) + 1) AS moeda")
+    days = dated.select("d").distinct()
+    usd = days.filter("dayofweek(d) BETWEEN 2 AND 6 AND d >= date'1995-01-16'").selectExpr(
+        "'USD' AS cur", "d AS quoted", "(4500 + (datediff(d, date'1990-01-01') * 7919) % 2000) / 1000D AS rate")
+    eur = days.filter("day(d) % 3 = 1 AND d >= date'1994-06-01'").selectExpr(
+        "'EUR' AS cur", "d AS quoted", "(5500 + (datediff(d, date'1990-01-01') * 104729) % 2000) / 1000D AS rate")
+    return convert_currency(
+        dated, usd.unionByName(eur), day="d", currency="moeda", base="BRL", quote_day="quoted", quote_currency="cur",
+        quote_rate="rate", out="taxa").select("o_orderkey", "moeda", "taxa")
+
+
 @query("q_status", with_(LINES) + """
 SELECT safra, status_pedido, count(*) AS n_rows, CAST(sum(abs(quantidade)) AS BIGINT) AS quantidade
 FROM tagged WHERE motivo_rejeicao = '' GROUP BY 1, 2""")
@@ -77,14 +105,14 @@ def status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q_revenue", with_(SALES) + f"""
-SELECT safra, count(*) AS n_rows, {exact("receita_bruta")} AS receita_bruta, {exact("receita_liquida")} AS receita_liquida,
+SELECT safra, count(*) AS n_rows, round({exact("receita_bruta")}, 4) AS receita_bruta, round({exact("receita_liquida")}, 4) AS receita_liquida,
   round({exact("receita_liquida")}, 2) AS receita_liquida_total FROM sale GROUP BY 1""")
 def revenue(spark: SparkSession, sf: str) -> DataFrame:
-    net = exact_sum(F.col("receita_liquida")).cast("double")
+    net = exact_sum(F.col("receita_liquida"))
     return flows.sales(spark, sf).groupBy("safra").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        exact_sum(F.col("receita_bruta")).cast("double").alias("receita_bruta"),
-        net.alias("receita_liquida"), F.round(net, 2).alias("receita_liquida_total"))
+        F.round(exact_sum(F.col("receita_bruta")), 4).alias("receita_bruta"),
+        F.round(net, 4).alias("receita_liquida"), F.round(net, 2).alias("receita_liquida_total"))
 
 
 _SALE_COLUMNS = ["safra", "id_pedido", "item", "data_emissao", "id_cliente", "id_produto", "id_produto_chave",
@@ -135,7 +163,7 @@ def interval_asof(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_attribution", with_(SALES, PORTFOLIO, ATTRIBUTION) + """
 SELECT safra, id_pedido, item, id_vendedor_atribuicao, vendedor_ambiguo_atribuicao, vendedor_fonte FROM attributed""")
 def attribution(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.attributed_sales(flows.sales(spark, sf), flows.portfolio(spark, sf)).select(
+    return retail.attributed_sales(flows.kept_sales(spark, sf), flows.portfolio(spark, sf)).select(
         "safra", "id_pedido", "item", "id_vendedor_atribuicao", "vendedor_ambiguo_atribuicao", "vendedor_fonte")
 
 

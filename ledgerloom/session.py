@@ -15,6 +15,7 @@ SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
+    """For the owner of a session; no operator and no query changes settings by itself."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark

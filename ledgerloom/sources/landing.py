@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.fixed_values import FORBIDDEN_NAME_CHARACTERS
+from ledgerloom.functions.text import strip_space
 
 BOM = "﻿"
 
@@ -57,65 +61,117 @@ def sanitize_name(name: str) -> str:
     return str(name).strip().translate({ord(ch): "_" for ch in FORBIDDEN_NAME_CHARACTERS})
 
 
-def sanitize_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[sanitize_name(name) for name in df.columns])
+def unique_names(names: Sequence[str]) -> list[str]:
+    """Blank headers by their place (``_c0``, ``_c1``), repeated ones with a number behind."""
+    seen: dict[str, int] = {}
+    out = []
+    for place, name in enumerate(names):
+        name = name or f"_c{place}"
+        seen[name.lower()] = seen.get(name.lower(), 0) + 1
+        out.append(name if seen[name.lower()] == 1 else f"{name}_{seen[name.lower()]}")
+    return out
 
 
-def drop_bom(df: DataFrame) -> DataFrame:
-    """Take a left-over byte-order mark off the first column name."""
-    first, *rest = df.columns
-    return df.toDF(first.lstrip(BOM), *rest) if first.startswith(BOM) else df
+def sanitize_columns(df: DataFrame) -> DataFrame:
+    return df.toDF(*unique_names([sanitize_name(name) for name in df.columns]))
 
 
-def with_lineage(df: DataFrame, source_name: str, sheet: str | None = None) -> DataFrame:
-    tags = {"_source_file": F.lit(source_name)}
+def with_lineage(df: DataFrame, source_name: Column, sheet: str | None = None) -> DataFrame:
+    tags = {"_source_file": source_name}
     if sheet is not None:
         tags["_source_sheet"] = F.lit(sheet)
     return df.withColumns(tags | {"_ingested_at": F.current_timestamp()})
 
 
-def _source_name(path: str, declared: str | None) -> str:
-    return declared or path.rstrip("/").rsplit("/", 1)[-1]
+def _file_name(declared: str | None) -> Column:
+    """The declared name, else that of the file that the row came from."""
+    return F.col("_metadata.file_name") if declared is None else F.lit(declared)
+
+
+def _first_lines(spark: SparkSession, path: str, encoding: str, n: int) -> dict[str, list[str]]:
+    """The first ``n`` lines of each file; only these come to the driver."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()
+    out = {}
+    for row in listed:
+        file = jvm.org.apache.hadoop.fs.Path(row.path)
+        stream = jvm.java.io.InputStreamReader(file.getFileSystem(conf).open(file), encoding)
+        reader = jvm.java.io.BufferedReader(stream)
+        lines = []
+        while len(lines) < n and (line := reader.readLine()) is not None:
+            lines.append(line)
+        reader.close()
+        if lines:
+            out[row.path] = [lines[0].lstrip(BOM), *lines[1:]]
+    return out
+
+
+def _by_name(parts: list[DataFrame], path: str) -> DataFrame:
+    """Files with one set of columns, whatever their order."""
+    for part in parts[1:]:
+        if sorted(part.columns) != sorted(parts[0].columns):
+            raise ValueError(f"{path}: files differ in columns: {sorted(parts[0].columns)} and {sorted(part.columns)}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cells(line: str, delimiter: str) -> list[str]:
+    return next(csv.reader([line], delimiter=delimiter), [])
 
 
 def land_delimited(spark: SparkSession, source: DelimitedSource) -> DataFrame:
-    raw = spark.read.csv(
-        source.path,
-        header=True,
-        sep=source.delimiter,
-        encoding=source.encoding,
-        multiLine=source.multi_line,
-        inferSchema=False,
-    )
-    return with_lineage(drop_bom(raw), _source_name(source.path, source.source_name))
+    """All columns as text, by name: files whose headers differ in order are read apart, other names are an error.
+
+    ``_source_file`` is the declared name, else the name of each row's file.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, lines in _first_lines(spark, source.path, source.encoding, 1).items():
+        groups.setdefault(tuple(_cells(lines[0], source.delimiter)), []).append(file)
+    if not groups:
+        raise ValueError(f"{source.path} has no line")
+    parts = []
+    for header, files in groups.items():
+        names = unique_names(header)
+        raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(
+            files, header=True, sep=source.delimiter, encoding=source.encoding, multiLine=source.multi_line)
+        parts.append(with_lineage(raw.select("*", "_metadata"), _file_name(source.source_name)).drop("_metadata"))
+    return _by_name(parts, source.path)
 
 
 def land_grid(spark: SparkSession, source: GridSource) -> DataFrame:
     """Rows below the header line, totals row included; rows without any value are dropped.
 
-    Each exported sheet is one record until its lines are split, which the format bounds at 1,048,576
-    rows a sheet; many sheets land in parallel. Only the header line comes to the driver.
+    Sheets are read as delimited text, which Spark splits; only the lines up to the header come to the driver, and
+    rows that repeat one of these are left out. Sheets whose headers differ in order are read apart.
     """
-    whole = spark.read.format("binaryFile").load(source.path).select(
-        F.decode("content", source.encoding).alias("body"))
-    lines = whole.select(F.posexplode(F.split("body", "\r?\n"))).select(
-        (F.col("pos") + 1).alias("line"), F.col("col").alias("text"))
-    header = lines.filter(F.col("line") == source.header_line).select("text").first()
-    if header is None:
+    groups: dict[tuple[str, ...], tuple[list[str], set[tuple[str, ...]]]] = {}
+    for file, lines in _first_lines(spark, source.path, source.encoding, source.header_line).items():
+        if len(lines) < source.header_line:
+            raise ValueError(f"{file} has no line {source.header_line}")
+        rows = [tuple(_cells(line, source.delimiter)) for line in lines]
+        files, above = groups.setdefault(rows[-1], ([], set()))
+        files.append(file)
+        above.update(rows)
+    if not groups:
         raise ValueError(f"{source.path} has no line {source.header_line}")
-    names = [sanitize_name(name.strip('"')) for name in header.text.lstrip(BOM).split(source.delimiter)]
-    schema = ", ".join(f"`{name}` string" for name in names)
-    cells = lines.filter(F.col("line") > source.header_line).select(
-        F.from_csv("text", F.lit(schema), {"sep": source.delimiter}).alias("r")).select("r.*")
-    blank_as_null = cells.select([F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
-    return with_lineage(
-        blank_as_null.na.drop(how="all"), _source_name(source.path, source.source_name), source.sheet)
+    parts = []
+    for header, (files, above) in groups.items():
+        names = unique_names([sanitize_name(name) for name in header])
+        raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(
+            files, sep=source.delimiter, encoding=source.encoding)
+        kept = with_lineage(raw.select("*", "_metadata"), _file_name(source.source_name), source.sheet).drop("_metadata")
+        for row in above:
+            cells = [*row, *[""] * len(names)][: len(names)]
+            same = [F.coalesce(F.col(f"`{n}`"), F.lit("")) == cell for n, cell in zip(names, cells, strict=True)]
+            kept = kept.filter(~reduce(Column.__and__, same))
+        blank_as_null = kept.withColumns({n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names})
+        parts.append(blank_as_null.na.drop(how="all", subset=names))
+    return _by_name(parts, source.path)
 
 
 def land_text(spark: SparkSession, source: TextSource) -> DataFrame:
-    lines = spark.read.text(source.path).select(F.col("value").alias(source.column))
-    kept = lines.filter(F.trim(source.column) != "")
-    return with_lineage(kept, _source_name(source.path, source.source_name))
+    lines = spark.read.text(source.path).select(F.col("value").alias(source.column), "_metadata")
+    kept = lines.filter(strip_space(F.col(source.column)) != "")
+    return with_lineage(kept, _file_name(source.source_name)).drop("_metadata")
 
 
 def land(spark: SparkSession, sources: Sequence) -> dict[str, DataFrame]:

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.sparkContext.setCheckpointDir(made)
-    return shared_folder(spark)
+    """The folder named by ``spark.checkpoint.dir``, or where that is unset one in the session's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """What this session stages."""
+    return f"{shared_folder(spark)}/ledgerloom-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -30,3 +28,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this session staged, once nothing reads it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

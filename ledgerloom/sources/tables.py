@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
@@ -46,10 +45,14 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def inventory(spark: SparkSession, namespace: str) -> DataFrame:
     """Tables of a namespace with their row counts."""
     names = sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary)
+    if not names:
+        return spark.createDataFrame([], "table_name string, n_rows long")
     return table_counts({name: spark.table(f"{namespace}.{name}") for name in names})
 
 
 def rows_like(df: DataFrame, rows: Sequence[dict]) -> DataFrame:
-    """Rows in the schema of ``df``, every field nullable; columns a row does not name are NULL."""
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    return df.sparkSession.createDataFrame([tuple(row.get(name) for name in df.columns) for row in rows], schema)
+    """Rows with the columns and types of ``df``; columns that a row does not name are NULL."""
+    written = [
+        F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields]) for row in rows
+    ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*written)))

@@ -24,14 +24,15 @@ def test_rates(spark):
          (5, D(2024, 1, 4), "USD"), (6, D(2030, 1, 1), "USD"), (7, D(2024, 1, 6), "BRL"), (8, D(2024, 1, 6), None),
          (9, None, "USD"), (10, D(2024, 1, 6), "EUR")], "id int, d date, m string")
 
-    def convert(limit):
+    def convert():
         return rows(asof.convert_currency(
             fact, quotes, day="d", currency="m", base="BRL", quote_day="q", quote_currency="c", quote_rate="r",
-            out="rate", max_broadcast_rows=limit).select("id", "rate"), "id")
+            out="rate").select("id", "rate"), "id")
 
     expected = [(1, 5.0), (2, 5.0), (3, 5.0), (4, 6.0), (5, None), (6, 6.0), (7, 1.0), (8, None), (9, None), (10, None)]
-    assert convert(asof.MAX_BROADCAST_SPINE_ROWS) == expected
-    assert convert(0) == expected
+    assert convert() == expected
+    quotes = quotes.unionByName(spark.createDataFrame([(D(9999, 12, 31), "USD", 7.0)], quotes.schema))
+    assert convert() == expected
 
 
 def test_rates_without_quotes(spark):
@@ -111,14 +112,16 @@ def test_surrogate_and_sentinels(spark):
 
 def test_hierarchy(spark):
     df = spark.createDataFrame(
-        [("h", None, "Head"), ("b", "h", "Branch"), ("o", "gone", "Orphan"), ("b2", "b", "Deep")],
+        [("h", None, "Head"), ("b", "h", "Branch"), ("o", "gone", "Orphan"), ("b2", "b", "Deep"), ("n", None, None),
+         ("u", "n", "Under")],
         "id string, up string, name string")
     got = keys.flatten_hierarchy(
         df, member="id", parent="up", name="name", group="g", group_name="gn", is_head="head", orphan="lost",
         orphan_label=fv.ORPHAN_PARENT_LABEL)
     assert rows(got.select("id", "g", "gn", "head", "lost"), "id") == [
         ("b", "h", "Head", False, False), ("b2", "b", "Branch", False, False), ("h", "h", "Head", True, False),
-        ("o", "gone", "Matriz não encontrada (gone)", False, True)]
+        ("n", "n", None, True, False), ("o", "gone", "Matriz não encontrada (gone)", False, True),
+        ("u", "n", "Under", False, False)]
 
 
 def test_conformed_dimension(spark):

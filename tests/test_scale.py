@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import money
 from ledgerloom.operators import asof, keys, quality
 from ledgerloom.sources import staging
 
@@ -63,10 +64,13 @@ def test_duplicate_flag_splits_hot_keys(shuffled_joins):
     assert flagged.filter("dup").count() == 40_000
 
 
-def test_interval_lookup_splits_hot_keys(shuffled_joins):
-    fact = hot_fact(shuffled_joins).withColumn("day", F.lit("2020-05-05").cast("date"))
+@pytest.mark.parametrize("days", [28, 45])
+def test_interval_lookup_splits_hot_keys(shuffled_joins, days):
+    """Varying days of one month, and of two."""
+    fact = hot_fact(shuffled_joins).withColumn(
+        "day", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % days).cast("int")))
     held = dimension(shuffled_joins).select(
-        "code", F.lit("2020-01-01").cast("date").alias("s"), F.lit("2020-12-31").cast("date").alias("e"),
+        "code", F.lit("2019-01-01").cast("date").alias("s"), F.lit("2020-12-31").cast("date").alias("e"),
         F.lit(False).alias("o"), "sk")
     got = asof.asof_interval(fact, held, key="code", day="day", interval_key="code", start="s", stop="e", is_open="o",
                              values={"sk": "held"})
@@ -74,31 +78,45 @@ def test_interval_lookup_splits_hot_keys(shuffled_joins):
     assert got.filter("held = 9999").count() == 20_000 and got.count() == 60_000
 
 
-def test_rate_lookup_without_broadcast_equals_broadcast(shuffled_joins):
+def test_interval_pieces_do_not_follow_outlier_dates(spark):
+    day = dt.date
+    held = spark.range(50).select(
+        F.concat(F.lit("k"), "id").alias("code"), F.lit(day(2020, 1, 1)).alias("s"),
+        F.when(F.col("id") == 0, F.lit(day(2999, 12, 31))).otherwise(F.lit(day(9999, 12, 31))).alias("e"),
+        (F.col("id") > 0).alias("o"), "id")
+    laid = asof.interval_calendar(held, key="code", start="s", stop="e", is_open="o", values=["id"],
+                                  months=[day(2019, 12, 1), day(2020, 2, 1), day(2024, 7, 1)])
+    assert laid.count() == 100
+
+
+def test_rate_lookup_by_shuffle(shuffled_joins):
     spark = shuffled_joins
     quotes = spark.range(0, 900, 2).select(
         F.date_add(F.lit("2020-01-03").cast("date"), F.col("id").cast("int")).alias("q"), F.lit("hot").alias("c"),
         (F.col("id") + 0.5).cast("double").alias("r"))
+    rated = asof.asof_rates(hot_fact(spark), quotes, day="day", currency="code", quote_day="q", quote_currency="c",
+                            quote_rate="r", out="rate")
+    row = rated.agg(F.count("*"), F.count("rate")).first()
+    assert "SortMergeJoin" in final_plan(rated) and row[0] == 60_000 and 0 < row[1] < 20_000
 
-    def total(limit):
-        rated = asof.asof_rates(hot_fact(spark), quotes, day="day", currency="code", quote_day="q", quote_currency="c",
-                                quote_rate="r", out="rate", max_broadcast_rows=limit)
-        row = rated.agg(F.count("*"), F.count("rate"), F.sum("rate")).first()
-        return tuple(row), rated._jdf.queryExecution().executedPlan().toString()
 
-    (wide, wide_plan), (narrow, narrow_plan) = total(0), total(10_000)
-    assert wide == narrow and wide[0] == 60_000 and 0 < wide[1] < 20_000
-    assert "SortMergeJoin" in wide_plan and "BroadcastHashJoin" in narrow_plan
+def test_numbering_by_ranges(spark):
+    df = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("code"), F.col("id"))
+    ranged = keys.with_surrogate_key(df, ["code"], "sk", partitions=7)
+    codes = sorted(r.code for r in df.collect())
+    assert {r.code: r.sk for r in ranged.collect()} == {c: k + 1 for k, c in enumerate(codes)}
+    assert ranged.columns == ["code", "id", "sk"]
+    assert keys.with_surrogate_key(df.filter("id < 0"), ["code"], "sk").count() == 0
 
 
-def test_numbering_by_ranges_equals_single_task(spark):
-    df = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("code"), F.col("id"))
-    ranged = keys.with_surrogate_key(df, ["code"], "sk", single_task_members=0, partitions=7)
-    single = keys.with_surrogate_key(df, ["code"], "sk")
-    assert ranged.exceptAll(single).count() == 0 and ranged.count() == 5000
-    assert ranged.columns == single.columns == ["code", "id", "sk"]
-    empty = keys.with_surrogate_key(df.filter("id < 0"), ["code"], "sk", single_task_members=0)
-    assert empty.count() == 0
+def test_sums_round_no_addend_and_bear_any_number(spark):
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(money.exact_sum(F.col("v"))).first()[0]
+
+    assert round(total([10.004] * 12) - 120.048, 9) == 0
+    assert abs(total([1e-9] * 1000) - 1e-6) < 1e-18
+    assert total([1e25, 1.5, None]) == 1e25 and total([1e300, -1e300, 2.25]) == 2.25
+    assert total([None]) is None and total([-0.75, -1.5]) == -2.25
 
 
 def test_shared_folder_is_read_from_the_session(spark):
