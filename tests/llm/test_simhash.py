@@ -65,8 +65,6 @@ def test_links_are_complete(spark, monkeypatch):
         marks.add(rng.getrandbits(64))
     signed = np.array(sorted(marks), np.uint64).view(np.int64).tolist()
     edges = simhash.links(spark.createDataFrame([(m,) for m in signed], "fingerprint long"))
-    found = edges.collect()
-    assert all(((e.a ^ e.b) & (1 << 64) - 1).bit_count() <= 64 for e in found)
     joined = {r.node: r.root for r in components(edges).collect()}
     want = plain_classes(marks)
     groups = {}
