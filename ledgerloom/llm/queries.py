@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import extraction, language, minhash, packing, permutation, quality, simhash, suffixes, urls
+from ledgerloom.llm import extraction, language, minhash, packing, permutation, quality, sentencepieces, simhash, suffixes, urls
 from ledgerloom.llm.shared import tables
 
 #: Where the public vocabulary files lie; a parameter of the operators.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -59,6 +61,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's ids, and whether they decode to the text again."""
+    (documents,) = tables(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    encoded = sentencepieces.encode(documents.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("text_sha256")), PIECES)
+    decoded = sentencepieces.decode(encoded, PIECES).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32", "decoded_sha256",
+        (F.col("decoded_sha256") == F.col("text_sha256")).alias("round_trip"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     (embeddings,) = tables(spark, sf_dir, "embeddings")
     return permutation.search(embeddings, embeddings.filter(F.col("vec_id") % 20 == 0))
@@ -81,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op7_sentencepieces": op7_sentencepieces,
     "op8_neighbours": op8_neighbours,
     "op9_extraction": op9_extraction,
     "op10_repeats": op10_repeats,
