@@ -40,7 +40,8 @@ class Pieces(dict):
         self.names = [model.id_to_piece(i) for i in range(model.vocab_size())]
         plain = [i for i in range(len(self.names)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.scores = {self.names[i]: (i, model.get_score(i)) for i in plain}
-        self.starts = {name[:k] for name in self.scores for k in range(1, len(name) + 1)}
+        # None for the start of a piece that is none itself
+        self.table = dict.fromkeys(name[:k] for name in self.scores for k in range(1, len(name))) | self.scores
         self.longest = max(map(len, self.scores))
         self.unknown = min(s for _, s in self.scores.values()) - UNKNOWN
         self.bytes = {int(n[1:-1], 16): i for i, n in enumerate(self.names) if model.is_byte(i)}
@@ -75,19 +76,25 @@ class Pieces(dict):
             best, back, piece = [x - best[upto] for x in best[upto:]], [b - upto for b in back[upto:]], piece[upto:]
             base += upto
 
-        for i in range(len(text)):
+        find, longest, end = self.table.get, self.longest, len(text)
+        for i in range(end):
             k, single = i - base, False
-            for size in range(1, min(self.longest, len(text) - i) + 1):
-                name = text[i : i + size]
-                if name not in self.starts:
+            here = best[k]
+            for stop in range(i + 1, min(i + longest, end) + 1):
+                entry = find(text[i:stop], 0)
+                if entry is None:
+                    continue
+                if entry == 0:
                     break
-                entry = self.scores.get(name)
-                if entry:
-                    while len(best) <= k + size:
-                        best.append(low), back.append(0), piece.append(-1)
-                    single |= size == 1
-                    if best[k] + entry[1] > best[k + size]:
-                        best[k + size], back[k + size], piece[k + size] = best[k] + entry[1], k, entry[0]
+                to = stop - base
+                while len(best) <= to:
+                    best.append(low)
+                    back.append(0)
+                    piece.append(-1)
+                if stop == i + 1:
+                    single = True
+                if here + entry[1] > best[to]:
+                    best[to], back[to], piece[to] = here + entry[1], k, entry[0]
             if not single:
                 if len(best) == k + 1:
                     best.append(low), back.append(0), piece.append(-1)
@@ -95,7 +102,7 @@ class Pieces(dict):
                     best[k + 1], back[k + 1], piece[k + 1] = best[k] + self.unknown, k, -1
             if len(best) == k + 2:  # one position is left
                 commit(k + 1)
-            elif k > 4 * self.longest:
+            elif k > 4 * longest:
                 alive = {j for j in range(k + 1, len(best)) if best[j] > low}
                 while len(alive) > 1:
                     last = max(alive)
