@@ -221,9 +221,10 @@ def _spans(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     same = held.filter("not mixed").select("r1", "r2", F.col("start").alias("low"), F.expr("start + size").alias("high"))
 
     mixed = held.filter("mixed")
-    distinct = written(mixed.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min("r1").alias("r1"), F.max("size").alias("size")), "distinct")
-    wanted = distinct.groupBy("r1").agg(F.collect_list("segment").alias("wanted"))
-    fetched = texts.select("r1", "text").join(wanted, "r1").mapInArrow(_fetch(length, level), f"{_KEYS}, place int, text binary")
+    distinct = written(mixed.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2")).alias("row"), F.max("size").alias("size")), "distinct")
+    # each segment comes from one row only, so a row's list holds no more than its own segments
+    wanted = distinct.groupBy("row.r1", "row.r2").agg(F.collect_list("segment").alias("wanted"))
+    fetched = texts.join(wanted, ["r1", "r2"]).select("text", "wanted").mapInArrow(_fetch(length, level), f"{_KEYS}, place int, text binary")
     ranges = f"{_KEYS}, low int, high int"
     crowded = written(distinct.groupBy("anchor").count().filter(F.col("count") > COLLECTION).select("anchor"), "crowded")
     split = level + 1 < LEVELS and not crowded.isEmpty()

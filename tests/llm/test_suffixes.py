@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import suffixes
@@ -43,6 +44,43 @@ def test_against_every_window(spark, monkeypatch, collection):
     assert got == dict(enumerate(plain(texts)))
 
 
+def hot_passage(spark, n=60, size=185):
+    """Documents with one passage of under 200 bytes between words of their own; two pairs share more than that."""
+    rng = random.Random(11)
+    own = lambda k: "".join(rng.choice("abcdefghij ") for _ in range(k))
+    passage = own(size)
+    texts = [own(300) + passage + own(300) for _ in range(n)]
+    texts += [own(250) + texts[0][250:520] + own(200), own(260) + texts[1][290:700]]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), texts
+
+
+def test_a_row_is_asked_for_its_own_segments_only(spark, monkeypatch):
+    """With a crowded anchor, no row carries the segments of the others."""
+    monkeypatch.setattr(suffixes, "COLLECTION", 10)
+    fetch = suffixes._fetch
+
+    def watched(*args):
+        run, cut = fetch(*args), suffixes.segments
+
+        def checked(batches):
+            def each():
+                for batch in batches:
+                    at = {n: batch.column(batch.schema.get_field_index(n)) for n in ("text", "wanted")}
+                    for text, wanted in zip(at["text"].to_pylist(), at["wanted"].to_pylist(), strict=True):
+                        assert len(wanted) <= len(text) - 199
+                        own = cut(np.array([0, len(text)]), np.frombuffer(text, np.uint8), *args)[2].view(np.int64)
+                        assert set(wanted) <= set(own.tolist())
+                    yield batch
+
+            return run(each())
+
+        return checked
+
+    monkeypatch.setattr(suffixes, "_fetch", watched)
+    docs, texts = hot_passage(spark)
+    assert {r[0]: tuple(r)[1:] for r in suffixes.report(docs).collect()} == dict(enumerate(plain(texts)))
+
+
 def test_odd_rows(odd, none):
     rows = odd.select("doc_id", "text").collect()
     want = plain([r.text if r.doc_id != 8 else "" for r in rows])
