@@ -12,8 +12,8 @@ if its suffix shares ``LENGTH`` symbols with a neighbour. Only one column's orde
 shuffle files, block after block.
 
 What is counted before any byte moves: an anchor that occurs once has no repeated window; if all segments of an anchor are
-equal, all their windows are repeated. Only distinct segments of the other anchors are sent. A collection of more than
-``COLLECTION`` segments is cut anew with anchors of another hash, as documents of their own.
+equal, all their windows are repeated. Only distinct segments of the other anchors are sent. Segments of a collection of
+more than ``COLLECTION`` are not sorted in one task: their windows are grouped by place and hash, wherever they lie.
 """
 
 from __future__ import annotations
@@ -31,23 +31,22 @@ from ledgerloom.llm.shared import widened, written
 
 LENGTH = 200
 ANCHOR = 48
-#: Segments of one anchor that one task sorts; more are cut anew.
+#: Segments of one anchor that one task sorts; the windows of more are grouped by hash.
 COLLECTION = 20_000
-LEVELS = 4
 _BLOCK_ROWS = 20_000
 _SLICE = 1 << 20
 _PLACE = np.uint64((1 << 26) - 1)
 _KEYS = "anchor long, segment long"
 
 
-def segments(offsets: np.ndarray, data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
+def segments(offsets: np.ndarray, data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(text, anchor hash, segment hash, start, end, anchor's place in it) of every segment; start and end in ``data``."""
     width = length - ANCHOR + 1
     if len(data) < length:
         return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
     sums, unshift = prefix_sums(data), powers(INVERSE, len(data))
     at = np.arange(len(data) - ANCHOR + 1)
-    grams = mix64(substring_hashes(sums, at, at + ANCHOR, unshift) + np.uint64(seed * 0x632BE59BD9B4E019 & (1 << 64) - 1))
+    grams = mix64(substring_hashes(sums, at, at + ANCHOR, unshift))
     least, reach = (grams & ~_PLACE) | at.astype(np.uint64), 1
     while reach * 2 <= width:
         least, reach = np.minimum(least[: len(least) - reach], least[reach:]), reach * 2
@@ -79,11 +78,11 @@ def _chunks(whole: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
                 yield batch, np.array([0, len(part)]), part, low
 
 
-def _cut(length: int, seed: int, with_place: bool):
+def _cut(length: int, with_place: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, offsets, data, shift in _chunks(whole):
-                text, anchor, segment, start, end, _ = segments(offsets, data, length, seed)
+                text, anchor, segment, start, end, _ = segments(offsets, data, length)
                 columns = {"anchor": anchor.view(np.int64), "segment": segment.view(np.int64)}
                 if with_place:
                     r1, r2 = (batch.column(batch.schema.get_field_index(c)).to_numpy()[text] for c in ("r1", "r2"))
@@ -93,13 +92,13 @@ def _cut(length: int, seed: int, with_place: bool):
     return run
 
 
-def _fetch(length: int, seed: int):
+def _fetch(length: int):
     """The bytes of the wanted segments of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, offsets, data, _ in _chunks(whole):
-                text, anchor, segment, start, end, place = segments(offsets, data, length, seed)
+                text, anchor, segment, start, end, place = segments(offsets, data, length)
                 wanted = batch.column(batch.schema.get_field_index("wanted"))
                 counts, flat = wanted.value_lengths().to_numpy(), wanted.flatten().to_numpy().view(np.uint64)
                 asked = np.repeat(np.arange(len(counts)), counts)
@@ -119,6 +118,43 @@ def _fetch(length: int, seed: int):
     return run
 
 
+def _windows(length: int):
+    """(anchor, segment, column, start, window) of every window of fetched segments; its column counts from the anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                offsets, data = offsets_and_bytes(batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary()))
+                sums, unshift = prefix_sums(data), powers(INVERSE, len(data))
+                each = np.diff(offsets) - length + 1
+                row = np.repeat(np.arange(len(each)), each)
+                start = np.arange(len(row)) - (np.cumsum(each) - each)[row]
+                low = offsets[:-1][row] + start
+                column = start - batch.column(batch.schema.get_field_index("place")).to_numpy()[row]
+                keys = [batch.column(batch.schema.get_field_index(c)).to_numpy()[row] for c in ("anchor", "segment")]
+                window = substring_hashes(sums, low, low + length, unshift).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, keys), pa.array(column.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(window)],
+                    names=["anchor", "segment", "column", "start", "window"],
+                )
+
+    return run
+
+
+def _crowded_spans(fetched: DataFrame, length: int) -> DataFrame:
+    """(anchor, segment, low, high) of what windows that another segment holds cover, for collections of any size.
+
+    Equal windows lie at the same place from the anchor. All windows of a segment hold its anchor, so repeated ones
+    overlap and cover one range.
+    """
+    windows = written(fetched.mapInArrow(_windows(length), f"{_KEYS}, column int, start int, window long"), "windows")
+    key = ["anchor", "column", "window"]
+    shared = windows.groupBy(*key).agg(F.min("segment").alias("a"), F.max("segment").alias("b")).filter("a <> b").select(*key)
+    return windows.join(shared, key, "left_semi").groupBy("anchor", "segment").agg(
+        F.min("start").alias("low"), (F.max("start") + length).cast("int").alias("high")
+    )
+
+
 def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """min(values[low:high]) for non-empty ranges."""
     if not len(low):
@@ -210,13 +246,13 @@ def _construct(length: int):
     return run
 
 
-def _spans(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
+def _spans(texts: DataFrame, length: int) -> DataFrame:
     """(r1, r2, low, high): byte ranges of repeated windows of ``texts(r1, r2, text)``, not merged over segments."""
-    counted = texts.mapInArrow(_cut(length, level, False), _KEYS).groupBy("anchor").agg(
+    counted = texts.mapInArrow(_cut(length, False), _KEYS).groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("segment").alias("a"), F.max("segment").alias("b")
     )
     repeated = written(counted.filter("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")), "anchors")
-    placed = texts.mapInArrow(_cut(length, level, True), f"{_KEYS}, r1 long, r2 long, start int, size int")
+    placed = texts.mapInArrow(_cut(length, True), f"{_KEYS}, r1 long, r2 long, start int, size int")
     held = written(placed.join(repeated, "anchor"), "segments")
     same = held.filter("not mixed").select("r1", "r2", F.col("start").alias("low"), F.expr("start + size").alias("high"))
 
@@ -224,18 +260,17 @@ def _spans(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     distinct = written(mixed.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2")).alias("row"), F.max("size").alias("size")), "distinct")
     # each segment comes from one row only, so a row's list holds no more than its own segments
     wanted = distinct.groupBy("row.r1", "row.r2").agg(F.collect_list("segment").alias("wanted"))
-    fetched = texts.join(wanted, ["r1", "r2"]).select("text", "wanted").mapInArrow(_fetch(length, level), f"{_KEYS}, place int, text binary")
+    fetched = texts.join(wanted, ["r1", "r2"]).select("text", "wanted").mapInArrow(_fetch(length), f"{_KEYS}, place int, text binary")
     ranges = f"{_KEYS}, low int, high int"
     crowded = written(distinct.groupBy("anchor").count().filter(F.col("count") > COLLECTION).select("anchor"), "crowded")
-    split = level + 1 < LEVELS and not crowded.isEmpty()
+    split = not crowded.isEmpty()
     if split:
-        fetched = written(fetched.dropDuplicates(["anchor", "segment"]), "fetched")
-        inner = fetched.join(crowded, "anchor", "left_semi").select(F.col("anchor").alias("r1"), F.col("segment").alias("r2"), "text")
-        deeper = _spans(inner, length, level + 1).select(F.col("r1").alias("anchor"), F.col("r2").alias("segment"), "low", "high")
+        fetched = written(fetched, "fetched")
+        windowed = _crowded_spans(fetched.join(crowded, "anchor", "left_semi"), length)
         fetched = fetched.join(crowded, "anchor", "left_anti")
     found = fetched.repartition("anchor").sortWithinPartitions("anchor", "segment").mapInArrow(_construct(length), ranges)
     if split:
-        found = found.unionByName(deeper)
+        found = found.unionByName(windowed)
     once = distinct.filter("n = 1").select("anchor", "segment").join(found, ["anchor", "segment"])
     several = distinct.filter("n > 1").select("anchor", "segment", F.lit(0).alias("low"), F.col("size").alias("high"))
     judged = once.unionByName(several)

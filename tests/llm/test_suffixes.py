@@ -81,6 +81,33 @@ def test_a_row_is_asked_for_its_own_segments_only(spark, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in suffixes.report(docs).collect()} == dict(enumerate(plain(texts)))
 
 
+def test_no_task_sorts_a_crowded_collection(spark, monkeypatch):
+    """However long the shared passage is, segments of one anchor beyond ``COLLECTION`` don't meet in a task."""
+    most = 10
+    monkeypatch.setattr(suffixes, "COLLECTION", most)
+    construct = suffixes._construct
+
+    def watched(length):
+        run = construct(length)
+
+        def checked(batches):
+            def each():
+                seen = Counter()
+                for batch in batches:
+                    seen.update(batch.column(batch.schema.get_field_index("anchor")).to_pylist())
+                    assert max(seen.values(), default=0) <= most
+                    yield batch
+
+            return run(each())
+
+        return checked
+
+    monkeypatch.setattr(suffixes, "_construct", watched)
+    for size in (100, 185, 199):
+        docs, texts = hot_passage(spark, size=size)
+        assert {r[0]: tuple(r)[1:] for r in suffixes.report(docs).collect()} == dict(enumerate(plain(texts)))
+
+
 def test_odd_rows(odd, none):
     rows = odd.select("doc_id", "text").collect()
     want = plain([r.text if r.doc_id != 8 else "" for r in rows])
