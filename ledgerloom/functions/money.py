@@ -41,11 +41,8 @@ def sum_parts(c: Column) -> Column:
 
 
 def add_parts(parts: Column) -> Column:
-    fields = {
-        "whole": parts["whole"].cast("decimal(28,0)"), "fraction": parts["fraction"].cast("decimal(28,24)"),
-        "large": parts["large"], "n": parts["n"],
-    }
-    return F.struct(*[F.sum(value).alias(name) for name, value in fields.items()])
+    """Sums of ``sum_parts``: its decimals have 38 digits, 14 of them before the point of a fraction, and stay so wide."""
+    return F.struct(*[F.sum(parts[name]).alias(name) for name in ("whole", "fraction", "large", "n")])
 
 
 def total_of(parts: Column) -> Column:

@@ -119,6 +119,20 @@ def test_sums_round_no_addend_and_bear_any_number(spark):
     assert total([None]) is None and total([-0.75, -1.5]) == -2.25
 
 
+def test_fractions_of_a_key_add_up_beyond_ten_thousand(spark):
+    """Partial sums of one key with 50,000 rows, and of a group of such keys."""
+    rows = spark.range(100_000).select((F.col("id") % 2).alias("key"), F.lit(0.5).alias("v"))
+    parts = rows.groupBy("key").agg(money.sum_parts(F.col("v")).alias("p"))
+    for ansi in ("true", "false"):
+        with_conf = spark.conf.get("spark.sql.ansi.enabled")
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            got = parts.agg(money.total_of(money.add_parts(F.col("p")))).first()[0]
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", with_conf)
+        assert got == 50_000.0
+
+
 def test_shared_folder_is_read_from_the_session(spark):
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     kept = staging.staged(spark.range(3).withColumn("d", F.lit(dt.date(2024, 1, 1))), "kept")
