@@ -40,8 +40,8 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 tokens with their sequence and place."""
-    return packing.pack_documents(docs, TOKENIZER)
+    """Pieces of at most 4096 tokens with their ids, sequence and place."""
+    return packing.pack_documents(docs, TOKENIZER, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

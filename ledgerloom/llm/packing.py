@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.arrays import offsets_and_bytes, slices, span_hashes, spaced_words, text_column
-from ledgerloom.llm.shared import written
+from ledgerloom.llm.shared import widened, written
 
 ROOM = 4096
 END_ID = 1
@@ -145,6 +145,26 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     A null text counts as empty and is one piece of one token. ``tokenizer`` is a vocabulary file's path on executors.
     """
+    cut = _pieces(docs, tokenizer, id_col, text_col, room, with_ids)
+    return _with_lists(cut) if with_ids else cut
+
+
+def _with_lists(pieces_: DataFrame) -> DataFrame:
+    """ids as a list of numbers instead of their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            offsets, data = offsets_and_bytes(batch.column(at).cast(pa.large_binary()))
+            numbers = pa.array(np.frombuffer(data.tobytes(), "<u4").view(np.int32))
+            yield batch.set_column(at, "ids", pa.ListArray.from_arrays(pa.array((offsets // 4).astype(np.int32)), numbers))
+
+    last = pieces_.select(*pieces_.drop("ids").columns, "ids")
+    return last.mapInArrow(run, widened(last.drop("ids"), ids="array<int>")).select(*pieces_.columns)
+
+
+def _pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, room: int, with_ids: bool) -> DataFrame:
+    """``pieces`` with ids as bytes, four for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(tokenizer)
@@ -165,12 +185,13 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                     pa.array(high - low), pa.array(crc, pa.int64()),
                 ]
                 if with_ids:
-                    columns.append(pa.LargeListArray.from_arrays(pa.array(np.append(low, bounds[-1])), pa.array(tokens.astype(np.int32))).cast(pa.list_(pa.int32())))
+                    ends = np.append(4 * low, 4 * bounds[-1])
+                    columns.append(pa.Array.from_buffers(pa.large_binary(), len(low), [None, pa.py_buffer(ends), pa.py_buffer(tokens)]).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    more = ", ids array<int>" if with_ids else ""
+    more = ", ids binary" if with_ids else ""
     return picked.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long{more}").withColumnRenamed("id", id_col)
 
 
@@ -250,5 +271,27 @@ def pack(items: DataFrame, room: int = ROOM) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM, with_ids: bool = False) -> DataFrame:
-    """Every piece of every document with its sequence and place; repeated rows are packed as often as they come."""
-    return pack(pieces(docs, tokenizer, id_col, text_col, room, with_ids), room)
+    """Every piece of every document with its sequence and place; repeated rows are packed as often as they come.
+
+    Ids are written once and joined to the assignment at the end, so that only numbers and lengths are packed.
+    """
+    if not with_ids:
+        return pack(pieces(docs, tokenizer, id_col, text_col, room), room)
+    return _with_lists(_sequences(docs, tokenizer, id_col, text_col, room))
+
+
+def _sequences(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, room: int) -> DataFrame:
+    cut = _pieces(docs, tokenizer, id_col, text_col, room, True)
+    held = written(cut.withColumn("_number", F.monotonically_increasing_id()), "pieces")
+    assigned = pack(held.select("_number", "length"), room).drop("length")
+    return held.join(assigned, "_number").drop("_number")
+
+
+def packing_report(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM) -> DataFrame:
+    """``pack_documents`` with the CRC of the ids that come out of it, little-endian, in place of the ids."""
+    return with_crc_of_ids(_sequences(docs, tokenizer, id_col, text_col, room))
+
+
+def with_crc_of_ids(packed: DataFrame) -> DataFrame:
+    """``packed`` with ids_crc32 taken from the bytes in the column ids, which is dropped."""
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

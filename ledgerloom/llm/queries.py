@@ -41,7 +41,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     (documents,) = tables(spark, sf_dir, "documents")
-    return packing.pack_documents(documents, TOKENIZER)
+    return packing.packing_report(documents, TOKENIZER)
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import packing
@@ -34,6 +36,22 @@ def test_odd_rows(odd, none):
     assert packing.pack_documents(none, TOKENIZER).count() == 0
 
 
+def test_sequences_hold_their_tokens(spark, odd):
+    """The pipeline's last stage and the query give the tokens themselves, and a digest of those that come out."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    sequences = corpus_pipeline.pack_sequences(spark, odd, "").collect()
+    assert check_places(sequences) >= 1 and all(len(r.ids) == r.length for r in sequences)
+    whole = {}
+    for r in sorted(sequences, key=lambda r: r.start):
+        whole.setdefault(str(r.doc_id), []).extend(r.ids)
+    for r in odd.filter("doc_id <> 9 or doc_id is null").collect():
+        assert whole[str(r.doc_id)] == [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, packing.END_ID]
+    digests = sorted((str(r.doc_id), r.piece, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in sequences)
+    assert sorted((str(r.doc_id), r.piece, r.ids_crc32) for r in packing.packing_report(odd, TOKENIZER).collect()) == digests
+    other = spark.createDataFrame([(1, 0, bytearray(b"\x07\x00\x00\x00"))], "doc_id long, ids_crc32 long, ids binary")
+    assert packing.with_crc_of_ids(other).first().ids_crc32 == zlib.crc32(b"\x07\x00\x00\x00")
+
+
 @pytest.mark.parametrize("text", ["It's DON'T we'LL", "İstanbul ΑΣ σας ﬁ K ª º µ", "a\u0301 A\u030a e\u0301\u0301 .\u0338", "x1y2 ...!!! (a)b-c", "\x1c\x85\xa0\u3000 é,É;ß", "<|startoftext|> <|ENDOFTEXT|>", "𝕏 \u200b z"])
 def test_same_ids(spark, text):
     want = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
