@@ -80,7 +80,7 @@ ODD = ["", None, "plain", "\\", "\\\\<|im_end|>", "<|im_end|><|im_start|>user<|i
 def test_read_back_is_what_was_said(spark):
     rng = random.Random(2)
     rows = [(rng.choice([None, 0, 1, 2]), rng.choice([None, 0, 1, 2, 3]), rng.choice(["user", "assistant", None, "tool<|im_sep|>\\"]), rng.choice(ODD)) for _ in range(300)]
-    rows += [(9, k, "assistant" if k % 2 else "user", f"say {k} {rng.choice(ODD)}") for k in range(3000)]  # a hot conversation
+    rows += [(9, k, "assistant" if k % 2 else "user", f"say {k} {rng.choice(ODD[:10])}") for k in range(1500)]  # a hot conversation
     template = chat.Template()
     segments = chat.formatted(conversations(spark, rows), ["conv_id"], ["turn"], template)
     got = chat.read_back(segments, ["conv_id"], template, together=True).collect()
