@@ -1,4 +1,4 @@
-"""Revenue rules and order-free money sums."""
+"""Revenue rules."""
 
 from __future__ import annotations
 
@@ -25,38 +25,3 @@ def gross_revenue(quantity: Column, price: Column, rate: Column, cancelled: Colu
 
 def net_of_discount(gross: Column, discount: Column) -> Column:
     return gross * (F.lit(1.0) - discount)
-
-
-def sum_parts(c: Column) -> Column:
-    """What ``exact_sum`` adds up, as a struct of sums that ``add_parts`` adds further without any rounding."""
-    value = c.cast("double")
-    usual = F.when(F.abs(value) < 1e15, value)
-    whole = F.when(usual < 0, F.ceil(usual)).otherwise(F.floor(usual))
-    return F.struct(
-        F.sum(whole.cast("decimal(28,0)")).alias("whole"),
-        F.sum((usual - whole.cast("double")).cast("decimal(28,24)")).alias("fraction"),
-        F.sum(F.when(F.abs(value) >= 1e15, value)).alias("large"),
-        F.count(value).alias("n"),
-    )
-
-
-def add_parts(parts: Column) -> Column:
-    """Sums of ``sum_parts``: its decimals have 38 digits, 14 of them before the point of a fraction, and stay so wide."""
-    return F.struct(*[F.sum(parts[name]).alias(name) for name in ("whole", "fraction", "large", "n")])
-
-
-def total_of(parts: Column) -> Column:
-    total = sum(
-        (F.coalesce(parts[name].cast("double"), F.lit(0.0)) for name in ("fraction", "large")),
-        F.coalesce(parts["whole"].cast("double"), F.lit(0.0)))
-    return F.when(parts["n"] > 0, total)
-
-
-def exact_sum(c: Column) -> Column:
-    """Sum as a double that does not depend on the order in which tasks add their parts; NULL without values.
-
-    No addend is rounded: whole parts are summed as integers of 38 digits and fractions with 24 places, both exactly.
-    Amounts of 10 ** 15 and more, which have no fraction that a business could mean, are summed as doubles, so one typo
-    cannot end a job. A sum of plain doubles changes in the last digits with partitioning and task retries.
-    """
-    return total_of(sum_parts(c))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.money import exact_sum
+from ledgerloom.operators.sums import exact_sums
 
 
 def signed_revenue(
@@ -24,7 +24,7 @@ def signed_revenue(
 
 
 def net_revenue_series(signed: DataFrame, by: Sequence, out: str = "receita_liquida_realizada") -> DataFrame:
-    return signed.groupBy(*by).agg(exact_sum(F.col("valor")).alias(out))
+    return exact_sums(signed, by, {out: F.col("valor")})
 
 
 def attainment(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions import money, parsing, text
-from ledgerloom.operators import asof, keys, marts, quality, returns, targets
+from ledgerloom.operators import asof, keys, marts, quality, returns, sums, targets
 from ledgerloom.operators.joins import left_join_unique
 from ledgerloom.operators.layouts import Field, Layout, harmonize
 from ledgerloom.sources.landing import DelimitedSource, GridSource, TextSource
@@ -426,9 +426,9 @@ def realized_by_member(
         f_sales, f_returns, sale_day="data_emissao", sale_value="receita_liquida", return_day="data_devolucao",
         return_value="receita_devolucao_liquida", keep=["sk_cliente"])
     period = [of(F.col("data")).alias(name) for name, of in periods.items()]
-    per_key = signed.groupBy("sk_cliente", *period).agg(money.sum_parts(F.col("valor")).alias("_net"))
-    return per_key.join(member, "sk_cliente", "left").groupBy("regiao", "segmento", *periods).agg(
-        money.total_of(money.add_parts(F.col("_net"))).alias("receita_liquida_realizada"))
+    out, by = "receita_liquida_realizada", ["regiao", "segmento", *periods]
+    per_key = sums.partial_sums(signed, ["sk_cliente", *period], {out: F.col("valor")})
+    return sums.totals(sums.merged(per_key.join(member, "sk_cliente", "left"), by), by, [out])
 
 
 def target_attainment(f_targets: DataFrame, realized: DataFrame) -> DataFrame:

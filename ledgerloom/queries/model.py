@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates
-from ledgerloom.functions.money import exact_sum
 from ledgerloom.operators import keys, quality, targets
+from ledgerloom.operators.sums import exact_sums
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETURNS, SALES, TARGETS, exact, with_
@@ -195,8 +195,8 @@ def reconcile_returns(spark: SparkSession, sf: str) -> DataFrame:
         ("gold.fVendas", flows.f_sales(spark, sf, sold), "receita_liquida"),
     ]
     totals = [
-        df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(exact_sum(F.col(value)), 2).alias("total")).select(
-            F.lit(name).alias("check_name"), "n_rows", "total")
+        exact_sums(df, [], {"total": F.col(value)}, rows="n_rows").select(
+            F.lit(name).alias("check_name"), "n_rows", F.round("total", 2).alias("total"))
         for name, df, value in checked
     ]
     return totals[0].unionByName(totals[1]).unionByName(totals[2])
@@ -229,6 +229,22 @@ def nonadditive(spark: SparkSession, sf: str) -> DataFrame:
     return repeated.withColumn("soma_ingenua", F.round("soma_ingenua", 4))
 
 
+@query("q_nonadditive_rollup", with_(TARGETS) + """
+, tall AS (SELECT a.ano, a.regiao, a.segmento, meta_ano FROM annual a JOIN monthly m USING (ano, regiao, segmento)),
+levels AS (SELECT unnest(['ano', 'ano,regiao', 'regiao,segmento', '']) AS nivel),
+known AS (SELECT ano, regiao, segmento, any_value(meta_ano) AS valor, count(*) AS n FROM tall GROUP BY ALL)
+SELECT nivel, CASE WHEN nivel LIKE '%ano%' THEN ano END AS ano, CASE WHEN nivel LIKE '%regiao%' THEN regiao END AS regiao,
+  CASE WHEN nivel LIKE '%segmento%' THEN segmento END AS segmento, count(*) AS chaves,
+  CAST(sum(CAST(valor AS DECIMAL(18, 2)) * n) AS DOUBLE) AS soma_ingenua, CAST(sum(CAST(valor AS DECIMAL(18, 2))) AS DOUBLE) AS total
+FROM known, levels GROUP BY ALL""")
+def nonadditive_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Annual targets by year, year and region, member and in all, each counted once though a fact row repeats it twelve times."""
+    rolled = targets.rolled_up(
+        flows.f_targets(spark, sf), ["ano", "regiao", "segmento"], "meta_ano_referencia",
+        [["ano"], ["ano", "regiao"], ["regiao", "segmento"], []])
+    return rolled.withColumns({c: F.round(c, 4) for c in ("soma_ingenua", "total")})
+
+
 _MEMBER = "(SELECT sk_cliente, regiao, segmento FROM dcust UNION ALL SELECT -1, 'Não Identificado', 'Não Identificado')"
 
 
@@ -275,6 +291,5 @@ def grain_check(spark: SparkSession, sf: str) -> DataFrame:
 SELECT data_emissao, count(*) AS n_sales, round({exact("receita_liquida")}, 7) AS receita_liquida
 FROM sale GROUP BY 1""")
 def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.sales(spark, sf).groupBy("data_emissao").agg(
-        F.count(F.lit(1)).alias("n_sales"),
-        F.round(exact_sum(F.col("receita_liquida")), 7).alias("receita_liquida"))
+    summed = exact_sums(flows.sales(spark, sf), ["data_emissao"], {"receita_liquida": F.col("receita_liquida")}, rows="n_sales")
+    return summed.withColumn("receita_liquida", F.round("receita_liquida", 7))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.functions.money import exact_sum, is_cancelled
+from ledgerloom.functions.money import is_cancelled
 from ledgerloom.operators import quality
 from ledgerloom.operators.quality import KeyCheck
+from ledgerloom.operators.sums import exact_sums
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETURNS, SALES, TARGETS, exact, with_
@@ -141,9 +142,9 @@ def quality_misc(spark: SparkSession, sf: str) -> DataFrame:
 SELECT safra, count(*) AS qtd, round({exact("receita_bruta")}, 4) AS receita_bruta_soma FROM sale
 WHERE status_pedido = 'Cancelado' GROUP BY 1""")
 def cancelled_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.sales(spark, sf).filter(is_cancelled(F.col("status_pedido"))).groupBy("safra").agg(
-        F.count(F.lit(1)).alias("qtd"),
-        F.round(exact_sum(F.col("receita_bruta")), 4).alias("receita_bruta_soma")).orderBy("safra")
+    cancelled = flows.sales(spark, sf).filter(is_cancelled(F.col("status_pedido")))
+    summed = exact_sums(cancelled, ["safra"], {"receita_bruta_soma": F.col("receita_bruta")}, rows="qtd")
+    return summed.withColumn("receita_bruta_soma", F.round("receita_bruta_soma", 4)).orderBy("safra")
 
 
 @query("q_samples", with_(CUSTOMERS, _HIERARCHY) + """

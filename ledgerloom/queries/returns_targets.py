@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.money import exact_sum
 from ledgerloom.operators import targets
+from ledgerloom.operators.sums import exact_sums
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import RETURNS, TARGETS, exact, with_
@@ -47,11 +47,11 @@ SELECT pedido_origem_encontrado, quantidade_excede_faturado, devolucao_de_pedido
   round({exact("receita_devolucao_liquida")}, 2) AS total_devolvido
 FROM ret GROUP BY 1, 2, 3""")
 def return_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.valued_returns(spark, sf).groupBy(
-        "pedido_origem_encontrado", "quantidade_excede_faturado", "devolucao_de_pedido_cancelado").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.round(exact_sum(F.col("receita_devolucao_bruta")), 4).alias("receita_devolucao_bruta"),
-        F.round(exact_sum(F.col("receita_devolucao_liquida")), 2).alias("total_devolvido"))
+    summed = exact_sums(
+        flows.valued_returns(spark, sf), ["pedido_origem_encontrado", "quantidade_excede_faturado", "devolucao_de_pedido_cancelado"],
+        {"receita_devolucao_bruta": F.col("receita_devolucao_bruta"), "total_devolvido": F.col("receita_devolucao_liquida")}, rows="n_rows")
+    return summed.withColumns({
+        "receita_devolucao_bruta": F.round("receita_devolucao_bruta", 4), "total_devolvido": F.round("total_devolvido", 2)})
 
 
 @query("q_unpivot_targets", with_(TARGETS) + """

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.money import exact_sum
 from ledgerloom.operators import quality
+from ledgerloom.operators.sums import exact_sums
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import LINES, PORTFOLIO, SALES, exact, with_
@@ -30,9 +30,9 @@ SELECT CASE l_orderkey % 3 WHEN 0 THEN '2024' WHEN 1 THEN '2025' ELSE '2026' END
 FROM lineitem, unnest(range(CASE WHEN l_orderkey % 3 = 1 AND (l_orderkey + l_partkey) % 29 = 0 THEN 2 ELSE 1 END))
   AS u(c) GROUP BY 1""")
 def discount_unit(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.landed(spark, sf).groupBy("safra").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("desconto_fracao").alias("highest"),
-        F.round(exact_sum(F.col("desconto_fracao")), 4).alias("total"))
+    share = F.col("desconto_fracao")
+    return exact_sums(flows.landed(spark, sf), ["safra"], {"total": share}, rows="n_rows", most={"highest": share}).withColumn(
+        "total", F.round("total", 4))
 
 
 @query("q_dedup", with_(LINES) + f"SELECT {_COMMON}, {_SOURCE_STATUS}, id_filial, frete_rateado FROM line")
@@ -108,11 +108,11 @@ def status(spark: SparkSession, sf: str) -> DataFrame:
 SELECT safra, count(*) AS n_rows, round({exact("receita_bruta")}, 4) AS receita_bruta, round({exact("receita_liquida")}, 4) AS receita_liquida,
   round({exact("receita_liquida")}, 2) AS receita_liquida_total FROM sale GROUP BY 1""")
 def revenue(spark: SparkSession, sf: str) -> DataFrame:
-    net = exact_sum(F.col("receita_liquida"))
-    return flows.sales(spark, sf).groupBy("safra").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.round(exact_sum(F.col("receita_bruta")), 4).alias("receita_bruta"),
-        F.round(net, 4).alias("receita_liquida"), F.round(net, 2).alias("receita_liquida_total"))
+    summed = exact_sums(
+        flows.sales(spark, sf), ["safra"], {c: F.col(c) for c in ("receita_bruta", "receita_liquida")}, rows="n_rows")
+    return summed.select(
+        "safra", "n_rows", F.round("receita_bruta", 4).alias("receita_bruta"), F.round("receita_liquida", 4).alias("receita_liquida"),
+        F.round("receita_liquida", 2).alias("receita_liquida_total"))
 
 
 _SALE_COLUMNS = ["safra", "id_pedido", "item", "data_emissao", "id_cliente", "id_produto", "id_produto_chave",

@@ -5,8 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import money
 from ledgerloom.operators import asof, keys, quality
+from ledgerloom.operators.sums import exact_sums, merged, partial_sums, totals
 from ledgerloom.sources import staging
 
 
@@ -111,7 +111,7 @@ def test_numbering_by_ranges(spark):
 
 def test_sums_round_no_addend_and_bear_any_number(spark):
     def total(values):
-        return spark.createDataFrame([(v,) for v in values], "v double").agg(money.exact_sum(F.col("v"))).first()[0]
+        return spark.createDataFrame([(v,) for v in values], "v double").transform(exact_sums, [], {"v": F.col("v")}).first()[0]
 
     assert round(total([10.004] * 12) - 120.048, 9) == 0
     assert abs(total([1e-9] * 1000) - 1e-6) < 1e-18
@@ -122,12 +122,12 @@ def test_sums_round_no_addend_and_bear_any_number(spark):
 def test_fractions_of_a_key_add_up_beyond_ten_thousand(spark):
     """Partial sums of one key with 50,000 rows, and of a group of such keys."""
     rows = spark.range(100_000).select((F.col("id") % 2).alias("key"), F.lit(0.5).alias("v"))
-    parts = rows.groupBy("key").agg(money.sum_parts(F.col("v")).alias("p"))
+    parts = partial_sums(rows, ["key"], {"v": F.col("v")})
     for ansi in ("true", "false"):
         with_conf = spark.conf.get("spark.sql.ansi.enabled")
         spark.conf.set("spark.sql.ansi.enabled", ansi)
         try:
-            got = parts.agg(money.total_of(money.add_parts(F.col("p")))).first()[0]
+            got = totals(merged(parts, []), [], ["v"]).first()[0]
         finally:
             spark.conf.set("spark.sql.ansi.enabled", with_conf)
         assert got == 50_000.0
