@@ -108,8 +108,12 @@ def save(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice",
         F.col("o_orderstatus").alias("status"))
     tables.save_table(wanted, name, partition_by=["status"], path=path)
-    spark.sql(f"DROP TABLE {name}")  # the files stay until the session's staged files go
-    return spark.read.parquet(path)
+    folder = tables.current_version(spark, name).rpartition("__")[2]
+    # the names go, the files stay until the session's staged files go
+    spark.sql(f"DROP VIEW {name}")
+    for version in tables.versions(spark, name):
+        spark.sql(f"DROP TABLE {version}")
+    return spark.read.parquet(f"{path}/{folder}")
 
 
 @query("q_inventory", """

@@ -2,35 +2,103 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The end of a version's name: milliseconds, then something that no other writer has.
+VERSION = re.compile(r"__v\d{14}_[0-9a-f]{8}$")
+
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
 
 
+def _parts(table: str) -> tuple[str, str]:
+    """The namespace, with its dot, and the bare name."""
+    head, dot, name = table.rpartition(".")
+    return head + dot, name
+
+
+def versions(spark: SparkSession, table: str) -> list[str]:
+    """Names of the table's versions that exist, the oldest first."""
+    head, name = _parts(table)
+    found = spark.catalog.listTables(head.rstrip(".") or None)
+    own = re.compile(re.escape(name.lower()) + VERSION.pattern)
+    return sorted(t.name for t in found if not t.isTemporary and own.fullmatch(t.name.lower()))
+
+
+def current_version(spark: SparkSession, table: str) -> str | None:
+    """The version that the table's name stands for."""
+    if not spark.catalog.tableExists(table):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'View Text'").first()
+    return next((v for v in versions(spark, table) if told and f"`{v.lower()}`" in told.data_type.lower()), None)
+
+
+def _drop(spark: SparkSession, version: str) -> None:
+    """A version and its files, also where they lie in a folder of the caller's."""
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {version}").filter("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
+    if place:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place.data_type)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_old_versions(spark: SparkSession, table: str, keep: int = 1) -> None:
+    """Drops all versions but the current one and the ``keep`` before it; also what unfinished writes have left before it."""
+    head, _ = _parts(table)
+    now = current_version(spark, table)
+    older = [v for v in versions(spark, table) if now and v < now]
+    for version in older[: len(older) - keep] if keep else older:
+        _drop(spark, head + version)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """The table and all its versions."""
+    head, _ = _parts(table)
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for version in versions(spark, table):
+        _drop(spark, head + version)
+
+
 def save_table(
     df: DataFrame,
     table: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     path: str | None = None,
+    keep: int = 1,
 ) -> DataFrame:
-    """Overwrite ``table``, schema included, and return a scan of what was written.
+    """Replace ``table``, schema included, in one step, and return a scan of what was written.
+
+    Each write makes a table of its own, ``<table>__v<time>_<id>``, below ``path`` if that is given. When it is complete,
+    one catalog command lets the view ``table`` stand for it. A run that dies before that leaves the old rows readable,
+    and readers that have begun go on with the version they planned for: the ``keep`` versions before the new one stay.
+    Where ``table`` is a plain table, it becomes the first version. Two writers at once both finish; the later view wins.
 
     Reading back gives later steps file statistics and spares them the upstream plan.
     """
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    spark = df.sparkSession
+    head, name = _parts(table)
+    stamp = f"{time.time_ns() // 1_000_000:014d}_{uuid.uuid4().hex[:8]}"
+    version = f"{name}__v{stamp}"
+    writer = df.write.format(fmt).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+        writer = writer.option("path", f"{path.rstrip('/')}/v{stamp}")
+    writer.saveAsTable(f"{head}{version}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {table} RENAME TO {head}{name}__v{0:014d}_{0:08d}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {head}`{version}`")
+    drop_old_versions(spark, table, keep)
+    return spark.table(table)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -44,7 +112,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def inventory(spark: SparkSession, namespace: str) -> DataFrame:
     """Tables of a namespace with their row counts."""
-    names = sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary)
+    names = sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary and not VERSION.search(t.name))
     if not names:
         return spark.createDataFrame([], "table_name string, n_rows long")
     return table_counts({name: spark.table(f"{namespace}.{name}") for name in names})
