@@ -1,10 +1,14 @@
 import random
+import time
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from ledgerloom.llm import sentencepieces
-from ledgerloom.llm.queries import PIECES
+from ledgerloom.llm.queries import PIECES, op7_sentencepieces
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +68,52 @@ def test_odd_rows(spark, odd, none):
     want = sorted((str(r.doc_id), r.text or "") for r in odd.collect())
     assert sorted((str(r.doc_id), r.decoded) for r in sentencepieces.decode(encoded, PIECES).collect()) == want
     assert sentencepieces.decode(sentencepieces.encode(none, PIECES), PIECES).count() == 0
+
+
+def test_repeated_characters_take_time_in_proportion(pieces):
+    """A line of one character is one word: no list that is gone through at every character."""
+    for char in "a-é東 \u0001":
+        seconds = []
+        for n in (20_000, 80_000):
+            started = time.process_time()
+            ids = pieces.encode(char * n)
+            seconds.append(time.process_time() - started)
+            (back,) = pieces.decode(np.array(ids), np.array([0, len(ids)]))
+            assert back == char * n
+        assert seconds[1] < 12 * max(seconds[0], 0.05)
+
+
+def test_words_side_by_side_are_like_alone(pieces):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("▁abcdeé東\U0001f600\u0001the-") for _ in range(rng.randint(1, sentencepieces.KNOWN_LENGTH))) for _ in range(3000)]
+    ids, first = pieces.segment(words)
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [pieces.viterbi(w) for w in words]
+    assert [len(x) for x in pieces.segment([])] == [0, 1]
+
+
+def test_forgetting_words(pieces, monkeypatch):
+    monkeypatch.setattr(sentencepieces, "KNOWN", 3)
+    encoder = sentencepieces.Encoder(pieces)
+    texts = ["one two three four five", "six " + "x" * 70, "", " ", "one six"] * 3
+    for text in texts:
+        (got,) = encoder.encode(pa.array([text], pa.large_string()))
+        assert got.tolist() == (pieces.viterbi(sentencepieces.SPACE + text.replace(" ", sentencepieces.SPACE)) if text else [])
+
+
+def test_ids_that_are_no_pieces(spark):
+    ids = [None, [], [None], [-1], [40_000, 2**31 - 1], [0], [1, 2]]
+    frame = spark.createDataFrame([(k, x, "old") for k, x in enumerate(ids)], "k int, ids array<int>, decoded string")
+    got = [r.decoded for r in sentencepieces.decode(frame, PIECES).orderBy("k").collect()]
+    assert got == ["", "", "�", "�", "��", "�", ""]
+
+
+def test_query_is_like_a_plain_search(spark, pieces):
+    """The whole query on sf0.001 against the search with the whole text in memory, by sum of scores, and round trips."""
+    rows = {r.doc_id: r for r in op7_sentencepieces(spark, "/root/testdata/sf0.001").collect()}
+    for doc in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+        ids = pieces.encode(doc.text or "")
+        assert rows[doc.doc_id].n_ids == len(ids) and rows[doc.doc_id].round_trip
+        assert rows[doc.doc_id].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        marked = sentencepieces.SPACE + (doc.text or "").replace(" ", sentencepieces.SPACE)
+        if len(marked) < 3000 and not set(ids) & set(pieces.byte_of):
+            assert sum(pieces.scores[pieces.names[i]][1] for i in ids) == (plain(pieces, marked) if doc.text else 0)
