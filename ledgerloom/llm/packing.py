@@ -1,9 +1,10 @@
 """Best-fit packing by hierarchical residual rounds.
 
 Documents become token pieces of at most ``ROOM`` tokens, which are dealt out evenly, so that long and short ones mix
-however the documents came. Each partition packs its own pieces best-fit, the longest first: a piece goes where least room would be left. Bins with at most ``SLACK`` free tokens are done. The others are
-items of the next round, on a sixteenth of the partitions, until one partition is left. A task hands on its
-``CARRY`` emptiest bins at most; fuller ones are final as they are, so that no round grows with the input.
+however the documents came. Each partition packs its own pieces best-fit, the longest first: a piece goes where least room
+would be left. Bins with at most ``SLACK`` free tokens are done. All others are items of the next round, dealt anew to a
+sixteenth of the partitions, or to as many as ``ITEMS`` bins a task need. Rounds end when one partition has packed all that
+is left, or when neither the tree gets narrower nor the bins fewer: what is left then are bins that don't fit together.
 """
 
 from __future__ import annotations
@@ -20,16 +21,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import offsets_and_bytes, slices, span_hashes, spaced_words, text_column
+from ledgerloom.llm.arrays import offsets_and_bytes, slices, spaced_words, text_column
 from ledgerloom.llm.shared import widened, written
 
 ROOM = 4096
 END_ID = 1
 SLACK = 8
 FAN_IN = 16
-CARRY = 50_000
-#: Pieces that are packed together in the first round.
+#: Pieces, or open bins, that are packed together.
 ITEMS = 250_000
+#: A round that leaves more than this share of its bins has not made them fewer.
+FALLS = 0.99
 #: Text bytes that are encoded at a time.
 SLICE_BYTES = 2 << 20
 #: Parts of words whose ids a task keeps.
@@ -118,12 +120,12 @@ def encode(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndar
     distinct word is encoded once. A text that holds a special token's letters is encoded as it is.
     """
     offsets, data = offsets_and_bytes(texts)
-    out, starts, ends, first = spaced_words(offsets, data)
-    _, sample, place = np.unique(span_hashes(out, starts, ends), return_index=True, return_inverse=True)
+    out, starts, _, first = spaced_words(offsets, data)
     body = out.tobytes()
-    distinct = [body[s:e].decode() for s, e in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
-    split, begin, size, flat = vocabulary.encode_words(distinct)
-    used = split[place].ravel()
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(out)).astype(np.int64)), pa.py_buffer(body))
+    coded = words.dictionary_encode()  # each word with the space behind it
+    split, begin, size, flat = vocabulary.encode_words([w[:-1] for w in coded.dictionary.to_pylist()])
+    used = split[coded.indices.to_numpy()].ravel()
     each = size[used]
     at = np.cumsum(each) - each
     source = np.repeat(begin[used] - at, each)
@@ -203,7 +205,7 @@ def _pack_rows(room: int):
         def pack() -> pa.RecordBatch:
             nonlocal used
             batch = pa.Table.from_batches(held).combine_chunks()
-            bins, places, free = best_fit(batch.column("length").to_numpy(), room)
+            bins, places, free = best_fit(batch.column("size").to_numpy(), room)
             filled = room - np.array(free, np.int64)
             out = batch.append_column("bin", pa.array(base + used + bins)).append_column("place", pa.array(places)).append_column("filled", pa.array(filled[bins]))
             used += len(free)
@@ -221,7 +223,7 @@ def _pack_rows(room: int):
     return run
 
 
-def _merge_bins(room: int, level: int, last: bool):
+def _merge_bins(room: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not table.num_rows:
@@ -231,49 +233,55 @@ def _merge_bins(room: int, level: int, last: bool):
         bins, places, free = best_fit(sizes, room)
         filled = room - np.array(free, np.int64)
         parent = -1 - ((TaskContext.get().partitionId() << 36) + (level << 30) + np.arange(len(free)))
-        goes_on = (filled < room - SLACK) & (not last)
-        emptiest = np.argsort(filled, kind="stable")[CARRY:]
-        goes_on[emptiest] = False
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(parent[bins]), pa.array(places), pa.array(filled[bins]), pa.array(goes_on[bins])], names=["bin", "parent", "place", "filled", "goes_on"])
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(parent[bins]), pa.array(places), pa.array(filled[bins])], names=["bin", "parent", "place", "filled"])
 
     return run
 
 
 def pack(items: DataFrame, room: int = ROOM) -> DataFrame:
-    """``items`` (with a ``length`` from 1 to ``room``) with sequence_id and offset: sequences of at most ``room`` tokens,
-    without gaps from 0. Other columns pass through, but for columns of these two names, which are replaced.
+    """``items`` with sequence_id and offset: sequences of at most ``room`` tokens, without gaps from 0.
 
-    Equal lengths go by their order in the partition. An empty table gives an empty result.
+    A ``length`` that is null, below 1 or above ``room`` is an error. Columns of the two names are replaced, others pass,
+    whatever their names. Equal lengths go by their order in the partition. An empty table gives an empty result.
     """
     kept = items.drop("sequence_id", "offset")
-    first = kept.withColumns({"bin": F.lit(0).cast("long"), "place": F.lit(0).cast("long"), "filled": F.lit(0).cast("long")}).schema
+    size = F.col("length").cast("long")
+    size = F.when(size.between(1, room), size).otherwise(F.raise_error(F.lit("a length must be from 1 to the room")).cast("long"))
+    rows = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), size.alias("size"))
+    first = rows.withColumns({c: F.lit(0).cast("long") for c in ("bin", "place", "filled")}).schema
     parts = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = written(kept.repartition(parts).mapInArrow(_pack_rows(room), first), "packed")
-    open_bins = packed.filter(F.col("filled") < room - SLACK).groupBy("bin").agg(F.max("filled").alias("filled"))
-    assigned, level = None, 0
-    while assigned is None or parts > 1:
-        parts = -(-parts // FAN_IN)
-        level += 1
-        merged = written(
-            open_bins.repartition(parts, "bin").mapInArrow(_merge_bins(room, level, parts == 1), "bin long, parent long, place long, filled long, goes_on boolean"),
-            "merged",
-        )
+    packed = written(rows.repartition(parts).mapInArrow(_pack_rows(room), first), "packed")
+    open_ = F.col("filled") < room - SLACK
+    left = written(packed.filter(open_).groupBy("bin").agg(F.max("filled").alias("filled")), "open")
+    assigned, level, count, before = None, 0, left.count(), None
+    while count:
+        narrower = max(1, -(-parts // FAN_IN), -(-count // ITEMS))
+        if before is not None and narrower >= parts and count > FALLS * before:
+            break
+        parts, level, before = narrower, level + 1, count
+        merged = written(left.repartition(parts, F.xxhash64("bin", F.lit(level))).mapInArrow(_merge_bins(room, level), "bin long, parent long, place long, filled long"), "merged")
         step = merged.select(F.col("bin").alias("from"), "parent", F.col("place").alias("shift"))
         if assigned is None:
             assigned = step.select(F.col("from").alias("bin"), F.col("parent").alias("root"), "shift")
         else:
             now = assigned.join(step.withColumnRenamed("shift", "more").withColumnRenamed("parent", "up"), F.col("root") == F.col("from"), "left")
             assigned = now.select("bin", F.coalesce("up", "root").alias("root"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"))
-        open_bins = merged.filter("goes_on").groupBy(F.col("parent").alias("bin")).agg(F.max("filled").alias("filled"))
-    return packed.join(assigned, "bin", "left").select(
-        *kept.columns, F.coalesce("root", "bin").alias("sequence_id"), (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset")
-    )
+        if parts == 1:
+            break
+        left = merged.filter(open_).groupBy(F.col("parent").alias("bin")).agg(F.max("filled").alias("filled"))
+        count = left.count()
+    if assigned is None:
+        assigned = packed.select("bin", F.col("bin").alias("root"), F.lit(0).cast("long").alias("shift")).limit(0)
+    placed = packed.join(assigned, "bin", "left")
+    return placed.select(
+        *[F.col(f"row.`{c}`").alias(c) for c in kept.columns], F.coalesce("root", "bin").alias("sequence_id"),
+        (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM, with_ids: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and place; repeated rows are packed as often as they come.
 
-    Ids are written once and joined to the assignment at the end, so that only numbers and lengths are packed.
+    A null or empty text is one piece of one token, a text longer than the room several pieces, an empty table no row. Ids are written once and joined to the assignment at the end, so that only numbers and lengths are packed.
     """
     if not with_ids:
         return pack(pieces(docs, tokenizer, id_col, text_col, room), room)
@@ -288,7 +296,7 @@ def _sequences(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, room
 
 
 def packing_report(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM) -> DataFrame:
-    """``pack_documents`` with the CRC of the ids that come out of it, little-endian, in place of the ids."""
+    """``pack_documents`` with the CRC of the ids that come out of it, little-endian, in place of the ids; edge cases as there."""
     return with_crc_of_ids(_sequences(docs, tokenizer, id_col, text_col, room))
 
 

@@ -70,3 +70,36 @@ def test_rounds_fill_up(spark):
     got = packing.pack(items).collect()
     assert len(got) == 1800
     assert check_places(got) <= 1.03 * max(900, (long.sum() + short.sum()) / 4096)
+
+
+def test_words_of_equal_polynomial_hash(spark):
+    """Thue-Morse words and their complements agree in every polynomial hash modulo a power of two."""
+    tokenizer, word = Tokenizer.from_file(TOKENIZER), "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word[:n] for n in (1024, 2048)] + [word[:n].translate(str.maketrans("ab", "ba")) for n in (1024, 2048)]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    for r in packing.pieces(frame, TOKENIZER, with_ids=True).collect():
+        assert r.ids == [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_bins_that_do_not_fit_together_end_the_rounds(spark, monkeypatch):
+    """Large pieces leave one open bin each; tasks take a bounded number, and small pieces still find their places."""
+    monkeypatch.setattr(packing, "ITEMS", 500)
+    rng = np.random.default_rng(6)
+    sizes = np.concatenate((rng.integers(2100, 4080, 4000), rng.integers(10, 1500, 1500)))
+    got = packing.pack(spark.createDataFrame([(int(x),) for x in sizes], "length long").coalesce(3)).collect()
+    assert len(got) == len(sizes)
+    assert check_places(got) <= 1.01 * max(4000, sizes.sum() / 4096)
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["bin", "place", "filled", "row", "size", "root", "shift", "parent", "sequence_id"]
+    frame = spark.createDataFrame([(5, *[f"{n}{k}" for n in names]) for k in range(3)], "length int, " + ", ".join(f"{n} string" for n in names))
+    got = packing.pack(frame)
+    assert got.columns == ["length", *names[:-1], "sequence_id", "offset"]
+    assert sorted((r.bin, r["size"], r.parent) for r in got.collect()) == [(f"bin{k}", f"size{k}", f"parent{k}") for k in range(3)]
+    assert packing.pack(frame.limit(0)).count() == 0
+    for bad in ("0", "4097", "null"):
+        with pytest.raises(Exception, match="a length must be"):
+            packing.pack(spark.sql(f"select cast({bad} as int) as length")).count()
