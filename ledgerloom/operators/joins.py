@@ -31,5 +31,10 @@ def left_join_unique(df: DataFrame, side: DataFrame, on: Mapping[str, str]) -> D
     return df.join(side, same, "left")
 
 
+def inner_join_unique(df: DataFrame, side: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """The rows of ``df`` whose keys a ``unique_side`` has."""
+    return df.join(side, [F.col(left) == F.col(_marked(right)) for left, right in on.items()])
+
+
 def drop_side(df: DataFrame, on: Mapping[str, str], *more: str) -> DataFrame:
     return df.drop("_rows", *[_marked(k) for k in on.values()], *more)

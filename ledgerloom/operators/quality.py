@@ -71,6 +71,21 @@ def split_tagged(df: DataFrame, reason: str = "motivo_rejeicao") -> tuple[DataFr
     return df.filter(F.col(reason) == "").drop(reason), df.filter(F.col(reason) != "")
 
 
+#: The column that a tagged table is written apart by.
+ROUTE = "rota"
+_VALID, _REJECTED = "validas", "rejeitadas"
+
+
+def routed(df: DataFrame, reason: str = "motivo_rejeicao") -> DataFrame:
+    """Tagged rows with their route, to be written once, partitioned by ``ROUTE``; ``split_routed`` then reads only one part."""
+    return df.withColumn(ROUTE, F.when(F.col(reason) == "", F.lit(_VALID)).otherwise(F.lit(_REJECTED)))
+
+
+def split_routed(df: DataFrame, reason: str = "motivo_rejeicao") -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of a table that is partitioned by ``ROUTE``; the filters prune its files."""
+    return df.filter(F.col(ROUTE) == _VALID).drop(reason, ROUTE), df.filter(F.col(ROUTE) == _REJECTED).drop(ROUTE)
+
+
 def split_rejects(
     df: DataFrame, rules: Mapping[str, Column], reason: str = "motivo_rejeicao"
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import is_cancelled, net_of_discount
-from ledgerloom.operators.joins import drop_side, left_join_unique, unique_side
+from ledgerloom.operators.joins import drop_side, inner_join_unique, left_join_unique, unique_side
 
 
 def sale_terms(sales: DataFrame, returns: DataFrame, on: Mapping[str, str], terms: Mapping[str, str]) -> DataFrame:
     """One row per sale key that a return names, with the sale's terms and the number of sales that share the key.
 
-    Sales that no return names are left out before the aggregate. Sales that share a key are settled by the order of
-    their terms, so a return can never be multiplied. ``on`` maps return columns to sale columns.
+    Sales that no return names are left out before the aggregate, by a join to the named keys, each of which is one row;
+    as in all joins to a ``unique_side``, a hot sale key can be split. Sales that share a key are settled by the order
+    of their terms, so a return can never be multiplied. ``on`` maps return columns to sale columns.
     """
-    named = returns.select(*[F.col(r).alias(s) for r, s in on.items()]).distinct()
+    named = unique_side(returns.select(*[F.col(r).alias(s) for r, s in on.items()]), list(on.values()), [])
     picked = F.struct(*[F.col(source).alias(out) for source, out in terms.items()])
-    wanted = sales.select(*on.values(), picked.alias("_terms")).join(named, list(on.values()), "left_semi")
+    found = sales.select(*on.values(), picked.alias("_terms"))
+    joined = inner_join_unique(found, named, {s: s for s in on.values()})
+    # expressions over the join, so that the aggregate has its own exchange and AQE may split the join's hot keys
+    wanted = joined.select(*[F.when(F.col("_rows") >= 1, F.col(s)).alias(s) for s in on.values()], "_terms")
     return unique_side(wanted, list(on.values()), [F.max("_terms").alias("_terms")])
 
 

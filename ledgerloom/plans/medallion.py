@@ -75,7 +75,7 @@ def run_silver(layers: Layers, period: Period = Period()) -> None:
     save("dcalendario", calendar.calendar(days, national))
 
     landed = retail.landed_sales([raw(f"vendas_{layout.name}") for layout in period.layouts], period.layouts)
-    valid, rejected = quality.split_tagged(staged(retail.tagged_sales(landed), "tagged-sales"))
+    valid, rejected = quality.split_routed(staged(quality.routed(retail.tagged_sales(landed)), "tagged-sales", [quality.ROUTE]))
     save("vendas_rejeitadas", rejected)
     sold = save("vendas", retail.sales(valid, fx, people))
     valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold))
@@ -136,7 +136,7 @@ def run_gold(layers: Layers) -> None:
     people = save("dVendedores", retail.salesperson_dimension(silver("vendedores")))
     members = save("dRegiaoSegmento", retail.region_segment_dimension(silver("clientes"), silver("metas_anuais")))
     sold = save("fVendas", retail.sales_fact(silver("vendas"), silver("carteira_historica"), buyers, goods, people))
-    save("fDevolucoes", retail.returns_fact(silver("devolucoes"), sold))
+    save("fDevolucoes", retail.returns_fact(silver("devolucoes"), buyers, goods))
     save("fMetas", retail.targets_fact(silver("metas_mensais"), silver("metas_anuais"), members))
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions import money, parsing, text
 from ledgerloom.operators import asof, keys, marts, quality, returns, sums, targets
-from ledgerloom.operators.joins import left_join_unique
 from ledgerloom.operators.layouts import Field, Layout, harmonize
 from ledgerloom.sources.landing import DelimitedSource, GridSource, TextSource
 
@@ -267,6 +266,9 @@ SALE_TERMS = {
     "taxa_cambio_aplicada": "taxa_cambio_origem",
     "status_pedido": "status_pedido_origem",
     "quantidade_absoluta": "quantidade_faturada_origem",
+    # codes that the returns fact resolves
+    "id_cliente": "id_cliente_origem",
+    "id_produto_chave": "id_produto_chave_origem",
 }
 
 
@@ -383,15 +385,16 @@ RETURNS_FACT = [
 ]
 
 
-def returns_fact(valued: DataFrame, f_sales: DataFrame) -> DataFrame:
-    """Customer and product keys of the sale the return refers to, -1 when there is none."""
-    on = {"safra_origem": "safra", "id_pedido_origem": "id_pedido", "item": "item"}
-    found = valued.filter("pedido_origem_encontrado")
-    side = returns.sale_terms(f_sales, found, on, {"sk_cliente": "sk_cliente", "sk_produto": "sk_produto"})
-    joined = left_join_unique(valued, side, on)
-    return joined.withColumns({
-        sk: F.coalesce(F.col("_terms").getField(sk), F.lit(-1)) for sk in ("sk_cliente", "sk_produto")
-    }).select(*RETURNS_FACT)
+def returns_fact(valued: DataFrame, d_customers: DataFrame, d_products: DataFrame) -> DataFrame:
+    """Customer and product keys of the sale the return refers to, -1 when there is none.
+
+    The codes came with the sale's terms, so keys are looked up for the few returns and the sales are not read again.
+    """
+    fact = keys.resolve_key(
+        valued, d_customers, code="id_cliente_origem", dim_code="id_cliente", dim_sk="sk_cliente", out="sk_cliente")
+    fact = keys.resolve_key(
+        fact, d_products, code="id_produto_chave_origem", dim_code="id_produto_chave", dim_sk="sk_produto", out="sk_produto")
+    return fact.select(*RETURNS_FACT)
 
 
 # The columns of the targets fact.

@@ -114,25 +114,16 @@ def f_sales(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> Data
         kept_sales(spark, sf) if sold is None else sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
 
 
-def keyed_sales(spark: SparkSession, sf: str, sold: DataFrame, buyers: DataFrame) -> DataFrame:
-    """Sales with customer and product keys, for the returns fact and the marts."""
-    keyed = retail.keys.resolve_key(
-        sold, buyers, code="id_cliente", dim_code="id_cliente", dim_sk="sk_cliente", out="sk_cliente")
-    return retail.keys.resolve_key(
-        keyed, d_products(spark, sf), code="id_produto_chave", dim_code="id_produto_chave", dim_sk="sk_produto",
-        out="sk_produto")
-
-
-def f_returns(spark: SparkSession, sf: str, sold: DataFrame) -> DataFrame:
-    keyed = keyed_sales(spark, sf, sold, d_customers(spark, sf))
-    return retail.returns_fact(valued_returns(spark, sf, sold), keyed)
+def f_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
+    return retail.returns_fact(valued_returns(spark, sf, sold), d_customers(spark, sf), d_products(spark, sf))
 
 
 def realized(spark: SparkSession, sf: str, periods: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     """Net revenue per region, segment and period."""
     sold, buyers = kept_sales(spark, sf), d_customers(spark, sf)
-    keyed = keyed_sales(spark, sf, sold, buyers)
-    returned = retail.returns_fact(valued_returns(spark, sf, sold), keyed)
+    key = {"dim_code": "id_cliente", "dim_sk": "sk_cliente", "out": "sk_cliente"}
+    keyed = retail.keys.resolve_key(sold, buyers, code="id_cliente", **key)
+    returned = retail.keys.resolve_key(valued_returns(spark, sf, sold), buyers, code="id_cliente_origem", **key)
     return retail.realized_by_member(keyed, returned, buyers, periods)
 
 

@@ -160,7 +160,7 @@ fret AS (
 @query("q_fact_returns", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, _RETURN_FACT) + f"""
 SELECT {', '.join(retail.RETURNS_FACT)} FROM fret""")
 def fact_returns(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.f_returns(spark, sf, flows.kept_sales(spark, sf))
+    return flows.f_returns(spark, sf)
 
 
 @query("q_fact_grain", with_(RETURNS, CUSTOMERS, TARGETS, DIMENSIONS, PORTFOLIO, ATTRIBUTION, _FACT, _RETURN_FACT) + """
@@ -206,7 +206,7 @@ def reconcile_returns(spark: SparkSession, sf: str) -> DataFrame:
 SELECT pedido_origem_encontrado, sk_cliente = -1 AS sem_cliente, sk_produto = -1 AS sem_produto, count(*) AS n_rows
 FROM fret GROUP BY 1, 2, 3""")
 def return_sentinels(spark: SparkSession, sf: str) -> DataFrame:
-    fact = flows.f_returns(spark, sf, flows.kept_sales(spark, sf))
+    fact = flows.f_returns(spark, sf)
     return fact.groupBy(
         "pedido_origem_encontrado", (F.col("sk_cliente") == -1).alias("sem_cliente"),
         (F.col("sk_produto") == -1).alias("sem_produto")).agg(F.count(F.lit(1)).alias("n_rows"))

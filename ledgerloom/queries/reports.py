@@ -71,8 +71,8 @@ UNION ALL SELECT 'vendas', '2027', 0, 0, 0, 0
 UNION ALL SELECT 'devolucoes', 'todas', count(*), count(*) FILTER (WHERE pedido_origem_encontrado),
   count(*) FILTER (WHERE NOT pedido_origem_encontrado), 0 FROM ret""")
 def volume(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = staged(flows.tagged(spark, sf), "tagged")
-    accepted, refused = quality.split_tagged(tagged)
+    tagged = staged(quality.routed(flows.tagged(spark, sf)), "tagged", [quality.ROUTE])
+    accepted, refused = quality.split_routed(tagged)
     of_sales = quality.volume_report("vendas", flows.landed(spark, sf), accepted, refused, "safra", ["2024", "2025", "2026", "2027"])
     sold = retail.sales(accepted, flows.quotes(spark, sf), flows.people(spark, sf))
     valued = flows.valued_returns(spark, sf, sold)

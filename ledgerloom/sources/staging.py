@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +23,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back: the lineage ends there."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import asof, keys, quality
+from ledgerloom.operators import asof, keys, quality, returns
 from ledgerloom.operators.sums import exact_sums, merged, partial_sums, totals
 from ledgerloom.sources import staging
 
@@ -138,3 +138,25 @@ def test_shared_folder_is_read_from_the_session(spark):
     kept = staging.staged(spark.range(3).withColumn("d", F.lit(dt.date(2024, 1, 1))), "kept")
     assert kept.count() == 3 and all(
         staging.shared_folder(spark) in path for path in kept.inputFiles())
+
+
+def test_a_hot_sale_key_is_split(shuffled_joins):
+    """A third of the sales has one order number, which a return names: the join to the named keys splits it."""
+    spark = shuffled_joins
+    sales = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("order"), (F.col("id") % 2).alias("item"),
+        F.sha2(F.col("id").cast("string"), 512).alias("terms"))
+    named = spark.createDataFrame([("hot", 0), ("hot", 1), ("hot", 1), ("1", 1), (None, 1), ("none", 0)], "o string, i long").unionByName(
+        spark.range(40_000, 80_000).select(F.col("id").cast("string").alias("o"), (F.col("id") % 2).alias("i")))
+    found = returns.sale_terms(sales, named, {"o": "order", "i": "item"}, {"terms": "t"})
+    got = {(r["_key_order"], r["_key_item"]): (r["_rows"], r["_terms"].t) for r in found.filter("_key_order in ('hot', '1')").collect()}
+    assert {k: v[0] for k, v in got.items()} == {("hot", 0): 10_000, ("hot", 1): 10_000, ("1", 1): 1}
+    assert "skew=true" in final_plan(found)
+
+
+def test_routes_are_pruned(spark):
+    tagged = quality.tag_rejects(spark.range(100).select((F.col("id") % 5).alias("x")), {"zero": F.col("x") == 0})
+    kept = staging.staged(quality.routed(tagged), "routes", [quality.ROUTE])
+    accepted, refused = quality.split_routed(kept)
+    assert (accepted.count(), accepted.columns, refused.count(), refused.columns) == (80, ["x"], 20, ["x", "motivo_rejeicao"])
+    assert "PartitionFilters: [isnotnull(rota" in refused._jdf.queryExecution().executedPlan().toString()
