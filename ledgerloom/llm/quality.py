@@ -181,8 +181,13 @@ def score_rows(model: dict, rows: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = TRAIN_ROWS) -> dict:
-    """A model from at most ``most`` rows of ``labels`` whose label is 0 or 1, joined with their texts by id."""
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label in (0, 1)")
+    """A model from at most ``most`` distinct (id, label) pairs of ``labels`` whose label is 0 or 1, with their texts by id.
+
+    Null ids and other labels are left out. Of documents that share an id one is learned from, that of the least features,
+    so no more than ``most`` rows reach the driver. Null and empty texts have features like others, long ones are read
+    whole. Without a labelled document the model gives every text the same score.
+    """
+    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label in (0, 1)").distinct()
     sample = marked.orderBy(F.xxhash64(F.col("id").cast("string")), "id", "label").limit(most)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -195,7 +200,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     # the sample has a set number of rows
     joined = texts.join(F.broadcast(sample), "id").select("id", "label", "text")
-    got = joined.mapInArrow(run, "id string, label int, row array<float>").toArrow()
+    featured = joined.mapInArrow(run, "id string, label int, row array<float>")
+    got = featured.groupBy("id", "label").agg(F.min("row").alias("row")).toArrow()
     rows = np.array(got.column("row").to_pylist(), np.float32).reshape(-1, len(FEATURES))
     label = got.column("label").to_numpy().astype(float)
     order = np.lexsort((*rows.T, label, np.array(got.column("id").to_pylist(), dtype=str)))  # as rows arrive in any order

@@ -100,13 +100,15 @@ def judge(urls: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_c
     """(id, host, path, rule, verdict) of every row: the longest fitting rule's verdict, else that of the trees.
 
     Null and empty URLs are judged by the trees like others. Without labelled URLs everything else is allowed; if all
-    labels agree, so do the verdicts. Equal URLs get equal verdicts; only the id and url columns are read.
+    labels agree, so do the verdicts. Equal URLs get equal verdicts and are learned from once; whole URLs count, however
+    long. Repeated rows stay, an empty table gives no rows; only the id and url columns are read.
     """
     host, path = host_and_path(F.col("_url"))
     named = urls.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url")).withColumns({"_host": host, "_path": path})
     rule, verdict = matching_rule(F.col("_host"), F.col("_path"), rules)
     ruled = named.withColumns({"rule": rule, "_verdict": verdict})
     labelled = ruled.filter("rule is not null").select("_url", "_host", "_path", (F.col("_verdict") == "block").cast("double").alias("label"))
+    labelled = labelled.distinct()  # copies of one URL would fill the sample
     chosen = labelled.orderBy(F.xxhash64("_url"), "_url").limit(train_rows).withColumn("_fold", F.pmod(F.hash("_url"), F.lit(FOLDS)))
     sample = written(_lexical(chosen), "labelled")
     kinds = [r.label for r in sample.select("label").distinct().orderBy("label").collect()]  # at most 0 and 1

@@ -97,3 +97,18 @@ def test_url_trees_learn(spark):
     got = urls.judge(pages, rules).filter("rule is null").collect()
     assert len(got) > 200
     assert sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in got) >= 0.95 * len(got)
+
+
+def test_copies_of_one_id_and_one_url(spark, monkeypatch):
+    """A hot id and a hot URL are learned from once, so the samples stay bounded and keep both classes."""
+    hot = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = hot.unionByName(spark.createDataFrame([(k, f"other text {k}") for k in range(2, 8)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 8)] * 50, "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, label: seen.append((rows.shape, sorted(label))))
+    quality.learn(docs, labels, most=7)
+    assert seen == [((7, len(quality.FEATURES)), [0.0] * 3 + [1.0] * 4)]
+    rows = [(k, "http://a.org/x") for k in range(500)] + [(1000 + k, f"http://{c}.com/de/{k}") for k, c in enumerate("abcdefgh")] + [(2000, "http://a.com/fr/1")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.judge(pages, {"org/": "allow", "com/de/": "block"}, train_rows=9)
+    assert {r.verdict for r in got.filter("page_id between 1000 and 1999").collect()} == {"block"} and got.count() == len(rows)

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import simhash
 from ledgerloom.llm.components import components
@@ -80,3 +81,26 @@ def test_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1000)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {k: 0 for k in range(301)}
+
+
+def test_a_hub_is_split(spark):
+    """Edges of one node are dealt to several tasks in the joins of a round."""
+    from ledgerloom.llm import components
+
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        star = spark.range(1, 30_001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+        joined = components._with_least(star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        assert joined.filter("least = 0").count() == 30_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert components.components(star).filter("root = 0").count() == 30_001
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
