@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import drop_side, left_join_unique, unique_side
@@ -73,7 +73,7 @@ def split_tagged(df: DataFrame, reason: str = "motivo_rejeicao") -> tuple[DataFr
 
 #: The column that a tagged table is written apart by.
 ROUTE = "rota"
-_VALID, _REJECTED = "validas", "rejeitadas"
+ROUTES = _VALID, _REJECTED = "validas", "rejeitadas"
 
 
 def routed(df: DataFrame, reason: str = "motivo_rejeicao") -> DataFrame:
@@ -206,6 +206,19 @@ def volume_of_split(source: str, layout: str, df: DataFrame, valid: Column, remo
         "linhas_rejeitadas_ou_orfas", F.lit(removed).cast("long").alias("duplicatas_removidas"))
 
 
+def per_value(column: str, values: Sequence[str]) -> dict[str, Column]:
+    """A condition for each value of a column, to be counted while rows are written."""
+    return {value: F.col(column) == value for value in values}
+
+
+def volume_of_counts(spark: SparkSession, source: str, counted: Mapping[str, tuple[int, int, int]]) -> DataFrame:
+    """The volume report of counts that the writes have taken: landed, valid and rejected rows of each layout."""
+    rows = [(source, layout, landed, valid, rejected, landed - valid - rejected) for layout, (landed, valid, rejected) in counted.items()]
+    return spark.createDataFrame(
+        rows, "fonte string, safra string, linhas_bronze long, linhas_validas long, linhas_rejeitadas_ou_orfas long, "
+        "duplicatas_removidas long")
+
+
 def row_counts(named: Mapping[str, DataFrame]) -> DataFrame:
     return _union([
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("check_name"), "n_rows")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
@@ -19,7 +19,7 @@ from ledgerloom.operators.quality import KeyCheck
 from ledgerloom.plans import retail
 from ledgerloom.sources.landing import land
 from ledgerloom.sources.staging import staged
-from ledgerloom.sources.tables import create_namespace, save_table
+from ledgerloom.sources.tables import create_namespace, save_table, written_counts
 
 
 class Layers:
@@ -34,8 +34,11 @@ class Layers:
     def read(self, namespace: str, table: str) -> DataFrame:
         return self.spark.table(f"{namespace}.{table}")
 
-    def save(self, namespace: str, table: str, df: DataFrame) -> DataFrame:
-        return save_table(df, f"{namespace}.{table}", self.fmt)
+    def save(self, namespace: str, table: str, df: DataFrame, counts: Mapping[str, Column] | None = None) -> DataFrame:
+        return save_table(df, f"{namespace}.{table}", self.fmt, counts=counts)
+
+    def counts(self, namespace: str, table: str, counts: Mapping[str, Column] | None = None) -> dict[str, int]:
+        return written_counts(self.spark, f"{namespace}.{table}", counts)
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,15 @@ class Period:
     calendar_stop: str = "2027-03-31"
     multi_line: bool = True
 
+    @property
+    def sales_counts(self) -> dict[str, Column]:
+        """What is counted while sales are written."""
+        return quality.per_value("safra", [layout.name for layout in self.layouts])
+
+
+#: What is counted while returns are written.
+RETURN_COUNTS = {"encontradas": F.col("pedido_origem_encontrado")}
+
 
 def run_bronze(layers: Layers, folder: str, period: Period = Period()) -> None:
     specs = retail.source_specs(folder, period.multi_line, period.sales_files, period.target_years)
@@ -60,8 +72,8 @@ def run_silver(layers: Layers, period: Period = Period()) -> None:
     def raw(table: str) -> DataFrame:
         return layers.read(layers.bronze, table)
 
-    def save(table: str, df: DataFrame) -> DataFrame:
-        return layers.save(layers.silver, table, df)
+    def save(table: str, df: DataFrame, counts: Mapping[str, Column] | None = None) -> DataFrame:
+        return layers.save(layers.silver, table, df, counts)
 
     days_off = save("feriados", retail.holidays(raw("feriados")))
     fx = save("cambio_usd", retail.quotes(raw("cambio_usd")))
@@ -76,9 +88,9 @@ def run_silver(layers: Layers, period: Period = Period()) -> None:
 
     landed = retail.landed_sales([raw(f"vendas_{layout.name}") for layout in period.layouts], period.layouts)
     valid, rejected = quality.split_routed(staged(quality.routed(retail.tagged_sales(landed)), "tagged-sales", [quality.ROUTE]))
-    save("vendas_rejeitadas", rejected)
-    sold = save("vendas", retail.sales(valid, fx, people))
-    valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold))
+    save("vendas_rejeitadas", rejected, period.sales_counts)
+    sold = save("vendas", retail.sales(valid, fx, people), period.sales_counts)
+    valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold), RETURN_COUNTS)
     save("devolucoes_orfas", retail.orphan_returns(valued))
 
     grid = retail.target_grid({year: raw(f"metas_comerciais_{year}") for year in period.target_years})
@@ -91,15 +103,14 @@ def run_quality(layers: Layers, period: Period = Period()) -> None:
     def silver(table: str) -> DataFrame:
         return layers.read(layers.silver, table)
 
-    landed = None
-    for layout in period.layouts:
-        tagged = layers.read(layers.bronze, f"vendas_{layout.name}").select(F.lit(layout.name).alias("safra"))
-        landed = tagged if landed is None else landed.unionByName(tagged)
     sold, assigned = silver("vendas"), silver("carteira_historica")
     buyers, goods, people = silver("clientes"), silver("produtos"), silver("vendedores")
-    of_sales = quality.volume_report("vendas", landed, sold, silver("vendas_rejeitadas"), "safra", [layout.name for layout in period.layouts])
-    of_returns = quality.volume_of_split(
-        "devolucoes", "todas", silver("devolucoes"), F.col("pedido_origem_encontrado"))
+    valid, rejected = (layers.counts(layers.silver, table, period.sales_counts) for table in ("vendas", "vendas_rejeitadas"))
+    of_sales = quality.volume_of_counts(layers.spark, "vendas", {
+        name: (layers.counts(layers.bronze, f"vendas_{name}")["rows"], valid[name], rejected[name]) for name in period.sales_counts})
+    returned = layers.counts(layers.silver, "devolucoes", RETURN_COUNTS)
+    of_returns = quality.volume_of_counts(layers.spark, "devolucoes", {
+        "todas": (returned["rows"], returned["encontradas"], returned["rows"] - returned["encontradas"])})
     reports = {
         "qualidade_volume_processado": of_sales.unionByName(of_returns),
         "qualidade_rejeicoes": quality.reject_counts(silver("vendas_rejeitadas"), "vendas"),

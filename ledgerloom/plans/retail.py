@@ -15,6 +15,7 @@ from ledgerloom.functions import money, parsing, text
 from ledgerloom.operators import asof, keys, marts, quality, returns, sums, targets
 from ledgerloom.operators.layouts import Field, Layout, harmonize
 from ledgerloom.sources.landing import DelimitedSource, GridSource, TextSource
+from ledgerloom.sources.staging import staged_counted
 
 BASE_CURRENCY = "BRL"
 CURRENCIES = ("BRL", "USD")
@@ -283,8 +284,10 @@ def typed_returns(raw: DataFrame) -> DataFrame:
 
 
 def valued_returns(raw: DataFrame, sold: DataFrame) -> DataFrame:
+    """Returns are parsed and written once: the filter of their keys, the keys themselves and the result read that."""
+    typed, n = staged_counted(typed_returns(raw), "typed-returns")
     return returns.value_returns(
-        typed_returns(raw), sold, on=RETURN_TO_SALE, terms=SALE_TERMS, quantity="quantidade_devolvida",
+        typed, sold, n_returns=n["rows"], on=RETURN_TO_SALE, terms=SALE_TERMS, quantity="quantidade_devolvida",
         layout="safra_origem", price="valor_unitario_origem", discount="desconto_fracao_origem",
         rate="taxa_cambio_origem", status="status_pedido_origem", billed="quantidade_faturada_origem")
 

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates
-from ledgerloom.operators import keys, quality, targets
+from ledgerloom.operators import keys, membership, quality, targets
 from ledgerloom.operators.sums import exact_sums
 from ledgerloom.plans import retail
 from ledgerloom.queries import flows, roles
 from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETURNS, SALES, TARGETS, exact, with_
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.sales import ATTRIBUTION
+from ledgerloom.sources.staging import staged
 
 # ``shared`` and ``person`` come with the sales fragment; the dimensions need customers and annual targets too.
 _MODEL = (SALES, CUSTOMERS, TARGETS, DIMENSIONS)
@@ -281,6 +282,28 @@ def attainment(spark: SparkSession, sf: str) -> DataFrame:
         F.round("atingimento", 8).alias("atingimento"))
 
 
+@query("q_active_members", with_(*_MODEL, PORTFOLIO, ATTRIBUTION, _FACT) + """
+, tall AS (
+  SELECT CAST(year(data_emissao) AS INTEGER) AS ano, CAST(month(data_emissao) AS INTEGER) AS mes, unnest([
+    {'c': 'sk_cliente', 'v': CAST(sk_cliente AS BIGINT)}, {'c': 'sk_produto', 'v': CAST(sk_produto AS BIGINT)},
+    {'c': 'sk_vendedor_responsavel', 'v': CAST(sk_vendedor_responsavel AS BIGINT)}]) AS k FROM fact)
+SELECT nivel, CASE WHEN nivel <> 'tudo' THEN ano END AS ano, CASE WHEN nivel = 'mes' THEN mes END AS mes,
+  k.c AS coluna, count(DISTINCT k.v) AS membros
+FROM tall, (SELECT unnest(['mes', 'ano', 'tudo']) AS nivel) GROUP BY ALL""")
+def active_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers, products and salespeople with sales by month, by year and in all: exact, and the fact is read once."""
+    fact = flows.f_sales(spark, sf).withColumns({"ano": F.year("data_emissao"), "mes": F.month("data_emissao")})
+    words = staged(membership.member_words(fact, ["ano", "mes"], ["sk_cliente", "sk_produto", "sk_vendedor_responsavel"]), "members")
+    none = F.lit(None).cast("int")
+    levels = [
+        membership.distinct_members(words, by).select(
+            F.lit(level).alias("nivel"), *[(F.col(c) if c in by else none).alias(c) for c in ("ano", "mes")],
+            F.col("column").alias("coluna"), F.col("members").alias("membros"))
+        for level, by in (("mes", ["ano", "mes"]), ("ano", ["ano"]), ("tudo", []))
+    ]
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 @query("q_grain_check", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def grain_check(spark: SparkSession, sf: str) -> DataFrame:

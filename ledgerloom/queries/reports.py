@@ -16,7 +16,7 @@ from ledgerloom.queries.clean_sql import CUSTOMERS, DIMENSIONS, PORTFOLIO, RETUR
 from ledgerloom.queries.model import _FACT, _HIERARCHY, _MODEL
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.sales import ATTRIBUTION
-from ledgerloom.sources.staging import staged
+from ledgerloom.sources.staging import staged, staged_counted
 
 
 @query("q_orphans", with_(SALES, PORTFOLIO) + """
@@ -61,7 +61,7 @@ def ambiguous(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
-@query("q_volume", with_(RETURNS) + """
+_VOLUME = with_(RETURNS) + """
 SELECT 'vendas' AS fonte, safra, CAST(sum(copies) AS BIGINT) AS linhas_bronze,
   count(*) FILTER (WHERE motivo_rejeicao = '') AS linhas_validas,
   count(*) FILTER (WHERE motivo_rejeicao <> '') AS linhas_rejeitadas_ou_orfas,
@@ -69,7 +69,10 @@ SELECT 'vendas' AS fonte, safra, CAST(sum(copies) AS BIGINT) AS linhas_bronze,
 FROM tagged GROUP BY safra
 UNION ALL SELECT 'vendas', '2027', 0, 0, 0, 0
 UNION ALL SELECT 'devolucoes', 'todas', count(*), count(*) FILTER (WHERE pedido_origem_encontrado),
-  count(*) FILTER (WHERE NOT pedido_origem_encontrado), 0 FROM ret""")
+  count(*) FILTER (WHERE NOT pedido_origem_encontrado), 0 FROM ret"""
+
+
+@query("q_volume", _VOLUME)
 def volume(spark: SparkSession, sf: str) -> DataFrame:
     tagged = staged(quality.routed(flows.tagged(spark, sf)), "tagged", [quality.ROUTE])
     accepted, refused = quality.split_routed(tagged)
@@ -80,11 +83,41 @@ def volume(spark: SparkSession, sf: str) -> DataFrame:
         quality.volume_of_split("devolucoes", "todas", valued, F.col("pedido_origem_encontrado")))
 
 
-@query("q_reconcile", with_(*_MODEL, PORTFOLIO, ATTRIBUTION, _FACT) + """
+@query("q_volume_written", _VOLUME)
+def volume_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The volume report of counts that the writes took: no table is read to be counted."""
+    by_layout = quality.per_value("safra", ["2024", "2025", "2026", "2027"])
+    landed, n_landed = staged_counted(flows.landed(spark, sf), "landed", by_layout)
+    by_route = {f"{route} {name}": (F.col(quality.ROUTE) == route) & holds for name, holds in by_layout.items() for route in quality.ROUTES}
+    tagged, n_tagged = staged_counted(quality.routed(retail.tagged_sales(landed)), "tagged", by_route, [quality.ROUTE])
+    sold = retail.sales(quality.split_routed(tagged)[0], flows.quotes(spark, sf), flows.people(spark, sf))
+    _, n_returned = staged_counted(flows.valued_returns(spark, sf, sold), "returned", {"found": F.col("pedido_origem_encontrado")})
+    of_sales = {name: (n_landed[name], *(n_tagged[f"{route} {name}"] for route in quality.ROUTES)) for name in by_layout}
+    of_returns = {"todas": (n_returned["rows"], n_returned["found"], n_returned["rows"] - n_returned["found"])}
+    return quality.volume_of_counts(spark, "vendas", of_sales).unionByName(quality.volume_of_counts(spark, "devolucoes", of_returns))
+
+
+_RECONCILE = with_(*_MODEL, PORTFOLIO, ATTRIBUTION, _FACT) + """
 SELECT 'silver.vendas' AS check_name, count(*) AS n_rows FROM sale
 UNION ALL SELECT 'gold.fVendas', count(*) FROM fact
 UNION ALL SELECT 'silver.metas_mensais', count(*) FROM monthly
-UNION ALL SELECT 'gold.fMetas', count(*) FROM monthly""")
+UNION ALL SELECT 'gold.fMetas', count(*) FROM monthly"""
+
+
+@query("q_reconcile_written", _RECONCILE)
+def reconcile_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each table before and after its keys, counted while the tables were written."""
+    sold, n_sold = staged_counted(flows.sales(spark, sf), "sales")
+    counted = {
+        "silver.vendas": n_sold,
+        "gold.fVendas": staged_counted(flows.f_sales(spark, sf, sold), "f-sales")[1],
+        "silver.metas_mensais": staged_counted(flows.monthly(spark, sf), "monthly")[1],
+        "gold.fMetas": staged_counted(flows.f_targets(spark, sf), "f-targets")[1],
+    }
+    return spark.createDataFrame([(name, n["rows"]) for name, n in counted.items()], "check_name string, n_rows long")
+
+
+@query("q_reconcile", _RECONCILE)
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     sold = flows.kept_sales(spark, sf)
     return quality.row_counts({

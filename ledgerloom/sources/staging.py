@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +32,24 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with a count of its rows (``rows``) and of those that fulfil each condition, to be taken by its next action.
+
+    The counts belong to the stage that writes, whose tasks count once however often they run.
+    """
+    seen = Observation()
+    true = {name: F.count_if(F.coalesce(holds, F.lit(False))) for name, holds in counts.items()}
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[count.alias(name) for name, count in true.items()]), seen
+
+
+def staged_counted(
+    df: DataFrame, label: str, counts: Mapping[str, Column] | None = None, partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, int]]:
+    """``staged`` and the counts of ``observed``: nothing is read again to count."""
+    watched, seen = observed(df, counts or {})
+    return staged(watched, label, partition_by), seen.get
+
+
 def clear(spark: SparkSession) -> None:
     """Remove what this session staged, once nothing reads it any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))

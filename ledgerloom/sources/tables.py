@@ -5,14 +5,18 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.staging import observed
+
 #: The end of a version's name: milliseconds, then something that no other writer has.
 VERSION = re.compile(r"__v\d{14}_[0-9a-f]{8}$")
+#: What the names of a version's properties begin with that hold counts taken while it was written.
+COUNT = "ledgerloom.count."
 
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
@@ -74,6 +78,7 @@ def save_table(
     partition_by: Sequence[str] = (),
     path: str | None = None,
     keep: int = 1,
+    counts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Replace ``table``, schema included, in one step, and return a scan of what was written.
 
@@ -82,18 +87,24 @@ def save_table(
     and readers that have begun go on with the version they planned for: the ``keep`` versions before the new one stay.
     Where ``table`` is a plain table, it becomes the first version. Two writers at once both finish; the later view wins.
 
+    Rows, and those that fulfil each condition of ``counts``, are counted while they are written; the version keeps the
+    counts as properties, which ``written_counts`` reads.
+
     Reading back gives later steps file statistics and spares them the upstream plan.
     """
     spark = df.sparkSession
     head, name = _parts(table)
     stamp = f"{time.time_ns() // 1_000_000:014d}_{uuid.uuid4().hex[:8]}"
     version = f"{name}__v{stamp}"
-    writer = df.write.format(fmt).mode("errorifexists")
+    watched, seen = observed(df, counts or {})
+    writer = watched.write.format(fmt).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", f"{path.rstrip('/')}/v{stamp}")
     writer.saveAsTable(f"{head}{version}")
+    found = ", ".join(f"'{COUNT}{_quoted(name)}' = '{n}'" for name, n in seen.get.items())
+    spark.sql(f"ALTER TABLE {head}{version} SET TBLPROPERTIES ({found})")
     if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
         spark.sql(f"ALTER TABLE {table} RENAME TO {head}{name}__v{0:014d}_{0:08d}")
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {head}`{version}`")
@@ -101,6 +112,25 @@ def save_table(
     return spark.table(table)
 
 
+def _quoted(name: str) -> str:
+    return name.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def written_counts(spark: SparkSession, table: str, counts: Mapping[str, Column] | None = None) -> dict[str, int]:
+    """Rows of the table (``rows``) and of those that fulfil each condition, as counted when its current version was written.
+
+    Where the version has no such counts, or the table no version, one pass over the rows takes them.
+    """
+    head, _ = _parts(table)
+    wanted, version = {"rows", *(counts or {})}, current_version(spark, table)
+    listed = spark.sql(f"SHOW TBLPROPERTIES {head}`{version}`").collect() if version else []
+    kept = {r.key.removeprefix(COUNT): int(r.value) for r in listed if r.key.startswith(COUNT)}
+    if wanted <= set(kept):
+        return {name: kept[name] for name in wanted}
+    true = [F.count_if(F.coalesce(holds, F.lit(False))).alias(name) for name, holds in (counts or {}).items()]
+    return spark.table(table).agg(F.count(F.lit(1)).alias("rows"), *true).first().asDict()
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One (table, row count) row per table, in a single plan."""
     counted = [
@@ -111,11 +141,10 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def inventory(spark: SparkSession, namespace: str) -> DataFrame:
-    """Tables of a namespace with their row counts."""
+    """Tables of a namespace with their row counts, which were taken when they were written."""
     names = sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary and not VERSION.search(t.name))
-    if not names:
-        return spark.createDataFrame([], "table_name string, n_rows long")
-    return table_counts({name: spark.table(f"{namespace}.{name}") for name in names})
+    counted = [(name, written_counts(spark, f"{namespace}.{name}")["rows"]) for name in names]
+    return spark.createDataFrame(counted, "table_name string, n_rows long")
 
 
 def rows_like(df: DataFrame, rows: Sequence[dict]) -> DataFrame:

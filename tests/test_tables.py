@@ -68,3 +68,20 @@ def test_names_that_begin_alike(spark, space):
     tables.save_table(spark.range(2), f"{space}.t_more")
     tables.save_table(spark.range(3), f"{space}.t", keep=0)
     assert spark.table(f"{space}.t_more").count() == 2 and spark.table(f"{space}.t").count() == 3
+
+
+def test_counts_are_taken_while_writing(spark, space, monkeypatch):
+    table, even = f"{space}.n", {"it's even": F.col("id") % 2 == 0, "a\\b": F.col("id") < F.lit(None)}
+    tables.save_table(spark.range(10), table, counts=even)
+    monkeypatch.setattr(type(spark), "table", lambda *_: pytest.fail("read to be counted"))
+    assert tables.written_counts(spark, table, even) == {"rows": 10, "it's even": 5, "a\\b": 0}
+    assert tables.written_counts(spark, table) == {"rows": 10}
+    monkeypatch.undo()
+    assert tables.written_counts(spark, table, {"low": F.col("id") < 3}) == {"rows": 10, "low": 3}  # not counted then
+    tables.save_table(spark.range(0), table, counts=even)
+    assert tables.written_counts(spark, table, even) == {"rows": 0, "it's even": 0, "a\\b": 0}
+
+
+def test_a_plain_table_is_counted_by_reading(spark, space):
+    spark.range(4).write.saveAsTable(f"{space}.plain")
+    assert tables.written_counts(spark, f"{space}.plain", {"one": F.col("id") == 1}) == {"rows": 4, "one": 1}
