@@ -58,8 +58,9 @@ class Period:
         return quality.per_value("safra", [layout.name for layout in self.layouts])
 
 
-#: What is counted while returns are written.
-RETURN_COUNTS = {"encontradas": F.col("pedido_origem_encontrado")}
+def return_counts() -> dict[str, Column]:
+    """What is counted while returns are written."""
+    return {"encontradas": F.col("pedido_origem_encontrado")}
 
 
 def run_bronze(layers: Layers, folder: str, period: Period = Period()) -> None:
@@ -90,7 +91,7 @@ def run_silver(layers: Layers, period: Period = Period()) -> None:
     valid, rejected = quality.split_routed(staged(quality.routed(retail.tagged_sales(landed)), "tagged-sales", [quality.ROUTE]))
     save("vendas_rejeitadas", rejected, period.sales_counts)
     sold = save("vendas", retail.sales(valid, fx, people), period.sales_counts)
-    valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold), RETURN_COUNTS)
+    valued = save("devolucoes", retail.valued_returns(raw("devolucoes"), sold), return_counts())
     save("devolucoes_orfas", retail.orphan_returns(valued))
 
     grid = retail.target_grid({year: raw(f"metas_comerciais_{year}") for year in period.target_years})
@@ -108,7 +109,7 @@ def run_quality(layers: Layers, period: Period = Period()) -> None:
     valid, rejected = (layers.counts(layers.silver, table, period.sales_counts) for table in ("vendas", "vendas_rejeitadas"))
     of_sales = quality.volume_of_counts(layers.spark, "vendas", {
         name: (layers.counts(layers.bronze, f"vendas_{name}")["rows"], valid[name], rejected[name]) for name in period.sales_counts})
-    returned = layers.counts(layers.silver, "devolucoes", RETURN_COUNTS)
+    returned = layers.counts(layers.silver, "devolucoes", return_counts())
     of_returns = quality.volume_of_counts(layers.spark, "devolucoes", {
         "todas": (returned["rows"], returned["encontradas"], returned["rows"] - returned["encontradas"])})
     reports = {
