@@ -32,8 +32,8 @@ TRAINING = [
     (1, 0, 9, 0.8, 0, 0.0, 7, 0.0, 1), (1, 0, 30, 0.5, 20, 0.0, 12, 0.1, 1), (1, 0, 14, 0.7, 3, 0.2, 0, 0.0, 1),
     (1, 0, 3, 0.0, 40, 0.0, 6, 1.0, 1), (1, 0, 2, 0.0, 0, 0.0, 5, 1.0, 1), (1, 0, 5, 0.2, 5, 0.8, 9, 0.9, 1),
     (1, 0, 1, 0.0, 9, 0.0, 3, 0.6, 1), (1, 0, 4, 0.0, 2, 1.0, 1, 1.0, 1), (1, 0, 6, 0.1, 20, 0.9, 8, 0.5, 1),
-    # runs of links inside an article
-    (1, 0, 4, 1.0, 5, 1.0, 4, 1.0, 0), (1, 0, 6, 1.0, 3, 1.0, 8, 1.0, 0), (1, 0, 2, 1.0, 2, 1.0, 3, 1.0, 0),
+    # runs of links inside an article are its references
+    (1, 0, 4, 1.0, 5, 1.0, 4, 1.0, 1), (1, 0, 6, 1.0, 3, 1.0, 8, 1.0, 1), (1, 0, 2, 1.0, 2, 1.0, 3, 1.0, 1),
     # advertisements, notices, forms and comments inside an article
     (1, 1, 12, 0.0, 60, 0.0, 70, 0.0, 0), (1, 1, 40, 0.0, 30, 0.0, 35, 0.0, 0), (1, 1, 3, 1.0, 50, 0.0, 20, 0.0, 0),
     (1, 2, 25, 0.1, 20, 0.0, 18, 0.0, 0), (1, 1, 90, 0.0, 5, 0.0, 80, 0.0, 0), (1, 3, 2, 0.0, 4, 0.0, 1, 0.0, 0),
@@ -63,15 +63,18 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title"
+UNSEEN = "script|style|noscript|template|svg|iframe|object|canvas|textarea|select|title"
 FURNITURE = frozenset("nav footer aside form button dialog menu fieldset head".split())
 MAIN = frozenset("article main".split())
 FURNITURE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion cookie cookies consent "
-    "gdpr notice notices alert popup modal overlay sidebar rail widget widgets related recommended recommendations share "
-    "sharing social nav navbar navigation menu menubar breadcrumb breadcrumbs masthead footer comment comments commentlist "
-    "disqus reply replies respond newsletter subscribe subscription signup login search searchbox toolbar pagination pager "
-    "copyright legal complementary contentinfo outbrain taboola".split()
+    "ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo cookie cookies consent gdpr popup "
+    "overlay sidebar widget widgets related recommended recommendations nav navbar navigation menubar breadcrumb breadcrumbs "
+    "masthead footer comment comments commentlist disqus newsletter subscribe subscription signup searchbox toolbar "
+    "pagination pager complementary contentinfo outbrain taboola".split()
+)
+#: These also begin names of an article's own parts (a history of law, a notice period); they count at the end of a name.
+ENDING_WORDS = frozenset(
+    "promotion notice notices alert modal rail share sharing social menu reply replies respond login search copyright legal".split()
 )
 TOP_WORDS = frozenset("header topbar head banner".split())
 MAIN_WORDS = frozenset("article content main post entry story".split())
@@ -83,11 +86,12 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[a-z]+")
+_NAME_END = re.compile(r"([a-z]+)[^a-z\s]*(?:\s|\Z)")
 
 
 def _enclosing(tag: str, attributes: str, in_main: int) -> tuple[int, int]:
     """What an element adds: (main, furniture)."""
-    names, hidden = set(), False
+    names, ends, hidden = set(), set(), False
     if attributes.strip():
         for key, *values in _ATTRIBUTE.findall(attributes):
             value, key = "".join(values).lower(), key.lower()
@@ -95,20 +99,23 @@ def _enclosing(tag: str, attributes: str, in_main: int) -> tuple[int, int]:
                 hidden = True
             elif key in ("class", "id", "role"):
                 names.update(_NAME_PARTS.findall(value))
+                ends.update(_NAME_END.findall(value))
     if hidden:
         return 0, 1
     if tag in ("html", "body"):
         return 0, 0
     if tag in MAIN:
         return 1, 0 if tag == "main" else int(bool(names & {"comment", "comments", "reply", "ad", "ads", "sponsored"}))
-    furniture = tag in FURNITURE or bool(names & FURNITURE_WORDS) or not in_main and (tag == "header" or bool(names & TOP_WORDS))
+    furniture = tag in FURNITURE or bool(names & FURNITURE_WORDS or ends & ENDING_WORDS) or not in_main and (tag == "header" or bool(names & TOP_WORDS))
     return (0 if furniture else int(bool(names & MAIN_WORDS)), int(furniture))
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """(text, words, words in links, main depth, furniture depth) of every block with text, in page order."""
     out: list[tuple[str, int, int, int, int]] = []
-    stack: list[tuple[str, int, int]] = []
+    # open elements: name, what they add, and how many of them there are up to the innermost one that is not inline
+    stack: list[tuple[str, int, int, int]] = []
+    places: dict[str, list[int]] = {}  # of each open name, so that no end tag searches the open elements
     pieces: list[str] = []
     linked: list[str] = []
     main = furniture = link = 0
@@ -130,8 +137,11 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
 
     def close(depth: int) -> None:
         nonlocal main, furniture, link
-        for tag, m, f in stack[depth:]:
+        if any(f and tag in INLINE for tag, _, f, _ in stack[depth:]):
+            flush()  # an inline piece of furniture ends inside a block
+        for tag, m, f, _ in stack[depth:]:
             main, furniture, link = main - m, furniture - f, link - (tag == "a")
+            places[tag].pop()
         del stack[depth:]
 
     at = 0
@@ -150,35 +160,25 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         inline = tag in INLINE
         if not inline:
             flush()
+        base = stack[-1][3] if stack else 0
         if token[2]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if inline and stack[depth][0] not in INLINE or tag == "p" and stack[depth][0] != "p" and stack[depth][0] not in INLINE:
-                    break
+            if places.get(tag) and places[tag][-1] >= (base if inline else base - 1 if tag == "p" else 0):
+                close(places[tag][-1])
             continue
         if token[4].endswith("/") and not inline:
             continue
         if not inline:
             same = tag if tag in ("li", "dt", "dd", "td", "th", "tr", "option") else "p"
-            depth = len(stack)
-            while depth and stack[depth - 1][0] in INLINE:
-                depth -= 1
-            if depth and stack[depth - 1][0] in ("p", same):
-                close(depth - 1)
+            if base and stack[base - 1][0] in ("p", same):
+                close(base - 1)
         m, f = _enclosing(tag, token[4], main)
-        if tag == "a":
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "a":
-                    close(depth)
-                    break
-                if stack[depth][0] not in INLINE:
-                    break
+        if tag == "a" and places.get("a") and places["a"][-1] >= base:
+            close(places["a"][-1])
         if inline and f:
             flush()
         if not inline or m or f or tag == "a":
-            stack.append((tag, m, f))
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, m, f, (stack[-1][3] if stack else 0) if inline else len(stack) + 1))
             main, furniture, link = main + m, furniture + f, link + (tag == "a")
     text(page[at:])
     flush()
@@ -242,7 +242,8 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     """The ``keep`` columns of every row, with text (blocks of main text joined by one space) and n_chars (code points).
 
     Null or empty pages, and pages without main text, have an empty text and 0. Unclosed and stray tags, comments and
-    scripts are borne; a page cut off inside a tag loses only that tag. Other columns are not read.
+    scripts are borne; a page cut off inside a tag loses only that tag. A very long page is read in one pass, in time that
+    grows with its length however its tags nest. Repeated rows each have their own result. Other columns are not read.
     """
     tree = trained()
 

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from ledgerloom.llm import extraction
 
@@ -44,3 +45,40 @@ def test_odd_pages(spark):
     assert len(got) == len(pages) and got[0] == got[1] == got[6] == got[7] == "" and got[5] == "plain words" and got[10] == "&am & A"
     assert got[11] == "deep"
     assert extraction.extract(df.limit(0)).count() == 0
+
+
+def test_article_parts_with_words_of_furniture_stay():
+    page = """<article><p>A b c d.</p><div class="legal-history">Law of old</div><p><math><mi>x</mi> = 2</math></p>
+    <ul><li><a href=1>Ref one</a><li><a href=2>Ref two</a><li><a href=3>Ref three</a></ul>
+    <div class="site-notice">We say</div><div class="share">Tell all</div><div class="cookie-bar x">Yes</div></article>"""
+    assert text_of(page) == "A b c d. Law of old x = 2 Ref one Ref two Ref three"
+
+
+def plain_tree(tree, row):
+    while not isinstance(tree, int):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree == 1
+
+
+def test_tree_against_a_walk_for_each_block(spark):
+    tree = extraction.trained()
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        found = extraction.blocks(r.html)
+        kept = [b[0] for b, row in zip(found, extraction.rows(found), strict=True) if plain_tree(tree, row)]
+        assert extraction.main_texts([r.html], tree)[0] == " ".join(kept)
+    table = extraction.TRAINING
+    assert sum(plain_tree(tree, row[:-1]) == (row[-1] == 1) for row in table) >= 0.95 * len(table)
+
+
+def test_time_grows_with_length_however_tags_nest():
+    n = 20_000
+    for page in ("<div>x" * n + "</section>" * n, "<span class=ad>" * n + "<div></div></b></em>" * n, "<a><div>" + "<span class=ad>" * n + "</a>" * n):
+        started = time.process_time()
+        extraction.blocks(page)
+        assert time.process_time() - started < 5
+
+
+def test_an_end_tag_closes_only_its_own():
+    assert [b[0] for b in extraction.blocks("<em class=ad></p>x</em><p>y")] == ["x", "y"]
+    assert [b[4] for b in extraction.blocks("<em class=ad></p>x</em><p>y")] == [1, 0]
+    assert text_of("<article><p>One two <span class=ad>buy now</span> three.</p></article>") == "One two three."
