@@ -102,6 +102,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, f"id {kind}, fingerprint binary").select(F.col("id").alias(id_col), _hex("fingerprint"))
 
 
+#: Code points of a text that tell rows of one id apart when they are dealt into ranges.
+BEGINNING = 64
+
+
 def _edited(text: str, following: str) -> str:
     part = len(text) // 3
     return text[: len(text) - part] + following[:part]
@@ -126,9 +130,10 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     Rows go by descending id, then by text; the last is followed by the first, a single row by itself. A text's edited
-    form ends in the next text's first code points instead of its own last third. Rows are range-partitioned by id, and
-    a partition's last text meets the next partition's first one by a join of those texts alone. Null texts count as
-    empty, null ids come last.
+    form ends in the next text's first code points instead of its own last third. Rows are range-partitioned by id and the
+    beginning of the text, so that the rows of a repeated or null id are spread too, and a partition's last text meets the next partition's first one by a join of those texts alone. Null texts count as
+    empty, null ids come last. Very long texts are hashed whole, a slice of a few megabytes of rows at a time; an empty
+    table has no rows; other columns are not read.
     """
     fields = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
     kind = docs.select(id_col).schema[0].dataType.simpleString()
@@ -164,7 +169,8 @@ def neighbour_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     order = [F.col("id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    ordered = picked.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    # texts in order have beginnings in order, and the sample of the ranges need not hold whole texts
+    ordered = picked.repartitionByRange(order[0], F.substring("text", 1, BEGINNING).asc_nulls_first()).sortWithinPartitions(*order)
     rows = written(ordered.mapInArrow(run, f"id {kind}, {fields}, part int, edge string, text string"), "compared")
     firsts, lasts = (rows.filter(F.col("edge") == e) for e in ("first", "last"))
     parts = sorted(r.part for r in firsts.select("part").collect())  # one number a partition

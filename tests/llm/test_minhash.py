@@ -50,3 +50,16 @@ def test_likeness_is_unbiased():
 def test_single_row(spark):
     (r,) = minhash.neighbour_report(spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")).collect()
     assert r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and r.near_next == 1.0
+
+
+def test_rows_of_one_id_are_spread_and_keep_their_order(spark, monkeypatch):
+    rows = [(None if k % 3 else k, f"{k % 1500:05d} some words of row {k}") for k in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen, plain_written = [], minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df, name: seen.append(plain_written(df, name)) or seen[-1])
+    got = sorted(r.edited_sha256 for r in minhash.neighbour_report(frame).collect())
+    ordered = [t for _, t in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))]
+    want = [a[: len(a) - len(a) // 3] + b[: len(a) // 3] for a, b in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+    assert got == sorted(hashlib.sha256(t.encode()).hexdigest() for t in want)
+    unnamed = seen[0].filter("edge = 'first' and id is null").count()
+    assert unnamed >= 3  # several tasks begin inside the rows without an id
