@@ -85,3 +85,22 @@ def distinct_members(words: DataFrame, by: Sequence[str]) -> DataFrame:
     """(by, column, members): exact distinct counts of a grouping by columns of ``words``."""
     sets = words.groupBy(*by, "column", "word").agg(F.bit_or("bits").alias("bits"))
     return sets.groupBy(*by, "column").agg(F.sum(F.bit_count("bits")).cast("long").alias("members"))
+
+
+def member_balance(used: DataFrame, known: DataFrame) -> DataFrame:
+    """(column, matched, orphans, idle): distinct members in both sets, only in ``used`` and only in ``known``, by column.
+
+    Both are ``member_words`` without groups; words meet once, so no key is shuffled by itself and none can be hot.
+    """
+    empty = F.lit(0).cast("long")
+    left = used.select("column", "word", F.col("bits").alias("u"))
+    right = known.select("column", "word", F.col("bits").alias("k"))
+    both = left.join(right, ["column", "word"], "full").withColumns({c: F.coalesce(c, empty) for c in ("u", "k")})
+
+    def held(bits: Column) -> Column:
+        return F.sum(F.bit_count(bits)).cast("long")
+
+    return both.groupBy("column").agg(
+        held(F.col("u").bitwiseAND(F.col("k"))).alias("matched"),
+        held(F.col("u").bitwiseAND(F.bitwise_not("k"))).alias("orphans"),
+        held(F.col("k").bitwiseAND(F.bitwise_not("u"))).alias("idle"))

@@ -304,6 +304,29 @@ def active_members(spark: SparkSession, sf: str) -> DataFrame:
     return levels[0].unionByName(levels[1]).unionByName(levels[2])
 
 
+@query("q_member_balance", with_(*_MODEL, PORTFOLIO, ATTRIBUTION, _FACT) + """
+, used AS (
+  SELECT DISTINCT 'sk_cliente' AS coluna, CAST(sk_cliente AS BIGINT) AS v FROM fact
+  UNION ALL SELECT DISTINCT 'sk_produto', CAST(sk_produto AS BIGINT) FROM fact),
+known AS (
+  SELECT DISTINCT 'sk_cliente' AS coluna, CAST(sk_cliente AS BIGINT) AS v FROM dcust WHERE sk_cliente > 0
+  UNION ALL SELECT DISTINCT 'sk_produto', CAST(sk_produto AS BIGINT) FROM dprod WHERE sk_produto > 0)
+SELECT coluna, count(*) FILTER (WHERE u.v IS NOT NULL AND k.v IS NOT NULL) AS com_venda,
+  count(*) FILTER (WHERE k.v IS NULL) AS fora_da_dimensao, count(*) FILTER (WHERE u.v IS NULL) AS sem_venda
+FROM used u FULL JOIN known k USING (coluna, v) GROUP BY 1""")
+def member_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of the sales fact against the real members of their dimensions, both ways."""
+    sold = flows.kept_sales(spark, sf)
+    buyers, goods = flows.d_customers(spark, sf), flows.d_products(spark, sf)
+    fact = retail.sales_fact(sold, flows.portfolio(spark, sf), buyers, goods, flows.d_people(spark, sf))
+    keyed = {"sk_cliente": buyers, "sk_produto": goods}
+    known = [membership.member_words(dim.filter(F.col(sk) > 0), [], [sk]) for sk, dim in keyed.items()]
+    return membership.member_balance(
+        membership.member_words(fact, [], list(keyed)), known[0].unionByName(known[1])).select(
+        F.col("column").alias("coluna"), F.col("matched").alias("com_venda"), F.col("orphans").alias("fora_da_dimensao"),
+        F.col("idle").alias("sem_venda"))
+
+
 @query("q_grain_check", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def grain_check(spark: SparkSession, sf: str) -> DataFrame:

@@ -63,3 +63,12 @@ def test_distinct_counts_of_any_grouping(spark):
 def test_a_set_is_no_larger_than_its_dense_keys(spark):
     fact = spark.range(64_000).select((F.col("id") % 6_400).alias("k"))
     assert membership.member_words(fact, [], ["k"]).count() == 100
+
+
+def test_balance_of_two_sets(spark):
+    used = spark.createDataFrame([(k,) for k in (1, 1, 2, 64, 70, -1, None, 2**35)], "k long")
+    known = spark.createDataFrame([(k,) for k in (1, 2, 3, 64, 500, None)], "k long")
+    words = [membership.member_words(x, [], ["k"]) for x in (used, known)]
+    assert [tuple(r) for r in membership.member_balance(*words).collect()] == [("k", 3, 3, 2)]
+    assert [tuple(r) for r in membership.member_balance(words[0], words[1].limit(0)).collect()] == [("k", 0, 6, 0)]
+    assert membership.member_balance(words[0].limit(0), words[1].limit(0)).count() == 0
