@@ -87,7 +87,12 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int = TOP) -> dict[str, list[int]]:
-    """The profile of every non-null ``lang_col`` value: its ``top`` n-grams, the commonest first."""
+    """The profile of every non-null ``lang_col`` value: its ``top`` n-grams, the commonest first.
+
+    Ties go to the smaller hash. Rows with a null text or language teach nothing, repeated rows count as often as they
+    occur, a language without a letter has no profile, and an empty table teaches none. Long texts are counted whole.
+    The profiles come to the driver: ``top`` numbers a language.
+    """
     picked = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counted = picked.dropna().mapInArrow(_count_grams, "lang string, gram long, n long")
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -99,11 +104,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top:
 
 
 def _judge(profiles: dict[str, list[int]], top: int):
+    """Judges a slice of texts language by language: what it holds grows with the profiles and the slice, not with both."""
     names = sorted(profiles)
     grams = np.unique(np.concatenate([np.array(profiles[x], np.int64) for x in names] or [np.zeros(0, np.int64)]))
-    places = np.full((len(names), len(grams) + 1), -1, np.int64)
-    for k, name in enumerate(names):
-        places[k, np.searchsorted(grams, profiles[name])] = np.arange(len(profiles[name]))
+    columns = [np.searchsorted(grams, profiles[x]).astype(np.int32) for x in names]
 
     def judged(texts: list[str], letters: np.ndarray) -> tuple[list[str], np.ndarray]:
         owner, gram, count = _counted(*_grams(texts, letters))
@@ -111,16 +115,21 @@ def _judge(profiles: dict[str, list[int]], top: int):
         owner, gram = owner[order], gram[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
         owner, gram, place = (x[place < top] for x in (owner, gram, place))
-        at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
-        known = grams[at] == gram if len(grams) else np.zeros(len(gram), bool)
-        own = places[:, np.where(known, at, len(grams))]
-        apart = np.where(own >= 0, np.abs(own - place), top)
-        total = np.stack([np.bincount(owner, x, len(texts)) for x in apart]) if len(names) else np.zeros((0, len(texts)))
         n = np.bincount(owner, minlength=len(texts))
-        if not len(names):
+        at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
+        at = np.where(grams[at] == gram, at, len(grams)) if len(grams) else at
+        places = np.full(len(grams) + 1, -1, np.int64)  # of one language at a time
+        least, best = np.full(len(texts), np.inf), np.zeros(len(texts), np.int64)
+        for k, column in enumerate(columns):
+            places[column] = np.arange(len(column))
+            own = places[at]
+            total = np.bincount(owner, np.where(own >= 0, np.abs(own - place), top), len(texts))
+            best[total < least] = k
+            least = np.minimum(least, total)
+            places[column] = -1
+        if not names:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        best = np.argmin(total, axis=0)
-        score = 1 - total.min(axis=0) / np.maximum(n * top, 1)
+        score = 1 - least / np.maximum(n * top, 1)
         return [names[k] if m else UNKNOWN for k, m in zip(best, n, strict=True)], np.where(n > 0, np.clip(score, 0, 1), 0.0)
 
     return judged
@@ -131,7 +140,8 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "t
     decides. Columns of these two names are replaced.
 
     A null, empty or letterless text is ``und`` with score 0, and so is every text if there are no profiles. Ties go to
-    the language that sorts first; equal texts get equal results; an empty table gives an empty result.
+    the language that sorts first; equal texts get equal results; an empty table gives an empty result. Texts of any
+    length are judged whole, a very long one by itself.
     """
     judged = _judge(profiles, top)
 

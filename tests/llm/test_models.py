@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import language, quality, queries, urls
@@ -30,6 +32,48 @@ def test_language_by_hand(spark):
     assert got == {1: "en", 2: "de", 3: "und", 4: "und"}
 
 
+def hashed(gram):
+    """The number that a gram is known by."""
+    mask = (1 << 64) - 1
+    x = sum(ord(c) << 21 * k for k, c in enumerate(gram)) ^ {1: 0, 2: 1 << 62, 3: 1 << 63}[len(gram)]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor & mask
+    return (x ^ x >> 31) >> 24
+
+
+def gram_counts(texts):
+    counts = Counter()
+    for text in texts:
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            padded = f" {word} "
+            counts.update(padded[k : k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1) if padded[k : k + n] != " ")
+    return counts
+
+
+def profile(texts, top):
+    counts = gram_counts(texts)
+    return sorted(counts, key=lambda g: (-counts[g], hashed(g)))[:top]
+
+
+def test_language_against_plain_distances(spark):
+    """Every document's language and score by dictionaries, a gram at a time."""
+    top = 60
+    rows = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) < 4000").orderBy("doc_id").limit(150).collect()
+    texts = [(r.doc_id, r.text) for r in rows] + [(-1, "\u0130stanbul \u00df 5x5"), (-2, ""), (-3, "A"), (-4, "-- 12 --")]
+    # ten languages that are alike, so that ties and near decisions come about
+    taught = [(f"l{k % 10}", r.text) for k, r in enumerate(rows)]
+    learned = language.learn(spark.createDataFrame(taught, "lang string, text string").repartition(7), top=top)
+    plain = {name: profile([t for x, t in taught if x == name], top) for name in sorted({x for x, _ in taught})}
+    assert learned == {name: [hashed(g) for g in grams] for name, grams in plain.items()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(spark.createDataFrame(texts, "doc_id long, text string"), learned, top=top).collect()}
+    for number, text in texts:
+        own = profile([text], top)
+        far = {name: sum(abs(grams.index(g) - k) if g in grams else top for k, g in enumerate(own)) for name, grams in plain.items()}
+        nearest = min(far, key=lambda name: (far[name], name))
+        want = (nearest, max(0.0, 1 - far[nearest] / (len(own) * top))) if own else ("und", 0.0)
+        assert got[number][0] == want[0] and abs(got[number][1] - want[1]) < 1e-12, number
+
+
 def test_language_odd_rows(odd, none):
     profiles = language.learn(odd)
     got = language.identify(odd, profiles)
