@@ -329,18 +329,20 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated bytes cut from the text; a character that a cut runs through goes whole. Null becomes empty.
 
-    A column _removed counts the bytes that went.
+    A column _removed counts the bytes that went, in place of an own one. All other columns pass, whatever their names;
+    texts of any length are cut whole, an empty table stays empty, and a repeated row is another document.
     """
-    marked = with_repeats(docs.drop("_removed"), id_col, text_col, length)
-    kept = marked.drop(text_col)
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    columns = docs.drop("_removed").columns
+    others = F.struct(*[F.col(quoted(c)) for c in columns if c != text_col])
+    rows = docs.select(others.alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
+    marked = with_repeats(rows, "id", "text", length).select("row", "_bytes", "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch, rows in _kept(whole):
-                names = [n for n in batch.schema.names if n not in ("_bytes", "_spans")]
-                columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-                texts = pa.array([k.decode(errors="ignore") if n else k.decode() for k, n, _ in rows], pa.string())
-                yield pa.RecordBatch.from_arrays([*columns, texts, pa.array([n for _, n, _ in rows], pa.int64())], names=[*names, text_col, "_removed"])
-
-    schema = widened(kept.drop("_bytes", "_spans"), **{text_col: "string", "_removed": "long"})
-    return kept.mapInArrow(run, schema).select(*docs.drop("_removed").columns, "_removed")
+            for batch, kept in _kept(whole):
+                texts = pa.array([k.decode(errors="ignore") if n else k.decode() for k, n, _ in kept], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), texts, pa.array([n for _, n, _ in kept], pa.int64())], names=["row", "text", "_removed"])
+
+    cut = marked.mapInArrow(run, widened(marked.select("row"), text="string", _removed="long"))
+    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in columns], "_removed")

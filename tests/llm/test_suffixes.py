@@ -119,3 +119,15 @@ def test_odd_rows(odd, none):
     by_id = {r.doc_id: r for r in cut.collect()}
     assert by_id[2].text == "" and by_id[9].text == "" and by_id[10].text == ""
     assert suffixes.remove(none).count() == 0
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["doc_id", "_bytes", "text", "_spans", "_r1", "row", "id", "a.b"]
+    passage = "one passage that two documents share, " * 8
+    rows = [(k, b"x", t, k, k + 1, "r", None, 2.5) for k, t in enumerate([passage + "first", "second" + passage, "alone", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, _bytes binary, text string, _spans long, _r1 long, row string, id string, `a.b` double")
+    cut = suffixes.remove(docs)
+    assert cut.columns == [*names, "_removed"]
+    got = sorted(map(tuple, cut.collect()))
+    assert [r[:2] + r[3:8] for r in got] == [r[:2] + r[3:] for r in rows]
+    assert [r[2] for r in got][2:] == ["alone", ""] and all(len(r[2]) < 200 and r[8] > 200 for r in got[:2])
