@@ -133,15 +133,18 @@ def asof_interval(
     stop: str,
     is_open: str,
     values: dict[str, str],
+    months: Sequence[date] | None = None,
 ) -> DataFrame:
     """Values of the interval that holds on the row's day; both ends count, the latest start wins.
 
-    ``values`` maps interval columns to the columns added to the fact, NULL where no interval holds. The fact is
-    read once more for the months that it has, so pass a written one.
+    ``values`` maps interval columns to the columns added to the fact, NULL where no interval holds. ``months`` are the
+    first days of all months that the fact has, as ``staging.staged_with_months`` gathers them while it writes; days of
+    other months find no interval. Without it the fact is read once more for them, so pass a written one.
     """
     month = F.trunc(day, "MM")
-    # at most one row per month of the calendar
-    months = [row.m for row in fact.select(month.alias("m")).distinct().dropna().orderBy("m").collect()]
+    if months is None:
+        # at most one row per month of the calendar
+        months = [row.m for row in fact.select(month.alias("m")).distinct().dropna().orderBy("m").collect()]
     if not months:
         types = {f.name: f.dataType for f in intervals.schema.fields}
         return fact.withColumns({out: F.lit(None).cast(types[v]) for v, out in values.items()})

@@ -6,6 +6,7 @@ Every function takes DataFrames and returns a DataFrame; ``plans.medallion`` rea
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -335,12 +336,16 @@ def region_segment_dimension(base_customers: DataFrame, annual: DataFrame) -> Da
     return keys.conformed_dimension([base_customers, annual], ["regiao", "segmento"], "sk_regiao_segmento")
 
 
-def attributed_sales(sold: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Responsible salesperson: the portfolio on the issue date, else the code on the order, else nobody."""
+def attributed_sales(sold: DataFrame, assigned: DataFrame, months: Sequence[date] | None = None) -> DataFrame:
+    """Responsible salesperson: the portfolio on the issue date, else the code on the order, else nobody.
+
+    ``months`` are those of the issue dates, if they are known from the write of the sales.
+    """
     held = asof.asof_interval(
         sold, assigned, key="id_cliente", day="data_emissao", interval_key="id_cliente", start="vigencia_inicio",
         stop="vigencia_fim", is_open="vigencia_aberta",
-        values={"id_vendedor": "vendedor_via_carteira", "id_vendedor_ambiguo": "vendedor_via_carteira_ambiguo"})
+        values={"id_vendedor": "vendedor_via_carteira", "id_vendedor_ambiguo": "vendedor_via_carteira_ambiguo"},
+        months=months)
     by_portfolio = F.col("vendedor_via_carteira").isNotNull()
     return held.withColumns({
         "id_vendedor_atribuicao": F.coalesce("vendedor_via_carteira", "id_vendedor"),
@@ -362,10 +367,11 @@ SALES_FACT = [
 
 
 def sales_fact(
-    sold: DataFrame, assigned: DataFrame, d_customers: DataFrame, d_products: DataFrame, d_people: DataFrame
+    sold: DataFrame, assigned: DataFrame, d_customers: DataFrame, d_products: DataFrame, d_people: DataFrame,
+    months: Sequence[date] | None = None,
 ) -> DataFrame:
     person = {"dim_code": "id_vendedor", "dim_sk": "sk_vendedor", "missing": 0}
-    fact = attributed_sales(sold, assigned)
+    fact = attributed_sales(sold, assigned, months)
     fact = keys.resolve_key(
         fact, d_people, code="id_vendedor", ambiguous="id_vendedor_ambiguo", out="sk_vendedor_pedido", **person)
     fact = keys.resolve_key(

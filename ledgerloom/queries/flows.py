@@ -7,6 +7,7 @@ without.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ledgerloom.fixed_values import NATIONAL_SCOPE
 from ledgerloom.operators import calendar, quality, targets
 from ledgerloom.plans import retail
 from ledgerloom.queries import roles
-from ledgerloom.sources.staging import staged
+from ledgerloom.sources.staging import staged, staged_with_months
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,6 +63,10 @@ def kept_sales(spark: SparkSession, sf: str) -> DataFrame:
     return staged(sales(spark, sf), "sales")
 
 
+def kept_sales_and_months(spark: SparkSession, sf: str) -> tuple[DataFrame, list[date]]:
+    return staged_with_months(sales(spark, sf), "sales", "data_emissao")
+
+
 def valued_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
     return retail.valued_returns(roles.returned_lines(spark, sf), sales(spark, sf) if sold is None else sold)
 
@@ -110,8 +115,9 @@ def d_region_segment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def f_sales(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
+    sold, months = kept_sales_and_months(spark, sf) if sold is None else (sold, None)
     return retail.sales_fact(
-        kept_sales(spark, sf) if sold is None else sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf))
+        sold, portfolio(spark, sf), d_customers(spark, sf), d_products(spark, sf), d_people(spark, sf), months)
 
 
 def f_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:

@@ -316,9 +316,9 @@ SELECT coluna, count(*) FILTER (WHERE u.v IS NOT NULL AND k.v IS NOT NULL) AS co
 FROM used u FULL JOIN known k USING (coluna, v) GROUP BY 1""")
 def member_balance(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of the sales fact against the real members of their dimensions, both ways."""
-    sold = flows.kept_sales(spark, sf)
+    sold, months = flows.kept_sales_and_months(spark, sf)
     buyers, goods = flows.d_customers(spark, sf), flows.d_products(spark, sf)
-    fact = retail.sales_fact(sold, flows.portfolio(spark, sf), buyers, goods, flows.d_people(spark, sf))
+    fact = retail.sales_fact(sold, flows.portfolio(spark, sf), buyers, goods, flows.d_people(spark, sf), months)
     keyed = {"sk_cliente": buyers, "sk_produto": goods}
     known = [membership.member_words(dim.filter(F.col(sk) > 0), [], [sk]) for sk, dim in keyed.items()]
     return membership.member_balance(

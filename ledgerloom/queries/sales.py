@@ -163,7 +163,8 @@ def interval_asof(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_attribution", with_(SALES, PORTFOLIO, ATTRIBUTION) + """
 SELECT safra, id_pedido, item, id_vendedor_atribuicao, vendedor_ambiguo_atribuicao, vendedor_fonte FROM attributed""")
 def attribution(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.attributed_sales(flows.kept_sales(spark, sf), flows.portfolio(spark, sf)).select(
+    sold, months = flows.kept_sales_and_months(spark, sf)
+    return retail.attributed_sales(sold, flows.portfolio(spark, sf), months).select(
         "safra", "id_pedido", "item", "id_vendedor_atribuicao", "vendedor_ambiguo_atribuicao", "vendedor_fonte")
 
 

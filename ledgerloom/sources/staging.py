@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,17 @@ def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Ob
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[count.alias(name) for name, count in true.items()]), seen
 
 
+def staged_with_months(df: DataFrame, label: str, day: str) -> tuple[DataFrame, list[date]]:
+    """``staged`` and the months (first days, in order) that ``day`` falls into, gathered by the stage that writes.
+
+    There is one entry a month of the calendar, however many rows; null days have none.
+    """
+    seen = Observation()
+    months = F.sort_array(F.collect_set(F.trunc(day, "MM"))).alias("months")
+    written = staged(df.observe(seen, months), label)
+    return written, list(seen.get["months"])
+
+
 def staged_counted(
     df: DataFrame, label: str, counts: Mapping[str, Column] | None = None, partition_by: Sequence[str] = ()
 ) -> tuple[DataFrame, dict[str, int]]:

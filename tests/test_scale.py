@@ -78,6 +78,19 @@ def test_interval_lookup_splits_hot_keys(shuffled_joins, days):
     assert got.filter("held = 9999").count() == 20_000 and got.count() == 60_000
 
 
+def test_months_are_gathered_by_the_write(spark):
+    days = [dt.date(2020, 1, 31), dt.date(2999, 12, 1), None, dt.date(2020, 1, 1), dt.date(2019, 5, 9)]
+    fact = spark.createDataFrame([("k", d, n) for n, d in enumerate(days)], "code string, day date, id int").repartition(3)
+    kept, months = staging.staged_with_months(fact, "months", "day")
+    assert months == [dt.date(2019, 5, 1), dt.date(2020, 1, 1), dt.date(2999, 12, 1)]
+    assert kept.count() == 5 and staging.staged_with_months(fact.limit(0), "none", "day")[1] == []
+    held = spark.createDataFrame([("k", dt.date(2019, 5, 9), dt.date(2020, 1, 30), False, 1), ("k", dt.date(2020, 1, 31), None, True, 2)],
+                                 "code string, s date, e date, o boolean, sk int")
+    names = {"key": "code", "day": "day", "interval_key": "code", "start": "s", "stop": "e", "is_open": "o", "values": {"sk": "held"}}
+    known, read = (sorted((r.id, r.held) for r in asof.asof_interval(kept, held, **names, months=m).collect()) for m in (months, None))
+    assert known == read == [(0, 2), (1, 2), (2, None), (3, 1), (4, 1)]
+
+
 def test_interval_pieces_do_not_follow_outlier_dates(spark):
     day = dt.date
     held = spark.range(50).select(
