@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import let
+
 BAND_BITS, LIMB_BITS = 8, 21
 #: A band's unit is 2 ** (BAND_BITS * band - SHIFT), two bits below the lowest that a value of the band can have: a
 #: logarithm may take a value at the very edge of a band for one of the next.
@@ -32,15 +34,24 @@ def _scaled(value: Column, exponent: Column) -> Column:
 
 
 def _cell(which: int, value: Column) -> Column:
-    x = value.cast("double")
-    size = F.abs(x)
-    finite = size < float("inf")
-    band = F.when(finite & (size > 0), F.floor(F.log2(size) / BAND_BITS))
-    units = _scaled(size, F.lit(float(SHIFT)) - BAND_BITS * band).cast("long")
-    sign, mask = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)), (1 << LIMB_BITS) - 1
-    limbs = [sign * F.shiftright(units, LIMB_BITS * k).bitwiseAND(mask) for k in range(3)]
-    fields = (F.lit(which), band.cast("int"), *limbs, F.when(~finite, x), x.isNotNull().cast("long"))
-    return F.struct(*[f.alias(name) for f, name in zip(fields, _STATE, strict=True)])
+    """The state of one value; each step is evaluated once a row."""
+    mask = (1 << LIMB_BITS) - 1
+
+    def state(x: Column, band: Column, units: Column) -> Column:
+        sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+        limbs = [sign * F.shiftright(units, LIMB_BITS * k).bitwiseAND(mask) for k in range(3)]
+        fields = (F.lit(which), band.cast("int"), *limbs, F.when(~(F.abs(x) < float("inf")), x), x.isNotNull().cast("long"))
+        return F.struct(*[f.alias(name) for f, name in zip(fields, _STATE, strict=True)])
+
+    def in_band(x: Column, band: Column) -> Column:
+        scaled = let(F.lit(float(SHIFT)) - BAND_BITS * band, lambda exponent: _scaled(F.abs(x), exponent))
+        return let(scaled.cast("long"), lambda units: state(x, band, units))
+
+    def cell(x: Column) -> Column:
+        finite = (F.abs(x) < float("inf")) & (F.abs(x) > 0)
+        return let(F.when(finite, F.floor(F.log2(F.abs(x)) / BAND_BITS)), lambda band: in_band(x, band))
+
+    return let(value.cast("double"), cell)
 
 
 def partial_sums(df: DataFrame, by: Sequence[str | Column], sums: Mapping[str, Column], *, rows: str | None = None,
