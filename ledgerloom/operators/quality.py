@@ -20,8 +20,13 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Keep one of the rows that agree in every column; copies collapse before the shuffle."""
-    return df.dropDuplicates()
+    """Keep one of the rows that agree in every column; copies collapse before the shuffle.
+
+    The columns are expressions over the aggregate. Catalyst moves a filter on plain grouping columns below the
+    aggregate, where each row would be parsed for the filter and once more for the columns.
+    """
+    once = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return once.select(*[F.when(F.col("_copies") >= 1, F.col(c)).alias(c) for c in df.columns])
 
 
 def duplicate_accounting(df: DataFrame, by: Sequence[str]) -> DataFrame:
