@@ -37,7 +37,8 @@ def asof_rates(
 
     The quotes become one row per currency and day up to the last quote, plus one row per currency for all
     later days, so the lookup is an equality. Of two quotes for one day the higher one counts; one dated
-    9999-12-31, the key of all later days, is none.
+    9999-12-31, the key of all later days, is none. They grow with the calendar and the currencies, not with the fact,
+    and are broadcast: the fact, most of it in the base currency and so without a key, is not shuffled for them.
     """
     clean = (
         quotes.filter((F.col(quote_day) < _beyond()) & F.col(quote_rate).isNotNull())
@@ -61,7 +62,7 @@ def asof_rates(
     probe = F.when(F.col(day) > last, _beyond()).otherwise(F.col(day))
     return (
         fact.withColumn("_probe", probe)
-        .join(spine, (F.col(currency) == F.col("_cur")) & (F.col("_probe") == F.col("_day")), "left")
+        .join(F.broadcast(spine), (F.col(currency) == F.col("_cur")) & (F.col("_probe") == F.col("_day")), "left")
         .drop("_probe", "_cur", "_day")
     )
 
