@@ -61,8 +61,13 @@ def let(c: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip_space(c: Column) -> Column:
-    """Trim every kind of white space, not only the blank that ``trim`` removes."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    """Trim every kind of white space, not only the blank that ``trim`` removes.
+
+    Trimming a set of characters is slow; a text that has a visible ASCII character at both ends without its blanks is done.
+    """
+    bare = F.trim(c)
+    visible = [(end >= "!") & (end < "\x7f") for end in (bare, F.substring(bare, -1, 1))]
+    return F.when(visible[0] & visible[1], bare).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def collapse_space(c: Column) -> Column:

@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import parsing, text
 
-# What a field of a layout holds, the expression that reads it, and the type of its NULL when absent.
+# What a field of a layout holds, the steps that read it, and the type of its NULL when absent.
 READERS = {
-    "text": (F.trim, "string"),
-    "optional_text": (text.blank_to_null, "string"),
-    "code": (text.code_key, "string"),
-    "int": (parsing.whole_number, "int"),
-    "date": (parsing.flexible_date, "date"),
-    "money": (parsing.currency_text, "double"),
-    "percent": (lambda c: parsing.currency_text(c) / F.lit(100.0), "double"),
-    "fraction": (parsing.currency_text, "double"),
+    "text": ((F.trim,), "string"),
+    "optional_text": ((text.blank_to_null,), "string"),
+    "code": ((text.code_key,), "string"),
+    "int": ((parsing.whole_number,), "int"),
+    "date": (parsing.date_steps(), "date"),
+    "money": (parsing.currency_steps(), "double"),
+    "percent": ((*parsing.currency_steps()[:-1], lambda x: parsing.finite(x) / F.lit(100.0)), "double"),
+    "fraction": (parsing.currency_steps(), "double"),
 }
 
 
@@ -31,9 +31,11 @@ class Field:
     kind: str
     source: str | None = None
 
-    def read(self) -> Column:
-        reader, null_type = READERS[self.kind]
-        return F.lit(None).cast(null_type) if self.source is None else reader(F.col(self.source))
+    def start(self) -> Column:
+        return F.lit(None).cast(READERS[self.kind][1]) if self.source is None else F.col(self.source)
+
+    def steps(self) -> tuple[parsing.Step, ...]:
+        return () if self.source is None else READERS[self.kind][0]
 
 
 @dataclass(frozen=True)
@@ -45,8 +47,18 @@ class Layout:
     tag: str = "safra"
 
     def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        columns = [field.read().alias(target) for target, field in self.fields.items()]
-        return df.select(F.lit(self.name).alias(self.tag), *columns, *keep)
+        """The fields take their steps side by side, a projection for each: what a step names several times is computed once.
+
+        The tag passes through a lambda. It keeps a projection out of the code of its neighbours, which would else grow with
+        the fields beyond what the JVM compiles; alone, Spark cuts it into small methods.
+        """
+        out = df.select(F.lit(self.name).alias(self.tag), *[f.start().alias(t) for t, f in self.fields.items()], *keep)
+        steps = {target: field.steps() for target, field in self.fields.items()}
+        for n in range(max(map(len, steps.values()), default=0)):
+            out = out.select(
+                text.let(F.col(self.tag), lambda tag: tag).alias(self.tag),
+                *[own[n](F.col(t)).alias(t) if n < len(own) else F.col(t) for t, own in steps.items()], *keep)
+        return out
 
 
 def harmonize(sources: Sequence[tuple[Layout, DataFrame]], keep: Sequence[str] = ()) -> DataFrame:

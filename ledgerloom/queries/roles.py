@@ -141,9 +141,13 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rate on each weekday that has orders, from mid-January of the first year."""
+    """A rate on each weekday that has orders, from mid-January of the first year.
+
+    Days are an expression over the aggregate: a filter of the quotes would else be moved below it and parse every order's day.
+    """
     days = table(spark, sf_dir, "orders").selectExpr("cast(o_orderdate AS date) AS d").filter(
-        "d >= date'1995-01-16' AND dayofweek(d) BETWEEN 2 AND 6").distinct()
+        "d >= date'1995-01-16' AND dayofweek(d) BETWEEN 2 AND 6").groupBy("d").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+        "if(n >= 1, d, NULL) AS d")
     milli = days.selectExpr("d", "4500 + (datediff(d, date'1990-01-01') * 7919) % 2000 AS m")
     return milli.selectExpr(
         f"{written_date('d', 'm')} AS data_cotacao",
