@@ -6,6 +6,7 @@ never moves more rows than the distinct keys it stands for, and up to 64 times f
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -48,10 +49,49 @@ def key_filter(keys: DataFrame, columns: Sequence[str], rows: int) -> tuple[Data
     block, word, bits = _place([F.col(c) for c in columns], blocks)
     words = keys.select(block.alias("_block"), word.alias("_word"), bits.alias("_bits")).dropna().groupBy("_block", "_word").agg(
         F.bit_or("_bits").alias("_bits"))
-    known = F.map_from_entries(F.collect_list(F.struct("_word", "_bits")))  # one block: BLOCK_WORDS entries at the most
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(BLOCK_WORDS - 1)), lambda w: F.coalesce(F.element_at("_known", w), F.lit(0).cast("long")))
-    return words.groupBy("_block").agg(known.alias("_known")).select("_block", dense.alias("_words")), blocks
+    # each held block once more with all its words empty, so that sorting alone puts every word in its place
+    empty = words.groupBy("_block").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_WORDS - 1))).alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    return _in_order(words.unionByName(empty), "_block", "_word").select("_block", F.col("_held").alias("_words")), blocks
+
+
+def _in_order(words: DataFrame, block: str, word: str) -> DataFrame:
+    """(block, _held): the bits of each block's words, combined by ``bit_or``, as a list in the order of the words."""
+    whole = words.groupBy(block, word).agg(F.bit_or("_bits").alias("_bits"))
+    listed = F.sort_array(F.collect_list(F.struct(word, "_bits")))  # one block: BLOCK_WORDS entries at the most
+    return whole.groupBy(block).agg(listed.getField("_bits").alias("_held"))
+
+
+def _patterns() -> Column:
+    """1,024 patterns of ``BITS_PER_KEY`` bits in a word; the sign bit is left out."""
+    draw = random.Random(0)
+    drawn = [sum(1 << bit for bit in draw.sample(range(63), BITS_PER_KEY)) for _ in range(1024)]
+    return F.expr(f"array({', '.join(f'{p}L' for p in drawn)})")
+
+
+def possibly_among(columns: Mapping[str, str], keys: DataFrame, rows: int) -> Column:
+    """A condition that holds for the rows whose key ``keys`` has, and for few others (about one in a hundred).
+
+    It says the same as ``possibly_in``, but as a filter, not as a join. Catalyst moves a filter below projections, unions,
+    aggregates by the key and other joins, so rows without a key are left out at the scan before any field of theirs is read.
+    The words are the one value of a subquery: 64 MB at the most, whatever the number of keys. Rows with a null in the key may
+    pass; an exact join is to follow. ``columns`` maps columns of the filtered table to those of ``keys``, of the same types.
+    """
+    words = min(max(1, -(-rows // KEYS_PER_WORD)), MOST_BLOCKS * BLOCK_WORDS)
+
+    def place(names: Sequence[str]) -> tuple[Column, Column]:
+        # the hash stands here twice, as it does in the filter: code that names a key's expression often grows large
+        key = F.xxhash64(*[F.col(c) for c in names])
+        return F.pmod(key, F.lit(words)).cast("int"), F.get(_patterns(), F.shiftrightunsigned(key, 54).cast("int"))
+
+    word, bits = place(list(columns.values()))
+    held = keys.dropna(subset=list(columns.values())).select(word.alias("_word"), bits.alias("_bits"))
+    empty = keys.sparkSession.range(words).select(F.col("id").cast("int").alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    placed = held.unionByName(empty).withColumn("_block", F.floor(F.col("_word") / BLOCK_WORDS).cast("int"))
+    blocks = F.sort_array(F.collect_list(F.struct("_block", "_held")))  # MOST_BLOCKS entries at the most
+    table = _in_order(placed, "_block", "_word").agg(F.flatten(blocks.getField("_held")).alias("_words"))
+    word, bits = place(list(columns))
+    return F.bitwise_not(F.get(table.scalar(), word)).bitwiseAND(bits) == 0
 
 
 def possibly_in(df: DataFrame, columns: Mapping[str, str], keys: DataFrame, rows: int) -> DataFrame:

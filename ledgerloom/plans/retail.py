@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions import money, parsing, text
-from ledgerloom.operators import asof, keys, marts, quality, returns, sums, targets
+from ledgerloom.operators import asof, keys, marts, membership, quality, returns, sums, targets
 from ledgerloom.operators.layouts import Field, Layout, harmonize
 from ledgerloom.sources.landing import DelimitedSource, GridSource, TextSource
 from ledgerloom.sources.staging import staged_counted
@@ -287,8 +287,27 @@ def typed_returns(raw: DataFrame) -> DataFrame:
 def valued_returns(raw: DataFrame, sold: DataFrame) -> DataFrame:
     """Returns are parsed and written once: the filter of their keys, the keys themselves and the result read that."""
     typed, n = staged_counted(typed_returns(raw), "typed-returns")
+    return _valued(typed, sold, n["rows"])
+
+
+def valued_returns_of_landed(raw: DataFrame, landed: DataFrame, fx: DataFrame) -> DataFrame:
+    """Returns at the terms of landed sales, of which those that no return names are left out before anything else.
+
+    Exact copies share their key and every other step of the sales looks at one row, so the filter may come first: the
+    sales that are read, made unique, tagged, rated and priced are those of the returns, not all.
+    """
+    typed, n = staged_counted(typed_returns(raw), "typed-returns")
+    named = _possibly_named(landed, typed, n["rows"])
+    return _valued(typed, priced_sales(rated_sales(quality.split_tagged(tagged_sales(named))[0], fx)), None)
+
+
+def _possibly_named(landed: DataFrame, returned: DataFrame, n_returned: int) -> DataFrame:
+    return landed.filter(membership.possibly_among({s: r for r, s in RETURN_TO_SALE.items()}, returned, n_returned))
+
+
+def _valued(typed: DataFrame, sold: DataFrame, n_returns: int | None) -> DataFrame:
     return returns.value_returns(
-        typed, sold, n_returns=n["rows"], on=RETURN_TO_SALE, terms=SALE_TERMS, quantity="quantidade_devolvida",
+        typed, sold, n_returns=n_returns, on=RETURN_TO_SALE, terms=SALE_TERMS, quantity="quantidade_devolvida",
         layout="safra_origem", price="valor_unitario_origem", discount="desconto_fracao_origem",
         rate="taxa_cambio_origem", status="status_pedido_origem", billed="quantidade_faturada_origem")
 
@@ -298,7 +317,10 @@ def orphan_returns(valued: DataFrame) -> DataFrame:
 
 
 def explained_orphans(orphans: DataFrame, landed: DataFrame) -> DataFrame:
-    return returns.explain_orphans(orphans, landed, RETURN_TO_SALE, "existe_no_bruto_mas_foi_excluida")
+    """The orphans are written once; of the landed sales only those that an orphan names are grouped."""
+    kept, n = staged_counted(orphans, "orphans")
+    return returns.explain_orphans(
+        kept, _possibly_named(landed, kept, n["rows"]), RETURN_TO_SALE, "existe_no_bruto_mas_foi_excluida")
 
 
 def target_grid(sheets: dict[int, DataFrame]) -> DataFrame:

@@ -68,7 +68,9 @@ def kept_sales_and_months(spark: SparkSession, sf: str) -> tuple[DataFrame, list
 
 
 def valued_returns(spark: SparkSession, sf: str, sold: DataFrame | None = None) -> DataFrame:
-    return retail.valued_returns(roles.returned_lines(spark, sf), sales(spark, sf) if sold is None else sold)
+    if sold is None:
+        return retail.valued_returns_of_landed(roles.returned_lines(spark, sf), landed(spark, sf), quotes(spark, sf))
+    return retail.valued_returns(roles.returned_lines(spark, sf), sold)
 
 
 def targets_detail(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import membership
 from ledgerloom.operators.returns import sale_terms
+from ledgerloom.queries import QUERIES, flows
 from ledgerloom.sources import staging
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.mark.parametrize("rows", [1, 300, 50_000])
 def test_no_key_is_lost_and_few_others_pass(spark, rows):
@@ -72,3 +75,27 @@ def test_balance_of_two_sets(spark):
     assert [tuple(r) for r in membership.member_balance(*words).collect()] == [("k", 3, 3, 2)]
     assert [tuple(r) for r in membership.member_balance(words[0], words[1].limit(0)).collect()] == [("k", 0, 6, 0)]
     assert membership.member_balance(words[0].limit(0), words[1].limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 300, 50_000])
+def test_a_condition_says_which_keys_may_be_named(spark, rows):
+    facts = spark.range(200_000).select(F.concat(F.lit("P"), "id").alias("order"), (F.col("id") % 7).cast("int").alias("item"))
+    keys = facts.filter(F.substring("order", 2, 9).cast("int") < rows).select(F.col("order").alias("of"), F.col("item").alias("line"))
+    kept = facts.filter(membership.possibly_among({"order": "of", "item": "line"}, keys.unionByName(keys), rows))
+    assert kept.join(keys, (F.col("of") == F.col("order")) & (F.col("line") == F.col("item"))).count() == rows
+    assert kept.count() - rows <= 0.02 * (200_000 - rows)
+    assert facts.filter(membership.possibly_among({"order": "of", "item": "line"}, keys.limit(0), 0)).count() == 0
+
+
+def test_a_crowded_condition_loses_no_key(spark, monkeypatch):
+    monkeypatch.setattr(membership, "MOST_BLOCKS", 1)
+    facts = spark.range(100_000)
+    assert facts.filter(membership.possibly_among({"id": "id"}, facts.filter("id % 4 = 0"), 25_000)).filter("id % 4 = 0").count() == 25_000
+
+
+def test_landed_sales_without_a_return_are_left_out_at_the_scan(spark):
+    """Below the order of each line, the reading of its fields and the removal of copies, in each of the three layouts."""
+    for flow in (flows.valued_returns(spark, SF), QUERIES["q_orphan_returns"](spark, SF)):
+        plan = flow._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scans = [line for line in plan if "l_orderkey" in line and "% 3)" in line and "Filter" in line]
+        assert len(scans) in (3, 6) and all("scalar-subquery" in line for line in scans), scans
