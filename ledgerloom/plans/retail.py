@@ -257,6 +257,31 @@ def sales(valid: DataFrame, fx: DataFrame, people: DataFrame) -> DataFrame:
         priced, "id_vendedor", people, "id_vendedor", "id_vendedor_duplicado", "id_vendedor_ambiguo")
 
 
+def used_codes(landed: DataFrame) -> DataFrame:
+    """Customer, product and salesperson codes of the landed sales, null on rejected ones, for checks of distinct keys.
+
+    Copies stay, as they add no key, so nothing is shuffled. Codes are made null instead of filtered: a filter on what was
+    read would be moved below the reading, which would then be done twice. The layout's name is asked for, as it is what
+    keeps the projections of a layout apart, and so the code of each small enough to be compiled.
+    """
+    tagged = quality.tag_rejects(landed, sale_rules())
+    valid = F.col("safra").isNotNull() & (F.col("motivo_rejeicao") == "")
+    codes = {"id_cliente": F.col("id_cliente"), "id_produto_chave": text.code_key(F.col("id_produto")), "id_vendedor": F.col("id_vendedor")}
+    return tagged.select(*[F.when(valid, code).alias(name) for name, code in codes.items()])
+
+
+def sales_of_shared_codes(landed: DataFrame, people: DataFrame) -> DataFrame:
+    """Valid sales with their flag ``id_vendedor_ambiguo``, without most of those whose code is nobody's or one person's.
+
+    Exact copies share their code, so the filter comes before the removal of copies. All flagged sales are there.
+    """
+    shared, n = staged_counted(people.filter("id_vendedor_duplicado").select("id_vendedor").distinct(), "shared-codes")
+    possible = landed.filter(membership.possibly_among({"id_vendedor": "id_vendedor"}, shared, n["rows"]))
+    return quality.flag_ambiguous(
+        quality.split_tagged(tagged_sales(possible))[0], "id_vendedor", people, "id_vendedor", "id_vendedor_duplicado",
+        "id_vendedor_ambiguo")
+
+
 # The columns of a landed return.
 RETURN_COLUMNS = ["id_devolucao", "id_pedido_origem", "item", "data_devolucao", "quantidade_devolvida", "motivo"]
 RETURN_TO_SALE = {"id_pedido_origem": "id_pedido", "item": "item"}
@@ -335,17 +360,37 @@ def target_grid(sheets: dict[int, DataFrame]) -> DataFrame:
 # -- gold ------------------------------------------------------------------------------------------
 
 
+# The columns that members are numbered by.
+CUSTOMER_ORDER = ["id_cliente", "cnpj", "razao_social_original"]
+PRODUCT_ORDER = ["id_produto_chave", "id_produto", "descricao"]
+
+
+def customer_keys(raw: DataFrame) -> DataFrame:
+    """Surrogate keys of the customers as the dimension numbers them, without its treated columns and special members.
+
+    For facts that are built without the dimension: names, segments, regions and groups need not be treated.
+    """
+    named = raw.select(*_trimmed("id_cliente", "cnpj"), F.trim("razao_social").alias("razao_social_original"))
+    return keys.with_surrogate_key(named, CUSTOMER_ORDER, "sk_cliente")
+
+
+def product_keys(raw: DataFrame) -> DataFrame:
+    """As ``customer_keys``, of the products."""
+    named = raw.select(text.code_key(F.col("id_produto")).alias("id_produto_chave"), *_trimmed("id_produto", "descricao"))
+    return keys.with_surrogate_key(named, PRODUCT_ORDER, "sk_produto")
+
+
 def customer_dimension(base: DataFrame) -> DataFrame:
     grouped = keys.flatten_hierarchy(
         base, member="id_cliente", parent="id_matriz", name="razao_social", group="id_grupo_economico",
         group_name="nome_grupo_economico", is_head="eh_matriz", orphan="matriz_orfa",
         orphan_label=fv.ORPHAN_PARENT_LABEL)
-    numbered = keys.with_surrogate_key(grouped, ["id_cliente", "cnpj", "razao_social_original"], "sk_cliente")
+    numbered = keys.with_surrogate_key(grouped, CUSTOMER_ORDER, "sk_cliente")
     return keys.with_sentinels(numbered, fv.CUSTOMER_SENTINELS)
 
 
 def product_dimension(base: DataFrame) -> DataFrame:
-    numbered = keys.with_surrogate_key(base, ["id_produto_chave", "id_produto", "descricao"], "sk_produto")
+    numbered = keys.with_surrogate_key(base, PRODUCT_ORDER, "sk_produto")
     return keys.with_sentinels(numbered, fv.PRODUCT_SENTINELS)
 
 

@@ -32,7 +32,7 @@ UNION ALL SELECT 'carteira_historica', 'id_cliente', 'dClientes', count(DISTINCT
 UNION ALL SELECT 'carteira_historica', 'id_vendedor', 'dVendedores', count(DISTINCT id_vendedor) FROM portfolio
   WHERE id_vendedor NOT IN (SELECT id_vendedor FROM person)""")
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
-    sold, assigned = flows.sales(spark, sf), flows.portfolio(spark, sf)  # one pass over each
+    sold, assigned = retail.used_codes(flows.landed(spark, sf)), flows.portfolio(spark, sf)  # one pass over each
     buyers, goods, persons = flows.customers(spark, sf), flows.products(spark, sf), flows.people(spark, sf)
     return quality.orphan_key_report([
         KeyCheck("fVendas", sold, "id_cliente", "dClientes", buyers, "id_cliente"),
@@ -52,9 +52,10 @@ UNION ALL SELECT 'vendas', 'id_vendedor', count(*), '{fv.AMBIGUOUS_SALES}' FROM
 UNION ALL SELECT 'carteira_historica', 'id_vendedor', count(*), '{fv.AMBIGUOUS_PORTFOLIO}' FROM portfolio
   WHERE id_vendedor IN (SELECT id_vendedor FROM shared)""")
 def ambiguous(spark: SparkSession, sf: str) -> DataFrame:
+    people = flows.people(spark, sf)
     return quality.ambiguous_key_report([
         ("clientes", "cnpj_limpo", flows.customers(spark, sf), "cnpj_duplicado", fv.AMBIGUOUS_TAX_ID),
-        ("vendedores", "id_vendedor", flows.people(spark, sf), "id_vendedor_duplicado", fv.AMBIGUOUS_SALESPERSON),
+        ("vendedores", "id_vendedor", people, "id_vendedor_duplicado", fv.AMBIGUOUS_SALESPERSON),
         ("vendas", "id_vendedor", flows.sales(spark, sf), "id_vendedor_ambiguo", fv.AMBIGUOUS_SALES),
         ("carteira_historica", "id_vendedor", flows.portfolio(spark, sf), "id_vendedor_ambiguo",
          fv.AMBIGUOUS_PORTFOLIO),
