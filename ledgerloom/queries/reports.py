@@ -56,7 +56,7 @@ def ambiguous(spark: SparkSession, sf: str) -> DataFrame:
     return quality.ambiguous_key_report([
         ("clientes", "cnpj_limpo", flows.customers(spark, sf), "cnpj_duplicado", fv.AMBIGUOUS_TAX_ID),
         ("vendedores", "id_vendedor", people, "id_vendedor_duplicado", fv.AMBIGUOUS_SALESPERSON),
-        ("vendas", "id_vendedor", flows.sales(spark, sf), "id_vendedor_ambiguo", fv.AMBIGUOUS_SALES),
+        ("vendas", "id_vendedor", retail.sales_of_shared_codes(flows.landed(spark, sf), people), "id_vendedor_ambiguo", fv.AMBIGUOUS_SALES),
         ("carteira_historica", "id_vendedor", flows.portfolio(spark, sf), "id_vendedor_ambiguo",
          fv.AMBIGUOUS_PORTFOLIO),
     ])
