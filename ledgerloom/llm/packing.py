@@ -10,18 +10,17 @@ is left, or when neither the tree gets narrower nor the bins fewer: what is left
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrays import offsets_and_bytes, slices, spaced_words, text_column
+from ledgerloom.llm.arrays import offsets_and_bytes, slices, text_column
 from ledgerloom.llm.shared import widened, written
 
 ROOM = 4096
@@ -33,10 +32,22 @@ ITEMS = 250_000
 #: A round that leaves more than this share of its bins has not made them fewer.
 FALLS = 0.99
 #: Text bytes that are encoded at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Parts of words whose ids a task keeps.
 KNOWN = 300_000
-_TAILS = ".,!?*%&$#|;:-()\"/"
+#: Letter parts that are encoded as one text.
+JOINED = 256
+_SPACE, _ODD, _LETTER, _DIGIT, _TAIL = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[*b".,!?*%&$#|;:-()\"/"]] = _TAIL
+#: What follows 0xC3: À to ÿ but not the signs × and ÷.
+_AFTER_C3 = np.full(256, _ODD, np.uint8)
+_AFTER_C3[[k for k in range(0x80, 0xC0) if k not in (0x97, 0xB7)]] = _LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def best_fit(lengths: np.ndarray, room: int = ROOM) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -65,75 +76,120 @@ def best_fit(lengths: np.ndarray, room: int = ROOM) -> tuple[np.ndarray, np.ndar
     return bins, places, free
 
 
+def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[begin:begin + size] of each, one after the other."""
+    source = np.repeat(begin - (np.cumsum(size) - size), size)
+    source += np.arange(len(source))
+    return flat[source]
+
+
 class Vocabulary:
-    """A tokenizer and the parts of words that it has encoded so far, at most ``KNOWN`` of them at a time."""
+    """A tokenizer and the parts of words that it has encoded so far.
 
-    LATIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
-    TRAILED = re.compile(f"(.*[a-z0-9ß-öø-ÿ])([{re.escape(_TAILS)}]+)", re.DOTALL)
+    With more than ``KNOWN`` parts, those that the slice at hand does not use are forgotten.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.whole, self.word = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        # for one lower-case Latin word, which needs no splitting
-        self.word.normalizer = normalizers.Lowercase()
-        self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.parts, self.begin, self.size, self.flat = {"": 0}, array("q", [0]), array("q", [0]), array("I")
-
-    def _encode_new(self) -> None:
-        new = list(self.parts)[len(self.begin) :]
-        begin, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        plain = [bool(self.LATIN.fullmatch(x)) for x in new]
-        for encoder, kind in ((self.word, True), (self.whole, False)):
-            numbers = [k for k, p in enumerate(plain) if p == kind]
-            for low in range(0, len(numbers), 1 << 10):
-                block = numbers[low : low + (1 << 10)]
-                for k, e in zip(block, encoder.encode_batch_fast([new[k] for k in block], add_special_tokens=False), strict=True):
-                    begin[k], size[k] = len(self.flat), len(e)
-                    self.flat.extend(e.ids)
-        self.begin.frombytes(begin.tobytes())
-        self.size.frombytes(size.tobytes())
-
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Two part numbers for each word (letters, and what trails them or nothing); begin, size and ids of parts."""
-        if len(self.parts) > KNOWN:
-            self._forget()
-        split, parts = np.zeros((len(words), 2), np.int64), self.parts
-        for k, w in enumerate(words):
-            m = None if w.isalpha() else self.TRAILED.fullmatch(w)
-            if m:
-                split[k] = parts.setdefault(m[1], len(parts)), parts.setdefault(m[2], len(parts))
-            else:
-                split[k, 0] = parts.setdefault(w, len(parts))
-        self._encode_new()
-        return split, np.array(self.begin), np.array(self.size), np.array(self.flat, np.uint32)
+        self.whole = Tokenizer.from_file(path)
+        # for Latin letters and spaces, which need no other splitting
+        self.letters = Tokenizer(self.whole.model)
+        self.letters.normalizer = normalizers.Lowercase()
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix, ids = getattr(self.whole.model, "end_of_word_suffix", None), self.whole.get_vocab()
+        self.ends_word = np.zeros(max(ids.values()) + 1, bool)
+        self.ends_word[[k for token, k in ids.items() if suffix and token.endswith(suffix)]] = True
+        self.known = pa.array([], pa.large_string())
+        self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _singly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        rows = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for r in rows for i in r], np.uint32), np.array([len(r) for r in rows], np.int64)
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids and their number for each text of letters: a text ends where an id does that stands at a word's end only."""
+        (e,) = self.letters.encode_batch_fast([" ".join(texts)], add_special_tokens=False)
+        ids = np.array(e.ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(texts) else self._singly(texts)
+
+    def _learn(self, parts: pa.Array, letters: int) -> None:
+        """Encodes new parts, of which the first ``letters`` are of Latin letters only."""
+        texts = parts.to_pylist()
+        coded = [self._joined(texts[k : min(k + JOINED, letters)]) for k in range(0, letters, JOINED)]
+        coded += [self._singly(texts[k : k + JOINED]) for k in range(letters, len(texts), JOINED)]
+        size = np.concatenate([n for _, n in coded])
+        self.begin = np.append(self.begin, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.flat = np.concatenate([self.flat, *(ids for ids, _ in coded)])
+        self.known = pa.concat_arrays([self.known, parts])
+
+    def _forget(self, parts: pa.Array) -> None:
+        used = pc.index_in(parts, value_set=self.known).drop_null()
+        at = used.to_numpy()
+        self.known, self.flat, self.size = self.known.take(used), _gather(self.flat, self.begin[at], self.size[at]), self.size[at]
+        self.begin = np.cumsum(self.size) - self.size
+
+    def encode_parts(self, parts: pa.Array, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin in ``flat`` and number of the ids of each of the distinct ``parts``."""
+        if len(self.known) > KNOWN:
+            self._forget(parts)
+        places = pc.index_in(parts, value_set=self.known)
+        at = places.fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            plain = kinds[new] == _LETTER
+            new = np.concatenate((new[plain], new[~plain]))
+            at[new] = len(self.known) + np.arange(len(new))
+            self._learn(parts.take(pa.array(new)), int(plain.sum()))
+        return self.begin[at], self.size[at]
+
+
+def word_parts(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case, in parts: runs of Latin letters, single digits, runs of signs.
+
+    The vocabulary's splitter cuts there too. A word that holds anything else, such as an apostrophe, a combining mark or
+    another script's letter, is one part. Returns the bytes without white space, each part's start in them and kind, and
+    each text's first part (with the total at the end).
+    """
+    kind = _KIND[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+    kind[lead] = _AFTER_C3[data[lead]]
+    kept = np.flatnonzero(kind != _SPACE)
+    opens = np.zeros(len(data) + 1, bool)
+    opens[offsets] = True
+    opens[1:-1] |= kind[:-1] == _SPACE
+    kind, opens = kind[kept], opens[kept]
+    words = np.flatnonzero(opens)
+    if len(words):
+        odd = np.minimum.reduceat(kind, words) == _ODD
+        kind[np.repeat(odd, np.diff(words, append=len(kept)))] = _ODD
+    opens[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    starts = np.flatnonzero(opens)
+    return _LOWER[data[kept]], starts, kind[starts], np.searchsorted(starts, np.searchsorted(kept, offsets))
 
 
 def encode(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of a large_string array, as the tokenizer gives them for each whole text.
 
-    The vocabulary's splitter never joins across white space, so a text's ids are those of its words in order, and each
-    distinct word is encoded once. A text that holds a special token's letters is encoded as it is.
+    The vocabulary's splitter never joins across white space or across the parts of ``word_parts``, so a text's ids are
+    those of its parts in order, and each distinct part is encoded once. A text that holds a special token's letters is
+    encoded as it is.
     """
-    offsets, data = offsets_and_bytes(texts)
-    out, starts, _, first = spaced_words(offsets, data)
+    out, starts, kinds, first = word_parts(*offsets_and_bytes(texts))
     body = out.tobytes()
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(out)).astype(np.int64)), pa.py_buffer(body))
-    coded = words.dictionary_encode()  # each word with the space behind it
-    split, begin, size, flat = vocabulary.encode_words([w[:-1] for w in coded.dictionary.to_pylist()])
-    used = split[coded.indices.to_numpy()].ravel()
+    parts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(out))), pa.py_buffer(body))
+    coded = parts.dictionary_encode()
+    used = coded.indices.to_numpy()
+    kind = np.zeros(len(coded.dictionary), np.uint8)
+    kind[used] = kinds
+    begin, size = vocabulary.encode_parts(coded.dictionary, kind)
     each = size[used]
-    at = np.cumsum(each) - each
-    source = np.repeat(begin[used] - at, each)
-    source += np.arange(len(source))
-    tokens = flat[source]
-    bounds = np.append(at, len(tokens))[2 * first]
-    special = [k for k, s in enumerate(t in body for t in (b"<|startoftext|>", b"<|endoftext|>")) if s]
-    if special:
+    tokens = _gather(vocabulary.flat, begin[used], each)
+    bounds = np.append(0, np.cumsum(each))[first]
+    if any(t in body for t in (b"<|startoftext|>", b"<|endoftext|>")):
         rows = [tokens[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for k, text in enumerate(texts.to_pylist()):
             if "<|" in text:

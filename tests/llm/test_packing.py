@@ -2,6 +2,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -103,3 +104,42 @@ def test_columns_of_any_name_pass(spark):
     for bad in ("0", "4097", "null"):
         with pytest.raises(Exception, match="a length must be"):
             packing.pack(spark.sql(f"select cast({bad} as int) as length")).count()
+
+
+def test_distinct_words_are_encoded_together():
+    """The tokenizer is called for many new words at once, whatever signs and digits stand beside them."""
+    rng = np.random.default_rng(7)
+    words = sorted({"".join(rng.choice(list("abcdefgéß"), 9)) for _ in range(4000)})
+    text = " ".join(form.format(w) for w, form in zip(words, ["{}", "({}", "{},", "a|{}", "{}7", "-{}.x"] * len(words)))
+    vocabulary, given = packing.Vocabulary(TOKENIZER), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return self.inner.encode_batch_fast(texts, **more)
+
+    for name, value in list(vars(vocabulary).items()):
+        if isinstance(value, Tokenizer):
+            setattr(vocabulary, name, Counted(value))
+    tokens, bounds = packing.encode(pa.array([text], pa.large_string()), vocabulary)
+    assert tokens.tolist() == Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert bounds.tolist() == [0, len(tokens)]
+    assert 0 < len(given) < len(words) / 50
+
+
+def test_ids_of_any_mixture(monkeypatch):
+    """Letters, signs, digits, apostrophes, marks and other scripts side by side, while parts are forgotten and learned again."""
+    monkeypatch.setattr(packing, "KNOWN", 40)
+    rng, tokenizer, vocabulary = np.random.default_rng(8), Tokenizer.from_file(TOKENIZER), packing.Vocabulary(TOKENIZER)
+    pool = [*"aabbzAZéÉßÞÿ×÷0129 \t\n.,!?*%&$#|;:-()\"/'@=+<>^~_", "'s", "'LL", "\u0301", "\u0338", "\xa0", "\x1c", "µ", "Ā", "ж", "東", "ﬁ", "😀", "the ", "It's ", "<|endoftext|>"]
+    weights = np.ones(len(pool))
+    weights[-1] = 0.02
+    for size in (0, 1, 3, 12, 60):
+        texts = ["".join(rng.choice(pool, size, p=weights / weights.sum())) for _ in range(250)]
+        tokens, bounds = packing.encode(pa.array(texts, pa.large_string()), vocabulary)
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+            assert tokens[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert len(packing.encode(pa.array([], pa.large_string()), vocabulary)[1]) == 1
