@@ -111,7 +111,7 @@ def reconcile_written(spark: SparkSession, sf: str) -> DataFrame:
     sold, n_sold = staged_counted(flows.sales(spark, sf), "sales")
     counted = {
         "silver.vendas": n_sold,
-        "gold.fVendas": staged_counted(flows.f_sales(spark, sf, sold), "f-sales")[1],
+        "gold.fVendas": staged_counted(flows.f_sales_in_place_of(spark, sf, sold), "f-sales")[1],
         "silver.metas_mensais": staged_counted(flows.monthly(spark, sf), "monthly")[1],
         "gold.fMetas": staged_counted(flows.f_targets(spark, sf), "f-targets")[1],
     }

@@ -2,12 +2,15 @@
 
 import datetime as dt
 import pathlib
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import asof, keys, quality, returns
 from ledgerloom.operators.sums import exact_sums, merged, partial_sums, totals
+from ledgerloom.plans import retail
 from ledgerloom.queries import QUERIES, flows
 from ledgerloom.sources import staging
 
@@ -198,3 +201,115 @@ def test_reconciliation_values_the_returns_once(spark):
     rows = {r.check_name: (r.n_rows, r.total) for r in QUERIES["q_reconcile_returns"](spark, SF).collect()}
     assert rows["silver.devolucoes"] == rows["gold.fDevolucoes"] and rows["gold.fVendas"][0] > 0
     assert [len(staged(label) - old) for label, old in zip(("typed-returns", "valued-returns"), before)] == [1, 1]
+
+
+def test_one_shuffle_brings_the_interval_and_the_key(shuffled_joins):
+    """As two lookups would, also for a row without a day or code, a code of one side only and a code of two members; hot keys are split."""
+    spark = shuffled_joins
+    day = dt.date
+    fact = spark.createDataFrame(
+        [(n, code, when) for n, (code, when) in enumerate([
+            ("a", day(2020, 5, 1)), ("a", None), (None, day(2020, 5, 1)), (None, None), ("only", day(2020, 5, 1)), ("bare", day(2020, 5, 1)),
+            ("twice", day(2020, 5, 1)), ("a", day(2031, 1, 1)), ("a", day(9999, 3, 1)), ("none", day(2020, 5, 1))])], "n int, code string, day date")
+    held = spark.createDataFrame(
+        [("a", day(2020, 1, 1), day(2020, 6, 1), False, 1), ("a", day(2030, 1, 1), None, True, 2), ("only", day(2020, 1, 1), None, True, 3),
+         ("twice", day(2020, 1, 1), None, True, 4)], "code string, s date, e date, o boolean, v int")
+    members = spark.createDataFrame([("a", 11), ("bare", 12), ("twice", 13), ("twice", 14), (None, 15)], "code string, sk long")
+    names = {"key": "code", "day": "day", "interval_key": "code", "start": "s", "stop": "e", "is_open": "o", "values": {"v": "held"}}
+    beside = keys.unique_lookup(members, "code", "sk")
+    for months in (None, [], [day(2020, 5, 1), day(2031, 1, 1), day(9999, 3, 1)]):
+        once = keys.resolve_key(asof.asof_interval(fact, held, **names, months=months, beside=beside), None, code="code", out="key")
+        apart = keys.resolve_key(asof.asof_interval(fact, held, **names, months=months), members, code="code", dim_code="code", dim_sk="sk", out="key")
+        assert once.columns == apart.columns and sorted(once.collect()) == sorted(apart.collect())
+    assert [r.key for r in once.orderBy("n").collect()] == [11, 11, -1, -1, -1, 12, -1, 11, 11, -1]
+    everyone = dimension(spark)
+    wide = asof.asof_interval(
+        hot_fact(spark), everyone.select("code", F.lit(day(2019, 1, 1)).alias("s"), F.lit(day(2023, 1, 1)).alias("e"), F.lit(False).alias("o"), F.col("sk").alias("v")),
+        **names, beside=keys.unique_lookup(everyone, "code", "sk"))
+    assert "skew=true" in final_plan(wide) and wide.filter("_sk = 9999 AND held = 9999").count() == 20_000
+
+
+def shuffle_ids(spark):
+    return set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet().toString()[4:-1].split(", "))
+
+
+def test_a_long_write_leaves_no_shuffles_behind(spark, monkeypatch):
+    monkeypatch.setattr(staging, "BRIEF", 0)
+    before = shuffle_ids(spark)
+    kept = staging.staged(spark.range(1000).repartition(3, "id"), "released")
+    late = time.monotonic() + 20
+    while shuffle_ids(spark) - before and time.monotonic() < late:
+        time.sleep(0.1)
+    assert not shuffle_ids(spark) - before and kept.count() == 1000
+
+
+def test_the_sales_are_shuffled_for_product_and_customer_only(shuffled_joins):
+    """One exchange of the whole sales by product and one by customer; the salespeople's joins have two by their own probe."""
+    spark = shuffled_joins
+    day = "date'2020-05-01'"
+    kinds = {"item": "1", "data_emissao": f"date_add({day}, cast(id % 2 AS int))", "quantidade_absoluta": "1", "id_vendedor_ambiguo": "false"}
+    names = [c for c in retail.SALES_FACT if not c.startswith("sk_") and c not in ("vendedor_fonte", "id_vendedor_atribuicao")]
+    sold = spark.range(20).repartition(2).selectExpr(*[f"{kinds.get(c, 'cast(id AS string)')} AS {c}" for c in [*names, "id_vendedor_ambiguo"]])
+    assigned = spark.range(9).selectExpr("cast(id AS string) AS id_cliente", "cast(id + 1 AS string) AS id_vendedor", f"{day} AS vigencia_inicio", "date'2020-05-31' AS vigencia_fim",
+                                         "false AS vigencia_aberta", "false AS id_vendedor_ambiguo")
+    dims = [spark.range(10).selectExpr(f"cast(id AS string) AS {code}", f"id + 1 AS {sk}") for code, sk in
+            (("id_cliente", "sk_cliente"), ("id_produto_chave", "sk_produto"), ("id_vendedor", "sk_vendedor"))]
+    fact = retail.sales_fact(sold, assigned, *dims, [dt.date(2020, 5, 1)])
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    by = [re.sub(r"#\d+", "", keys_) for keys_ in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    assert len([k for k in by if k.startswith("id_cliente, _probe")]) == 1 and by.count("_probe") == 2
+    row = fact.filter("id_pedido = '3'").first()
+    assert (row.sk_produto, row.sk_cliente, row.id_vendedor_atribuicao, row.sk_vendedor_responsavel, row.sk_vendedor_pedido) == (4, 4, "4", 5, 4)
+
+
+def test_the_fact_alone_writes_its_sales_before_prices(spark, monkeypatch):
+    """Amounts that follow from other columns are in neither the written table nor its shuffles."""
+    landed = flows.valid(spark, SF).filter("id_pedido LIKE 'PV1%'")
+    monkeypatch.setattr(flows, "valid", lambda *_: landed)
+    seen = []
+    monkeypatch.setattr(flows, "staged_with_months", lambda df, label, day: (seen.append(df.columns), (df, [dt.date(1995, 1, 1)]))[1])
+    assert flows.f_sales(spark, SF).columns == retail.SALES_FACT
+    assert len(seen) == 1 and not {"receita_bruta", "receita_liquida", "taxa_cambio_aplicada"} & set(seen[0])
+
+
+def written(spark, label):
+    return {p.name for p in pathlib.Path(staging.run_folder(spark).removeprefix("file:")).glob(f"{label}-*")}
+
+
+def test_the_facts_are_counted_one_after_the_other(spark, monkeypatch):
+    """A grain is written before the next fact's plan runs, so its shuffles can go."""
+    sales = spark.range(9).selectExpr("'s' AS safra", "cast(id % 8 AS string) AS id_pedido", "1 AS item")
+    monkeypatch.setattr(flows, "kept_sales_and_months", lambda *_: (sales, []))
+    monkeypatch.setattr(flows, "f_sales", lambda *_: sales)
+    monkeypatch.setattr(flows, "f_returns", lambda *_: spark.range(4).select(F.col("id").alias("id_devolucao")))
+    before = written(spark, "grain")
+    rows = {tuple(r) for r in QUERIES["q_fact_grain"](spark, SF).collect()}
+    assert rows == {("fVendas", 9, 8), ("fDevolucoes", 4, 4)} and len(written(spark, "grain") - before) == 2
+
+
+def test_totals_are_written_one_after_the_other(spark, monkeypatch):
+    amounts = spark.range(4).selectExpr("id + 0.25D AS receita_devolucao_liquida", "id + 0.5D AS receita_liquida")
+    for owner, name, out in ((flows, "kept_sales_and_months", (amounts, [])), (flows, "valued_returns", amounts), (flows, "member_keys", (None, None)),
+                             (flows, "portfolio", None), (flows, "d_people", None), (retail, "returns_fact", amounts), (retail, "sales_fact", amounts)):
+        monkeypatch.setattr(owner, name, lambda *_, out=out: out)
+    before = written(spark, "total")
+    rows = {tuple(r) for r in QUERIES["q_reconcile_returns"](spark, SF).collect()}
+    assert rows == {("silver.devolucoes", 4, 7.0), ("gold.fDevolucoes", 4, 7.0), ("gold.fVendas", 4, 8.0)}
+    assert len(written(spark, "total") - before) == 3
+
+
+def test_sales_go_once_their_fact_has_them(spark, monkeypatch):
+    """The reconciliation keeps the sales with their product keys, not the table before it beside them."""
+    day = F.lit(dt.date(2020, 5, 1))
+    monkeypatch.setattr(flows, "sales", lambda *_: spark.range(7).select(day.alias("data_emissao")))
+    monkeypatch.setattr(flows, "member_keys", lambda *_: (None, None))
+    monkeypatch.setattr(retail, "with_product_key", lambda sold, _: sold)
+    monkeypatch.setattr(retail, "with_party_keys", lambda sold, *_: sold.select(*[F.lit(0).alias(c) for c in retail.SALES_FACT]))
+    for name in ("portfolio", "d_people"):
+        monkeypatch.setattr(flows, name, lambda *_: None)
+    for name in ("monthly", "f_targets"):
+        monkeypatch.setattr(flows, name, lambda *_: spark.range(3))
+    tables = written(spark, "sales")
+    rows = {r.check_name: r.n_rows for r in QUERIES["q_reconcile_written"](spark, SF).collect()}
+    assert rows == {"silver.vendas": 7, "gold.fVendas": 7, "silver.metas_mensais": 3, "gold.fMetas": 3}
+    assert {name.rsplit("-", 1)[0] for name in written(spark, "sales") - tables} == {"sales-products"}
